@@ -50,7 +50,7 @@ WHITESPACE = (
 # Characters one assembled body may hold. A document whose pages add up to more is never gathered into
 # one row: it is split from parts of PART_CHARS instead (operators/longdocs.py), with the same result.
 BODY_CHARS = 64_000_000
-PART_CHARS = 8_000_000
+PART_CHARS = 32_000_000
 
 # Consecutive pages (or markdown parts) that are pre-aggregated together for a document over BODY_CHARS.
 PAGES_PER_BLOCK = 256
