@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.constants import BODY_CHARS, MAX_CHARS, OVERLAP, PAGES_PER_BLOCK, PART_CHARS
-from docloom.functions.markdown import FENCE, LEVELS, line_class, paragraphs, title
+from docloom.functions.markdown import FENCE, LEVELS, line_class, paragraphs, title, with_sections
 from docloom.functions.text import strip
 from docloom.operators.chunking import numbered_pieces, split_documents
 from docloom.operators.longdocs import KEY, clean_pages, gather, oversized, split_pages
@@ -88,19 +88,21 @@ def scanned_lines(pages: DataFrame, pages_per_block: int = PAGES_PER_BLOCK) -> D
     )
 
 
-def _split_large(pages: DataFrame, pages_per_block: int, **limits) -> DataFrame:
+def _large_sections(pages: DataFrame, pages_per_block: int) -> DataFrame:
+    """Sections of spread-out documents, one row per section and block, so no row grows with the section."""
     lines = scanned_lines(pages, pages_per_block)
     ordered = F.sort_array(F.collect_list(F.struct("_pos", "_line")))
-    # one row per section and block, so no row grows with the section
     texts = lines.groupBy(*BLOCK, "section_no", "section_id").agg(ordered.alias("_lines"))
-    sections = pinned(
-        texts.select(
-            *KEY,
-            "section_id",
-            F.col("_block").alias("page_no"),
-            paragraphs(F.transform("_lines", lambda e: e["_line"])).alias("page_text"),
-        ).filter("page_text != ''")
-    )
+    return texts.select(
+        *KEY,
+        "section_id",
+        F.col("_block").alias("page_no"),
+        paragraphs(F.transform("_lines", lambda e: e["_line"])).alias("page_text"),
+    ).filter("page_text != ''")
+
+
+def _split_large(pages: DataFrame, pages_per_block: int, **limits) -> DataFrame:
+    sections = pinned(_large_sections(pages, pages_per_block))
     pieces = pinned(split_pages(sections, pages_per_block=pages_per_block, **limits))
     counts = pieces.groupBy(*KEY).agg(F.count("*").alias("_n"))
     offsets = running_offsets(counts, ["document_id"], ["section_no"], "_n").select(*KEY, "offset")
@@ -108,6 +110,31 @@ def _split_large(pages: DataFrame, pages_per_block: int, **limits) -> DataFrame:
     return pieces.join(offsets.join(ids, KEY), KEY).withColumn("i", F.col("i") + F.col("offset")).select(COLUMNS)
 
 
+def markdown_sections(
+    pages: DataFrame, body_chars: int = BODY_CHARS, pages_per_block: int = PAGES_PER_BLOCK
+) -> DataFrame:
+    """``(document_id, section_no, section_id, part_no, content)`` in reading order.
+
+    A section is one row, ``part_no`` 0; only in a document over ``body_chars`` it may have several parts,
+    which a blank line joins.
+    """
+    cleaned = clean_pages(pages)
+    large = oversized(cleaned, body_chars)
+    whole = cleaned if large is None else cleaned.join(large, KEY, "left_anti")
+    cut = with_sections(gather(whole, ["document_id"]), F.col("body"))
+    found = cut.select("document_id", F.explode(F.coalesce("sections", F.array().cast(cut.schema["sections"].dataType))).alias("_s")).select(
+        "document_id",
+        F.col("_s.section_no"),
+        F.col("_s.section_id"),
+        F.lit(0).cast("bigint").alias("part_no"),
+        F.col("_s.content"),
+    )
+    if large is None:
+        return found
+    rest = _large_sections(cleaned.join(large, KEY, "left_semi"), pages_per_block)
+    return found.unionByName(rest.withColumnsRenamed({"page_no": "part_no", "page_text": "content"}))
+
+
 def split_markdown_pages(
     pages: DataFrame,
     max_chars: int = MAX_CHARS,
