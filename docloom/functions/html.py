@@ -46,6 +46,8 @@ HARD_PAGE = (
     # elements whose content is read as plain text, marked sections, odd comments
     + r"|<(?:textarea|xmp|iframe|noembed|noframes|plaintext|noscript|svg|math)\b|<!\[|--!>|<!---?>"
     + r"|<title\b[^>]*>[^<]*<(?!/title)"
+    # script and style blocks that never close
+    + r"|<script\b(?!(?s:.*?</script\s*>))|<style\b(?!(?s:.*?</style\s*>))"
     # an open reference at the very end, which the parser never gives out
     + r"|&[^\s;<]*\z"
 )

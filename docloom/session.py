@@ -26,15 +26,13 @@ def local_session(app: str = "docloom", cores: int | str = "*", shuffle_partitio
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Where the setting is empty (a local run) a fresh temporary folder is set once and kept in the session.
+    Only where the setting is empty (a local run) a fresh temporary folder is made, once per context.
     """
+    context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="docloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path or tempfile.mkdtemp(prefix="docloom-"))
+    return path or context.getCheckpointDir()
 
 
 def pinned(df):

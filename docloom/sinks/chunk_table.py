@@ -102,6 +102,11 @@ def _dynamic_overwrite(spark: SparkSession):
         spark.conf.set(name, before)
 
 
+def _current(spark: SparkSession, table: str) -> DataFrame:
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def _apply(spark: SparkSession, table: str, chunks: DataFrame, change_of) -> DataFrame | None:
     blank = chunks.filter(F.coalesce(strip(F.col("namespace")), F.lit("")) == "")
     if not blank.isEmpty():
@@ -110,9 +115,8 @@ def _apply(spark: SparkSession, table: str, chunks: DataFrame, change_of) -> Dat
     change = pinned(latest(keyed))
     if change.isEmpty():
         return None
-    stored = only_touched(spark.table(table), change, PARTITION)
-    columns = spark.table(table).columns
-    merged = ready_to_write(change_of(stored, change).select(columns), PARTITION)
+    stored = only_touched(_current(spark, table), change, PARTITION)
+    merged = ready_to_write(change_of(stored, change).select(stored.columns), PARTITION)
     with _dynamic_overwrite(spark):
         merged.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
@@ -142,4 +146,5 @@ def delete_namespace(spark: SparkSession, table: str, namespace: str) -> int:
 
 
 def read_chunks(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table).select("namespace", *RECORD_COLUMNS)
+    """The table as it is now, also after a stream or another session has written to it."""
+    return _current(spark, table).select("namespace", *RECORD_COLUMNS)
