@@ -38,22 +38,24 @@ MARKUP = (
     r"|<[/!a-z][^>]*>"
 )
 
-# Pages to hand to the parser, seen in the raw page:
+# Pages to hand to the parser, seen in the raw page. Alternatives share their first character, since the
+# matcher tries each of them at every position.
 HARD_PAGE = (
-    MARK
     # `>` within a quoted attribute value
-    + r"""|(?i)=\s*(?:"[^"<>]*>|'[^'<>]*>)"""
+    r"""=\s*(?:"[^"<>]*>|'[^'<>]*>)"""
+    + r"|<(?:"
     # elements whose content is read as plain text, marked sections, odd comments
-    + r"|<(?:textarea|xmp|iframe|noembed|noframes|plaintext|noscript|svg|math)\b|<!\[|--!>|<!---?>"
-    + r"|<title\b[^>]*>[^<]*<(?!/title)"
-    # script and style blocks that never close
-    + r"|<script\b(?!(?s:.*?</script\s*>))|<style\b(?!(?s:.*?</style\s*>))"
-    # an open reference at the very end, which the parser never gives out
-    + r"|&[^\s;<]*\z"
+    + r"(?i:textarea|xmp|iframe|noembed|noframes|plaintext|noscript|svg|math)\b|!\[|!---?>"
+    # markup in a title, script and style blocks that never close
+    + r"|(?i:title)\b[^>]*>[^<]*<(?!/(?i:title))"
+    + r"|(?i:script)\b(?!(?is:.*?</script\s*>))|(?i:style)\b(?!(?is:.*?</style\s*>)))"
 )
-# and seen in what is left without markup: a `<` (unclosed, or one at which the parser cuts the text), a
-# reference outside the list, and one that only appears after the first unescaping
-HARD_TEXT = r"<|&(?!(?:copy|middot|nbsp|quot|#39|lt|gt|amp);)#?[a-zA-Z0-9]|&amp;(?!amp;)#?[a-zA-Z0-9]"
+# An open reference among the last characters, which the parser never gives out.
+OPEN_END = r"&[^\s;<]*\z"
+OPEN_END_CHARS = 40
+# Seen in what is left without markup: a reference outside the list, one that only appears after the first
+# unescaping. (A `<` is looked for separately: unclosed markup, or a place where the parser cuts the text.)
+HARD_TEXT = r"&(?:(?!(?:copy|middot|nbsp|quot|#39|lt|gt|amp);)#?[a-zA-Z0-9]|amp;(?!amp;)#?[a-zA-Z0-9])"
 
 
 def unescape(c: Column) -> Column:
@@ -69,7 +71,14 @@ def _without_markup(page: Column) -> Column:
 
 def needs_parser(page: Column, bare: Column) -> Column:
     """True where the chain of built-in expressions could differ from the parser."""
-    return page.rlike(HARD_PAGE) | bare.rlike(HARD_TEXT)
+    return (
+        page.contains(MARK)
+        | page.contains("--!>")
+        | bare.contains("<")
+        | F.right(page, F.lit(OPEN_END_CHARS)).rlike(OPEN_END)
+        | (bare.contains("&") & bare.rlike(HARD_TEXT))
+        | page.rlike(HARD_PAGE)
+    )
 
 
 def _chain(bare: Column) -> Column:

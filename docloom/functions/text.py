@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,19 @@ def unix_newlines(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
+def _where_found(c: Column, marks: tuple[str, ...], pattern: str, by: str) -> Column:
+    """Replace ``pattern``, skipping texts that hold none of ``marks``, which most texts do not.
+
+    The lambda names the text, so that it is computed once and not again in each branch.
+    """
+
+    def replaced(t):
+        found = reduce(Column.__or__, [t.contains(m) for m in marks])
+        return F.when(found, F.regexp_replace(t, pattern, by)).otherwise(t)
+
+    return F.transform(F.array(c), replaced)[0]
+
+
 def normalize_whitespace(c: Column) -> Column:
     """Collapse white space; the order of the steps matters.
 
@@ -36,10 +51,10 @@ def normalize_whitespace(c: Column) -> Column:
     ``\\x0B`` is spelled out because ``\\v`` means every vertical space in Java patterns.
     """
     c = unix_newlines(c)
-    c = F.regexp_replace(c, r"[\t\f\x0B]+", " ")
-    c = F.regexp_replace(c, r" \n+", "\n")
-    c = F.regexp_replace(c, r"\n{3,}", "\n\n")
-    c = F.regexp_replace(c, r" {2,}", " ")
+    c = _where_found(c, ("\t", "\f", "\x0b"), r"[\t\f\x0B]+", " ")
+    c = _where_found(c, (" \n",), r" \n+", "\n")
+    c = _where_found(c, ("\n\n\n",), r"\n{3,}", "\n\n")
+    c = _where_found(c, ("  ",), r" {2,}", " ")
     return strip(c)
 
 

@@ -18,6 +18,7 @@ from docloom.functions import markdown, nested
 from docloom.functions.split import PIECES, check_limits, split_each_udf, whole_piece
 from docloom.functions.text import once, unix_newlines
 from docloom.schemas import RECORD_COLUMNS
+from docloom.session import pinned
 
 SECTIONS = "array<struct<section_no:bigint,section_id:string,content:string>>"
 
@@ -148,7 +149,7 @@ def to_records(pieces: DataFrame, run_date: str | None = None) -> DataFrame:
 
 @dataclass(frozen=True)
 class Chunked:
-    """Result of `chunk_documents`: both tables come from ``split``, which a job that writes both may persist."""
+    """Result of `chunk_documents`: both tables come from ``split``, and `stored` splits once for both."""
 
     split: DataFrame
     run_date: str
@@ -162,6 +163,10 @@ class Chunked:
     def quarantine(self) -> DataFrame:
         return self.split.filter(F.col("error").isNotNull()).select("document_id", "input_format", "error")
 
+    def stored(self) -> Chunked:
+        """The same, split once and written to the shared folder; for jobs that use both tables."""
+        return Chunked(pinned(self.split), self.run_date)
+
     def strict(self) -> Chunked:
         """Raise when any document failed; the first few are named, all are in ``quarantine``."""
         failed = self.quarantine.limit(5).collect()
@@ -185,4 +190,4 @@ def chunk_documents(
     documents = sources.select("document_id", "document_url", "namespace", "input_format").join(
         bodies.select("document_id", "body"), "document_id"
     )
-    return Chunked(split_documents(documents, "body", max_chars, overlap), run_date or today())
+    return Chunked(split_documents(documents, "body", max_chars, overlap).drop("body"), run_date or today())

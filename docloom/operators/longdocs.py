@@ -48,11 +48,15 @@ _HOPS_DDL = "hops array<struct<entry:long,exit:long,n:long>>"
 # --- gathering pages -------------------------------------------------------------------------------------
 
 
+def _keyed(pages: DataFrame) -> DataFrame:
+    return pages if "section_no" in pages.columns else pages.withColumn("section_no", F.lit(0).cast("bigint"))
+
+
 def clean_pages(pages: DataFrame) -> DataFrame:
     """Pages with stripped text; a missing text counts as empty and empty pages are dropped."""
-    df = pages if "section_no" in pages.columns else pages.withColumn("section_no", F.lit(0).cast("bigint"))
     text = strip(F.coalesce("page_text", F.lit("")))
-    return df.select(*KEY, F.col("page_no").cast("bigint"), text.alias("page_text")).filter("page_text != ''")
+    page_no = F.col("page_no").cast("bigint").alias("page_no")
+    return _keyed(pages).select(*KEY, page_no, text.alias("page_text")).filter("page_text != ''")
 
 
 def _joined_text(pages) -> F.Column:
@@ -66,13 +70,15 @@ def gather(pages: DataFrame, group: list[str]) -> DataFrame:
 
 
 def oversized(pages: DataFrame, body_chars: int) -> DataFrame | None:
-    """Keys of the documents whose joined text is longer than ``body_chars``, None when there are none.
+    """Keys of the documents that may be longer than ``body_chars``, None when there are none.
 
-    Reads lengths only. The keys are few (their number is at most the size of the corpus over
-    ``body_chars``) and are written to the shared folder, since several later steps select by them.
+    Sizes are counted in bytes of the texts as they come, which bounds the characters of the joined text from
+    above and needs neither decoding nor stripping. The keys are few (their number is at most the size of the
+    corpus over ``body_chars``) and are written to the shared folder, since several later steps select by them.
     """
-    size = F.sum(F.length("page_text") + len(JOINER)) - len(JOINER)
-    keys = pinned(pages.groupBy(*KEY).agg(size.alias("_size")).filter(F.col("_size") > body_chars).select(*KEY))
+    size = F.sum(F.octet_length("page_text") + len(JOINER))
+    sizes = _keyed(pages).groupBy(*KEY).agg(size.alias("_size"))
+    keys = pinned(sizes.filter(F.col("_size") > body_chars).select(*KEY))
     return None if keys.isEmpty() else keys
 
 
@@ -101,7 +107,7 @@ def assemble_pages(
     blank line in order are its text.
     """
     cleaned = clean_pages(pages)
-    large = oversized(cleaned, body_chars)
+    large = oversized(pages, body_chars)
     columns = ["document_id", "part_no", "body"]
     whole = cleaned if large is None else cleaned.join(large, KEY, "left_anti")
     bodies = gather(whole, KEY).withColumn("part_no", F.lit(0).cast("bigint")).select(columns)
@@ -276,8 +282,11 @@ def part_entries(hops: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
 
 
 def split_parts(parts: DataFrame, max_chars: int, overlap: int, fan_in: int = FAN_IN) -> DataFrame:
-    """``(key, i, start, end, content)`` of documents held as parts."""
-    around = with_surroundings(parts, 2 * max_chars + 2 * len(JOINER))
+    """``(key, i, start, end, content)`` of documents held as parts.
+
+    The parts are read once for the maps and once for the pieces, so they are written to the shared folder.
+    """
+    around = with_surroundings(pinned(parts), 2 * max_chars + 2 * len(JOINER))
     columns = ("body", "first", "ahead")
     hops = around.select(*KEY, "part_no", hops_udf(max_chars, overlap)(*columns).alias("hops"))
     entered = around.join(part_entries(hops, fan_in), [*KEY, "part_no"])
@@ -310,7 +319,7 @@ def split_pages(
     if part_chars < 4 * max_chars:
         raise ValueError("part_chars must be at least four times max_chars")
     cleaned = clean_pages(pages)
-    large = oversized(cleaned, body_chars)
+    large = oversized(pages, body_chars)
     columns = [*KEY, "i", "start", "end", "content"]
     whole = cleaned if large is None else cleaned.join(large, KEY, "left_anti")
     found = (

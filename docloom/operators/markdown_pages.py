@@ -119,7 +119,7 @@ def markdown_sections(
     which a blank line joins.
     """
     cleaned = clean_pages(pages)
-    large = oversized(cleaned, body_chars)
+    large = oversized(pages, body_chars)
     whole = cleaned if large is None else cleaned.join(large, KEY, "left_anti")
     cut = with_sections(gather(whole, ["document_id"]), F.col("body"))
     found = cut.select("document_id", F.explode(F.coalesce("sections", F.array().cast(cut.schema["sections"].dataType))).alias("_s")).select(
@@ -145,7 +145,7 @@ def split_markdown_pages(
 ) -> DataFrame:
     """Pieces of markdown documents given as ``pages(document_id, page_no, page_text)``, joined by blank lines."""
     cleaned = clean_pages(pages)
-    large = oversized(cleaned, body_chars)
+    large = oversized(pages, body_chars)
     whole = cleaned if large is None else cleaned.join(large, KEY, "left_anti")
     bodies = gather(whole, KEY).withColumn("input_format", F.lit("markdown"))
     found = (

@@ -52,7 +52,8 @@ def running_offsets(counts: DataFrame, group: list[str], order: list[str], n: st
 def number_pieces(pieces: DataFrame, group: list[str], document: str = "document_id", i: str = "i") -> DataFrame:
     """Add ``seq``: position of every chunk in its group, documents in order, chunks by their number ``i``.
 
-    The numbers inside a document are known, so only documents are counted and ordered, not chunks.
+    The numbers inside a document are known, so only documents are counted and ordered, not chunks. ``pieces``
+    is read twice: give a stored table, or one that is cheap to read.
     """
     per_document = pieces.groupBy(*group, document).agg(F.count("*").alias("_n"))
     offsets = running_offsets(per_document, group, [document], "_n").select(*group, document, "offset")

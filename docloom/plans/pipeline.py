@@ -48,7 +48,7 @@ def ingest(
     spark: SparkSession, table: str, prepared: Prepared, run_date: str | None = None, strict: bool = True
 ) -> tuple[Chunked, DataFrame | None]:
     """Chunk and upsert; returns the chunks (with their quarantine) and the summary per namespace."""
-    chunked = chunk_documents(prepared.bodies, prepared.sources, run_date)
+    chunked = chunk_documents(prepared.bodies, prepared.sources, run_date).stored()
     if strict:
         chunked.strict()
     return chunked, upsert_chunks(spark, table, chunked.chunks)

@@ -12,7 +12,7 @@ from docloom.functions.split import pieces_of
 from docloom.operators import chunking, landing, listing, longdocs, markdown_pages, numbering, validation
 from docloom.plans import inputs
 from docloom.plans.inputs import BASE, LATER, RUN_DATE, of, read
-from docloom.session import shared_dir
+from docloom.session import pinned, shared_dir
 from docloom.sinks import chunk_table, export
 from docloom.sources import files as file_source
 from docloom.sources import registry
@@ -438,7 +438,7 @@ def upsert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = chunking.split_documents(inputs.text_documents(spark, sf_dir))
     pieces = chunking.numbered_pieces(split, "namespace", "document_id").select("namespace", "document_id", "i")
-    return numbering.assign_batches(pieces).select("namespace", "document_id", "i", "batch_no")
+    return numbering.assign_batches(pinned(pieces)).select("namespace", "document_id", "i", "batch_no")
 
 
 @query

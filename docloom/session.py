@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+ARCHIVE = "docloom_package.zip"
+
 
 def local_session(app: str = "docloom", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session on this machine, for tests and trials; on a cluster use the session it provides."""
@@ -39,3 +43,12 @@ def pinned(df):
     """``df`` written to the shared folder, so that later reads see the same rows after an executor is lost."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session, wherever they run."""
+    context = spark.sparkContext
+    if ARCHIVE not in context._python_includes:
+        base = Path(tempfile.mkdtemp(prefix="docloom-")) / ARCHIVE.removesuffix(".zip")
+        root = Path(__file__).resolve().parent
+        context.addPyFile(shutil.make_archive(str(base), "zip", root.parent, root.name))

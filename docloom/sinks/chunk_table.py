@@ -32,19 +32,29 @@ def latest(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy(*KEY).agg(newest.alias("_r")).select(*[F.col(c if c in KEY else f"_r.{c}") for c in chunks.columns])
 
 
+def _put(old: DataFrame, change: DataFrame) -> DataFrame:
+    kept = old.join(change.select(*KEY), KEY, "left_anti")
+    return kept.select(old.columns).unionByName(change)
+
+
+def _replace(old: DataFrame, change: DataFrame) -> DataFrame:
+    documents = change.select("namespace", "document_id").distinct()
+    kept = old.join(documents, ["namespace", "document_id"], "left_anti")
+    return kept.select(old.columns).unionByName(change)
+
+
 def upserted(old: DataFrame, new: DataFrame) -> DataFrame:
     """``old`` with the rows of ``new`` added, or put in place of those with the same key.
 
-    Only keys of ``old`` meet ``new``: when those are few, Spark broadcasts them and ``old`` is not shuffled.
+    ``new`` is used twice, so it is written to the shared folder once. Only its keys meet ``old``: when they
+    are few, Spark broadcasts them and ``old`` is not shuffled.
     """
-    change = latest(new)
-    return old.join(change.select(*KEY), KEY, "left_anti").select(old.columns).unionByName(change)
+    return _put(old, pinned(latest(new)))
 
 
 def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
     """Like `upserted`, but chunks a document no longer has are dropped too."""
-    documents = new.select("namespace", "document_id").distinct()
-    return old.join(documents, ["namespace", "document_id"], "left_anti").select(old.columns).unionByName(latest(new))
+    return _replace(old, pinned(latest(new)))
 
 
 def clean_namespace(namespace: str | None) -> str:
@@ -108,13 +118,12 @@ def _current(spark: SparkSession, table: str) -> DataFrame:
 
 
 def _apply(spark: SparkSession, table: str, chunks: DataFrame, change_of) -> DataFrame | None:
-    blank = chunks.filter(F.coalesce(strip(F.col("namespace")), F.lit("")) == "")
-    if not blank.isEmpty():
-        raise NamespaceError("namespace must be a non-empty string")
     keyed = chunks.select(*CHUNKS.names).withColumn("bucket", bucket("document_id", _buckets(spark, table)))
     change = pinned(latest(keyed))
     if change.isEmpty():
         return None
+    if not change.filter(F.coalesce(strip(F.col("namespace")), F.lit("")) == "").isEmpty():
+        raise NamespaceError("namespace must be a non-empty string")
     stored = only_touched(_current(spark, table), change, PARTITION)
     merged = ready_to_write(change_of(stored, change).select(stored.columns), PARTITION)
     with _dynamic_overwrite(spark):
@@ -125,12 +134,12 @@ def _apply(spark: SparkSession, table: str, chunks: DataFrame, change_of) -> Dat
 
 def upsert_chunks(spark: SparkSession, table: str, chunks: DataFrame) -> DataFrame | None:
     """Upsert by ``(namespace, _id)``; an empty payload changes nothing and gives None."""
-    return _apply(spark, table, chunks, upserted)
+    return _apply(spark, table, chunks, _put)
 
 
 def replace_documents(spark: SparkSession, table: str, chunks: DataFrame) -> DataFrame | None:
     """Upsert, and drop the chunks the given documents had before and have no more."""
-    return _apply(spark, table, chunks, replaced)
+    return _apply(spark, table, chunks, _replace)
 
 
 def delete_namespace(spark: SparkSession, table: str, namespace: str) -> int:

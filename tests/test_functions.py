@@ -145,3 +145,18 @@ def test_paths(spark, path, full, suffix):
     resolved = urls.resolve(F.col("p"), "/b/")
     row = spark.createDataFrame([(path,)], "p string").select(resolved.alias("r"), urls.suffix(resolved).alias("s"))
     assert tuple(row.first()) == (full, suffix)
+
+
+def test_sql_functions(spark):
+    from docloom.functions.sql import register
+
+    register(spark)
+    spark.createDataFrame([("a", "w " * 1000), ("b", None)], "id string, body string").createOrReplaceTempView("bodies_v")
+    rows = spark.sql("SELECT id, i, length(content) AS n FROM bodies_v, LATERAL split_text(body) ORDER BY i").collect()
+    assert [(r.id, r.i) for r in rows] == [("a", 0), ("a", 1)] and all(r.n <= 1792 for r in rows)
+    spark.createDataFrame([('{"a": 1}',), ("{x",), ("b: 2",)], "body string").createOrReplaceTempView("nested_v")
+    found = {tuple(r) for r in spark.sql("SELECT body, content FROM nested_v, LATERAL split_json(body)").collect()}
+    assert ('{"a": 1}', '{"a":1}') in found and ("{x", None) in found
+    found = {tuple(r) for r in spark.sql("SELECT body, content FROM nested_v, LATERAL split_yaml(body)").collect()}
+    assert ("b: 2", '{"b":2}') in found
+    assert spark.sql("SELECT html_text('<b>x</b>y') AS t").first().t == "x y"
