@@ -13,7 +13,7 @@ ARCHIVE = "docloom_package.zip"
 
 def local_session(app: str = "docloom", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session on this machine, for tests and trials; on a cluster use the session it provides."""
-    return (
+    session = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -25,6 +25,8 @@ def local_session(app: str = "docloom", cores: int | str = "*", shuffle_partitio
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
+    ship(session)
+    return session
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -49,11 +49,11 @@ def test_same_as_brute_force(text, limit, overlap):
     overlap = min(overlap, limit - 1)
     found = split_text(text, limit, overlap)
     assert [c for _, _, c in found] == (brute(text, limit, overlap) if text else [])
-    covered, last = set(), -1
+    covered, last = set(), (-1, -1)
     for start, end, content in found:
         assert text[start:end] == content and 0 < len(content) <= limit and content == content.strip()
-        assert start > last
-        last = start
+        assert start >= last[0] and end > last[1]
+        last = start, end
         covered.update(range(start, end))
     assert all(i in covered for i, c in enumerate(text) if not c.isspace())
     for (_, end, _), (start, _, _) in zip(found, found[1:]):
