@@ -83,7 +83,7 @@ def test_lines_of_99_characters_step_by_16():
 
 def test_long_stretch_ends_the_piece_before_it_without_overlap():
     text = "a b\n\n" + "c" * 30 + "\n\nd"
-    assert [c for _, _, c in split_text(text, 20, 5)] == ["a b", "c" * 18, "c" * 17, "d"]
+    assert [c for _, _, c in split_text(text, 20, 5)] == ["a b", "c" * 19, "c" * 16, "d"]
 
 
 @pytest.mark.parametrize("overlap", [1792, 2000, -1])
