@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ARCHIVE = "docloom_package.zip"
 
@@ -41,10 +42,16 @@ def shared_dir(spark: SparkSession) -> str:
     return path or context.getCheckpointDir()
 
 
-def pinned(df):
-    """``df`` written to the shared folder, so that later reads see the same rows after an executor is lost."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def pinned(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For what is used more than once: later reads see the same rows after an executor is lost, read only the
+    columns they need, and carry a measured size, by which Spark decides whether a join may broadcast them.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/docloom-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship(spark: SparkSession) -> None:

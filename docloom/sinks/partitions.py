@@ -38,6 +38,6 @@ def only_touched(table: DataFrame, change: DataFrame, columns: list[str]) -> Dat
 def ready_to_write(df: DataFrame, columns: list[str]) -> DataFrame:
     """Written to the shared folder, grouped by partition with large partitions split over tasks.
 
-    What is read back keeps that grouping, so the write itself moves no rows.
+    The files read back keep that grouping, so the write itself moves no rows.
     """
     return pinned(df.hint("rebalance", *columns))

@@ -87,7 +87,7 @@ def test_long_stretch_ends_the_piece_before_it_without_overlap():
 
 
 @pytest.mark.parametrize("overlap", [1792, 2000, -1])
-def test_overlap_must_be_smaller_than_the_limit(overlap):
+def test_overlap_must_be_smaller_than_the_limit(spark, overlap):
     with pytest.raises(ValueError):
         pieces_of(F.col("t"), 1792, overlap)
 
