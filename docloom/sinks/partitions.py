@@ -31,7 +31,14 @@ def only_touched(table: DataFrame, change: DataFrame, columns: list[str]) -> Dat
         return table.join(touched, columns, "left_semi")
     if not named:
         return table.limit(0)
-    same = [reduce(Column.__and__, [F.col(c) == r[c] for c in columns]) for r in named]
+    *outer, last = columns
+    values: dict[tuple, list] = {}
+    for row in named:
+        values.setdefault(tuple(row[c] for c in outer), []).append(row[last])
+    same = [
+        reduce(Column.__and__, [F.col(c) == v for c, v in zip(outer, key)], F.col(last).isin(found))
+        for key, found in values.items()
+    ]
     return table.filter(reduce(Column.__or__, same))
 
 
