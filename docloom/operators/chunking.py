@@ -153,6 +153,7 @@ class Chunked:
 
     split: DataFrame
     run_date: str
+    missing: DataFrame | None = None
 
     @property
     def chunks(self) -> DataFrame:
@@ -161,11 +162,15 @@ class Chunked:
 
     @property
     def quarantine(self) -> DataFrame:
-        return self.split.filter(F.col("error").isNotNull()).select("document_id", "input_format", "error")
+        failed = self.split.filter(F.col("error").isNotNull()).select("document_id", "input_format", "error")
+        if self.missing is None:
+            return failed
+        absent = self.missing.select("document_id", "input_format", F.lit("no body").alias("error"))
+        return failed.unionByName(absent)
 
     def stored(self) -> Chunked:
         """The same, split once and written to the shared folder; for jobs that use both tables."""
-        return Chunked(pinned(self.split), self.run_date)
+        return Chunked(pinned(self.split), self.run_date, self.missing)
 
     def strict(self) -> Chunked:
         """Raise when any document failed; the first few are named, all are in ``quarantine``."""
@@ -181,13 +186,17 @@ def chunk_documents(
     run_date: str | None = None,
     max_chars: int = MAX_CHARS,
     overlap: int = OVERLAP,
+    report_missing: bool = True,
 ) -> Chunked:
-    """Split every source that has a body.
+    """Split every source that has a body; the ones without go to quarantine (unless ``report_missing`` is off).
 
-    ``bodies(document_id, body)``; ``sources`` as in `schemas.SOURCES`. Neither side is assumed small:
-    Spark broadcasts the registry when its measured size allows, and splits skewed join partitions otherwise.
+    ``bodies(document_id, body)``; ``sources`` as in `schemas.SOURCES`. Neither side is assumed small: Spark
+    broadcasts the registry when its measured size allows, and splits skewed join partitions otherwise. Missing
+    bodies are found by an anti join that reads ids only, because an outer join would shuffle the bodies.
     """
     documents = sources.select("document_id", "document_url", "namespace", "input_format").join(
         bodies.select("document_id", "body"), "document_id"
     )
-    return Chunked(split_documents(documents, "body", max_chars, overlap).drop("body"), run_date or today())
+    missing = sources.join(bodies.select("document_id"), "document_id", "left_anti") if report_missing else None
+    split = split_documents(documents, "body", max_chars, overlap).drop("body")
+    return Chunked(split, run_date or today(), missing)

@@ -28,7 +28,7 @@ def landing_targets(sources: DataFrame, base_dir: str = "/") -> DataFrame:
 def land_pages(pages: DataFrame, sources: DataFrame, base_dir: str = "/") -> DataFrame:
     """``(document_id, target, mode, content, error)`` of every source.
 
-    ``pages(url, content, headers)`` are fetched responses. A source without one, or whose address is not
+    ``pages(url, content, headers)`` are fetched responses, one per address. A source without one, or whose address is not
     http(s), or whose charset is unknown, has an error and no content; the others are not affected.
     """
     targets = landing_targets(sources, base_dir).withColumn("url", strip(F.col("document_url")))

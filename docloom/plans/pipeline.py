@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import urls
-from docloom.operators.chunking import Chunked, chunk_documents, to_records
+from docloom.operators.chunking import Chunked, chunk_documents, dispatch, to_records
 from docloom.operators.landing import land_pages, landed_bodies, missing_bodies, run_status
 from docloom.operators.longdocs import split_pages
 from docloom.operators.markdown_pages import split_markdown_pages
@@ -45,13 +45,27 @@ def prepare(sources: DataFrame, stored: DataFrame, pages: DataFrame, base_dir: s
 
 
 def ingest(
-    spark: SparkSession, table: str, prepared: Prepared, run_date: str | None = None, strict: bool = True
+    spark: SparkSession,
+    table: str,
+    prepared: Prepared,
+    run_date: str | None = None,
+    strict: bool = True,
+    page_texts: DataFrame | None = None,
 ) -> tuple[Chunked, DataFrame | None]:
-    """Chunk and upsert; returns the chunks (with their quarantine) and the summary per namespace."""
-    chunked = chunk_documents(prepared.bodies, prepared.sources, run_date).stored()
+    """Chunk and upsert; returns the chunks (with their quarantine) and the summary per namespace.
+
+    ``page_texts(document_id, page_no, page_text)`` are the extracted pages of the PDF sources.
+    """
+    is_pdf = dispatch(F.col("input_format")) == "pdf"
+    others = prepared.sources if page_texts is None else prepared.sources.filter(~is_pdf)
+    chunked = chunk_documents(prepared.bodies, others, run_date).stored()
     if strict:
         chunked.strict()
-    return chunked, upsert_chunks(spark, table, chunked.chunks)
+    chunks = chunked.chunks
+    if page_texts is not None:
+        pages = chunk_pages(page_texts, prepared.sources.filter(is_pdf), chunked.run_date)
+        chunks = chunks.unionByName(pages)
+    return chunked, upsert_chunks(spark, table, chunks)
 
 
 def _records_of(pieces: DataFrame, sources: DataFrame, run_date: str | None) -> DataFrame:

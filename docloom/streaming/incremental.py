@@ -25,7 +25,7 @@ def ingest_stream(
     write = replace_documents if replace else upsert_chunks
 
     def take_in(batch: DataFrame, _batch_id: int) -> None:
-        write(batch.sparkSession, table, chunk_documents(batch, sources, run_date).chunks)
+        write(batch.sparkSession, table, chunk_documents(batch, sources, run_date, report_missing=False).chunks)
 
     stream = bodies.writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).start()

@@ -124,8 +124,8 @@ def test_stored_bodies_overwrite_by_path(spark, tmp_path):
 SOURCES = "pos bigint, document_id string, document_url string, document_path string, namespace string, input_format string"
 
 
-def five_sources(spark):
-    kinds = [("m", "md", "markdown"), ("t", "txt", "text"), ("j", "json", "json"), ("y", "yml", "yaml"), ("bad", "json", "json")]
+def six_sources(spark):
+    kinds = [("m", "md", "markdown"), ("t", "txt", "text"), ("j", "json", "json"), ("y", "yml", "yaml"), ("bad", "json", "json"), ("p", "pdf", "pdf")]
     return spark.createDataFrame(
         [(n, d, f"https://e.com/{d}", f"docs/{d}.{s}", "ns", f) for n, (d, s, f) in enumerate(kinds)], SOURCES
     )
@@ -133,25 +133,36 @@ def five_sources(spark):
 
 def test_whole_run(spark, table):
     stored = spark.createDataFrame(
-        [("/docs/m.md", b"# A\r\nx"), ("/docs/j.json", b'{"a": 1}'), ("/docs/y.yml", b"b: 2"), ("/docs/bad.json", b"{not: json")],
+        [("/docs/m.md", b"# A\r\nx"), ("/docs/j.json", b'{"a": 1}'), ("/docs/y.yml", b"b: 2"), ("/docs/bad.json", b"{not: json"), ("/docs/p.pdf", b"%PDF\xff")],
         "path string, content binary",
     )
     pages = spark.createDataFrame([("https://e.com/t", b"<p>Hi</p>", {})], "url string, content binary, headers map<string,string>")
-    prepared = dl.prepare(five_sources(spark), stored, pages)
+    prepared = dl.prepare(six_sources(spark), stored, pages)
     assert tuple(prepared.status().first()) == (1, 0, 0)
     with pytest.raises(RuntimeError, match="bad: Invalid JSON input"):
         dl.ingest(spark, table, prepared, "2024-01-01")
     assert dl.read_chunks(spark, table).count() == 0
-    chunked, summary = dl.ingest(spark, table, prepared, "2024-01-01", strict=False)
+    undecoded, _ = dl.ingest(spark, table, prepared, "2024-01-01", strict=False)
+    assert {r.document_id for r in undecoded.quarantine.collect()} == {"bad", "p"}
+    texts = spark.createDataFrame([("p", 2, "two "), ("p", 1, "one")], "document_id string, page_no int, page_text string")
+    chunked, summary = dl.ingest(spark, table, prepared, "2024-01-01", strict=False, page_texts=texts)
     assert [r.document_id for r in chunked.quarantine.collect()] == ["bad"]
-    assert tuple(summary.first()) == ("ns", 4, 1, 4)
+    assert tuple(summary.first()) == ("ns", 5, 1, 5)
     rows = {r.document_id: r for r in dl.read_chunks(spark, table).collect()}
     assert {k: (r.chunk_content, r.chunk_section_id, r.document_date) for k, r in rows.items()} == {
         "m": ("x", "A", "2024-01-01"), "t": ("Hi", None, "2024-01-01"),
-        "j": ('{"a":1}', None, "2024-01-01"), "y": ('{"b":2}', None, "2024-01-01"),
+        "p": ("one\n\ntwo", None, "2024-01-01"), "j": ('{"a":1}', None, "2024-01-01"), "y": ('{"b":2}', None, "2024-01-01"),
     }
 
 
+def test_sources_without_a_body_are_reported(spark):
+    bodies = spark.createDataFrame([("t", "x")], "document_id string, body string")
+    chunked = dl.chunk_documents(bodies, six_sources(spark), "2024-01-01")
+    assert {r.document_id: r.error for r in chunked.quarantine.collect()} == dict.fromkeys(["m", "j", "y", "bad", "p"], "no body")
+    assert chunked.chunks.count() == 1
+    assert dl.chunk_documents(bodies, six_sources(spark), report_missing=False).quarantine.count() == 0
+
+
 def test_stream_takes_in_new_bodies_and_can_repeat(spark, table, tmp_path):
     bodies = tmp_path / "bodies"
     schema = "document_id string, body string"
@@ -159,7 +170,7 @@ def test_stream_takes_in_new_bodies_and_can_repeat(spark, table, tmp_path):
 
     def run(checkpoint):
         stream = spark.readStream.schema(schema).parquet(str(bodies))
-        query = dl.ingest_stream(stream, five_sources(spark), table, str(tmp_path / checkpoint), "2024-01-01")
+        query = dl.ingest_stream(stream, six_sources(spark), table, str(tmp_path / checkpoint), "2024-01-01")
         query.awaitTermination()
 
     write(("t", "one"))
