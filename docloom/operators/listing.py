@@ -31,10 +31,15 @@ def widths(table: DataFrame) -> DataFrame:
 
 
 def padded(table: DataFrame) -> DataFrame:
-    """``line``: values padded to their column and joined; the widths come in as scalar subqueries."""
+    """``line``: values padded to their column and joined, or a message when there are none.
+
+    The widths and the number of rows come in as scalar subqueries.
+    """
     wide = widths(table)
     cells = [pad(F.coalesce(c, F.lit("")), wide.select(c).scalar()) for c in table.columns]
-    return table.select(F.concat_ws(" | ", *cells).alias("line"))
+    rows = table.agg(F.count("*").alias("n")).scalar()
+    message = table.sparkSession.range(1).filter(rows == 0).select(F.lit(EMPTY).alias("line"))
+    return table.select(F.concat_ws(" | ", *cells).alias("line")).unionByName(message)
 
 
 def tabbed(sources: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import docloom as dl
@@ -76,6 +78,38 @@ def test_assembly_in_parts_joins_to_the_whole(spark, pages):
     assert {r.document_id: (r.part_no, r.body) for r in whole.collect()} == {d: (0, t) for d, t in joined(pages).items()}
 
 
+LIMIT, REPEAT = 12, 4
+paragraphs = st.sampled_from(["a", "bb cc", "d" * 11, "e" * 12, "f" * 13, "g" * 30, "h\ni", "k  l", "m" * 100, "n\n\n\no"])
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(paragraphs, min_size=1, max_size=60), st.integers(4 * LIMIT, 90))
+def test_any_split_into_parts_gives_the_same_pieces(texts, part_chars):
+    """The steps of the spread-out path on one document, without Spark."""
+    parts, offset = {}, 0
+    for text in texts:
+        parts.setdefault(offset // part_chars, []).append(text)
+        offset += len(text) + 2
+    bodies = ["\n\n".join(p) for _, p in sorted(parts.items())]
+    head = 2 * LIMIT + 4
+    entry, origin, found = 0, 0, []
+    for n, body in enumerate(bodies):
+        ahead = "".join("\n\n" + b[:head] for b in bodies[n + 1 : n + 2])
+        if len(ahead) - 2 < head or len(bodies[n + 1]) == head:
+            ahead += "".join("\n\n" + b[:head] for b in bodies[n + 2 : n + 3])
+        chain = PartChain(body, n == 0, ahead, LIMIT, REPEAT)
+        shift = origin - (2 if n else 0)
+        pieces = chain.emit(entry)
+        found += [(shift + s, shift + e, c) for s, e, c in pieces]
+        hops = {h[0]: h[1:] for h in chain.hops()}
+        if entry != -1:
+            entry, count = hops[entry]
+            assert count == len(pieces)
+        origin += len(body) + 2
+    assert entry == -1
+    assert found == split_text("\n\n".join(texts), LIMIT, REPEAT)
+
+
 def test_a_part_hands_on_every_possible_entry():
     body = "\n\n".join("g" * 97 for _ in range(200))
     chain = PartChain(body, False, ("\n\n" + "g" * 97) * 40, 1792, 128)

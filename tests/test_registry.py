@@ -129,7 +129,9 @@ def test_listing(spark):
     assert [(r.Document, r.Path) for r in table.collect()] == [("doc", "docs/doc.md"), ("y", "/else/y.md"), ("z", "docs/z.md")]
     lines = [r.line for r in dl.padded(table).collect()]
     assert lines[0] == "doc      | markdown | n         | docs/doc.md | https://url"
-    assert dl.widths(registry(spark).limit(0).select("document_id")).first()[0] == len("document_id")
+    empty = dl.listing(spark.createDataFrame([], SCHEMA), "/b")
+    assert [r.line for r in dl.padded(empty).collect()] == ["No documents configured."]
+    assert dl.widths(empty.select("Document")).first()[0] == len("Document")
     assert [r.line for r in dl.tabbed(registry(spark, GOOD)).collect()] == ["doc\tmarkdown\thttps://example.com/source"]
 
 
