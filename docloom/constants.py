@@ -31,6 +31,30 @@ REGISTRY_KEYS = {
     "input-format": "input_format",
 }
 
+# Wording of the problems a registry can have. Entries are put in front as "<id>: ".
+WORDING = {
+    # when an entry is coerced
+    "invalid_id": "invalid document id: {} (must be a non-empty string)",
+    "not_a_mapping": "entry must be a mapping of configuration values",
+    "missing_key": "missing required key '{}'",
+    "not_a_string": "key '{}' must be a string",
+    "not_a_registry": "configuration file must contain a mapping at the top level",
+    # when it is validated
+    "empty_id": "invalid document id: '' (must be non-empty str)",
+    "missing_keys": "missing keys: [{}]",
+    "blank": "'{}' must be a non-empty string",
+    "format_required": "'input-format' is required and must be a non-empty string",
+    "format_unknown": "'input-format' must be one of ['json', 'markdown', 'pdf', 'text', 'yaml']; got {}",
+    "url_not_http": "'document-url' must be an absolute http(s) URL; got {}",
+    "path_missing": "'document-path' does not exist: {}",
+    "suffix_json": "expected a .json file for input-format=json; got {}",
+    "suffix_markdown": "expected a markdown file (.md/.markdown/.mdown/.mkd) for input-format=markdown; got {}",
+    "suffix_pdf": "expected a .pdf file for input-format=pdf; got {}",
+    "suffix_text": "expected a .txt file for input-format=text; got {}",
+    "suffix_yaml": "expected a .yml/.yaml file for input-format=yaml; got {}",
+    "namespace_required": "'pinecone-namespace' must be non-empty",
+}
+
 # Index properties recorded on the chunk table.
 TEXT_FIELD = "chunk_content"
 METRIC = "cosine"

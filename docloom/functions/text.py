@@ -58,6 +58,19 @@ def normalize_whitespace(c: Column) -> Column:
     return strip(c)
 
 
+def worded(wording: str, *values: Column) -> Column:
+    """``wording`` with a value at each ``{}``."""
+    first, *others = wording.split("{}")
+    parts = [F.lit(first)]
+    for value, text in zip(values, others, strict=True):
+        parts += [value, F.lit(text)]
+    return F.concat(*parts)
+
+
+def quoted(c: Column) -> Column:
+    return F.concat(F.lit("'"), c, F.lit("'"))
+
+
 def truncate(c: Column, limit: int = TRUNCATE_AT) -> Column:
     """Cut to ``limit`` characters, the last three being dots when something was cut."""
     cut = F.concat(F.substring(c, 1, limit - 3), F.lit("..."))

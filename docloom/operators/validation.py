@@ -5,91 +5,63 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.constants import FORMAT_SUFFIXES, FORMATS, REGISTRY_KEYS
+from docloom.constants import FORMAT_SUFFIXES, FORMATS, REGISTRY_KEYS, WORDING
 from docloom.functions import urls
-from docloom.functions.text import strip
+from docloom.functions.text import quoted, strip, worded
 from docloom.sources.registry import InvalidSources
 
-# Fixed wording of the file kinds that messages name.
-EXPECTED = {
-    "json": "a .json file",
-    "markdown": "a markdown file (.md/.markdown/.mdown/.mkd)",
-    "pdf": "a .pdf file",
-    "text": "a .txt file",
-    "yaml": "a .yml/.yaml file",
-}
 
+def _issue(when: Column, rule: str, wording: str, *values: Column) -> Column:
+    """The problem of an entry, or null."""
+    message = F.concat(F.col("document_id"), F.lit(": "), worded(WORDING[wording], *values))
+    return F.when(when, F.struct(F.lit(rule).alias("rule"), message.alias("message")))
 
-def _quoted(c: Column) -> Column:
-    return F.concat(F.lit("'"), c, F.lit("'"))
 
-
-def _issue(when: Column, rule: str, *message) -> Column:
-    text = F.concat(F.col("document_id"), F.lit(": "), *message)
-    return F.when(when, F.struct(F.lit(rule).alias("rule"), text.alias("message")))
+def _value(column: str) -> Column:
+    return F.coalesce(F.col(column), F.lit(""))
 
 
 def required_strings() -> list[Column]:
     """Keys that are missing, named in one sorted list, then keys that are there but blank, sorted."""
     keys = sorted(REGISTRY_KEYS)
-    missing = F.array_sort(
-        F.array_except(
-            F.array(*map(F.lit, keys)),
-            F.array_compact(F.array(*[F.when(F.col(REGISTRY_KEYS[k]).isNotNull(), F.lit(k)) for k in keys])),
-        )
-    )
-    listed = F.array_join(F.transform(missing, _quoted), ", ")
-    out = [_issue(F.size(missing) > 0, "missing_keys", F.lit("missing keys: ["), listed, F.lit("]"))]
+    present = F.array_compact(F.array(*[F.when(F.col(REGISTRY_KEYS[k]).isNotNull(), F.lit(k)) for k in keys]))
+    missing = F.array_sort(F.array_except(F.array(*map(F.lit, keys)), present))
+    listed = F.array_join(F.transform(missing, quoted), ", ")
+    found = [_issue(F.size(missing) > 0, "missing_keys", "missing_keys", listed)]
     for key in keys:
-        blank = F.col(REGISTRY_KEYS[key]).isNotNull() & (strip(F.col(REGISTRY_KEYS[key])) == "")
-        out.append(_issue(blank, f"blank_{REGISTRY_KEYS[key]}", F.lit(f"'{key}' must be a non-empty string")))
-    return out
-
-
-def _value(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+        column = REGISTRY_KEYS[key]
+        blank = F.col(column).isNotNull() & (strip(F.col(column)) == "")
+        found.append(_issue(blank, f"blank_{column}", "blank", F.lit(key)))
+    return found
 
 
 def input_format() -> list[Column]:
     fmt = strip(_value("input_format"))
-    allowed = ", ".join(f"'{f}'" for f in sorted(FORMATS))
+    unknown = (fmt != "") & ~F.lower(fmt).isin(*FORMATS)
     return [
-        _issue(fmt == "", "format_required", F.lit("'input-format' is required and must be a non-empty string")),
-        _issue(
-            (fmt != "") & ~F.lower(fmt).isin(*FORMATS),
-            "format_unknown",
-            F.lit(f"'input-format' must be one of [{allowed}]; got "),
-            _quoted(_value("input_format")),
-        ),
+        _issue(fmt == "", "format_required", "format_required"),
+        _issue(unknown, "format_unknown", "format_unknown", quoted(_value("input_format"))),
     ]
 
 
 def url_field() -> list[Column]:
     url = _value("document_url")
-    message = F.lit("'document-url' must be an absolute http(s) URL; got ")
-    return [_issue((url != "") & ~urls.is_http(url), "url_not_http", message, _quoted(url))]
+    return [_issue((url != "") & ~urls.is_http(url), "url_not_http", "url_not_http", quoted(url))]
 
 
 def path_and_suffix(resolved: Column, exists: Column) -> list[Column]:
     """File presence, and the suffix the format asks for (skipped for an unknown format)."""
     given = _value("document_path") != ""
     fmt = F.lower(strip(_value("input_format")))
-    suffix = urls.suffix(resolved)
-    out = [_issue(given & ~exists, "path_missing", F.lit("'document-path' does not exist: "), resolved)]
+    found = [_issue(given & ~exists, "path_missing", "path_missing", resolved)]
     for name, allowed in FORMAT_SUFFIXES.items():
-        wrong = given & (fmt == name) & ~suffix.isin(*allowed)
-        message = F.lit(f"expected {EXPECTED[name]} for input-format={name}; got ")
-        out.append(_issue(wrong, "suffix_mismatch", message, urls.basename(resolved)))
-    return out
+        wrong = given & (fmt == name) & ~urls.suffix(resolved).isin(*allowed)
+        found.append(_issue(wrong, "suffix_mismatch", f"suffix_{name}", urls.basename(resolved)))
+    return found
 
 
 def namespace_field() -> list[Column]:
-    blank = strip(_value("namespace")) == ""
-    return [_issue(blank, "namespace_required", F.lit(f"{_quoted_key('namespace')} must be non-empty"))]
-
-
-def _quoted_key(column: str) -> str:
-    return next(f"'{k}'" for k, v in REGISTRY_KEYS.items() if v == column)
+    return [_issue(strip(_value("namespace")) == "", "namespace_required", "namespace_required")]
 
 
 def with_issues(sources: DataFrame, base_dir: str = "/", files: DataFrame | None = None) -> DataFrame:
@@ -116,7 +88,7 @@ def with_issues(sources: DataFrame, base_dir: str = "/", files: DataFrame | None
     no_id = F.col("document_id") == ""
     bad_id = F.struct(
         F.lit("invalid_id").alias("rule"),
-        F.lit("invalid document id: '' (must be non-empty str)").alias("message"),
+        F.lit(WORDING["empty_id"]).alias("message"),
     )
     return df.withColumn("issues", F.when(no_id, F.array(bad_id)).otherwise(rules)).select(*sources.columns, "issues")
 

@@ -401,7 +401,7 @@ def record_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         chunking.split_documents(inputs.text_documents(spark, sf_dir)), "namespace", "document_id", "document_url"
     )
     records = chunking.to_records(pieces, RUN_DATE).select("*", F.substring_index("_id", ":chunk", -1).alias("i"))
-    return export.array_lines(records.withColumn("i", F.col("i").cast("bigint")))
+    return export.array_lines(pinned(records.withColumn("i", F.col("i").cast("bigint"))))
 
 
 def _revised(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.schemas import RECORD_COLUMNS
+from docloom.session import pinned
 
 
 def record_json(chunks: DataFrame) -> Column:
@@ -42,6 +43,7 @@ def array_lines(numbered: DataFrame) -> DataFrame:
 
     The rows in order, a line end after each, are the array: no step holds it whole. The comma stands in
     front of a record, the first record is found by a scalar subquery, and the brackets are rows of their own.
+    The records are read more than once (first record, ranges, rows): give a stored table.
     """
     first = numbered.agg(F.min(F.struct("document_id", "i"))).scalar()
     at = [F.col("document_id"), F.col("i").cast("bigint").alias("i")]
@@ -55,6 +57,6 @@ def array_lines(numbered: DataFrame) -> DataFrame:
 
 def export_array(numbered: DataFrame, path: str) -> int:
     """Write the array so that its part files, joined in name order, are one JSON document. Returns its bytes."""
-    lines = array_lines(numbered)
+    lines = array_lines(pinned(numbered))
     lines.write.mode("overwrite").text(path)
     return numbered.sparkSession.read.text(path).agg(F.sum(F.octet_length("value") + 1)).first()[0]

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.constants import REGISTRY_KEYS
-from docloom.functions.text import strip
+from docloom.constants import REGISTRY_KEYS, WORDING
+from docloom.functions.text import quoted, strip, worded
 from docloom.schemas import SOURCES
 
 try:
@@ -65,7 +65,7 @@ def _parse_file(files: pa.Array) -> pa.Array:
         if tree is None:
             return {"entries": [], "error": None}
         if not isinstance(tree, dict):
-            return {"entries": [], "error": "configuration file must contain a mapping at the top level"}
+            return {"entries": [], "error": WORDING["not_a_registry"]}
         entries = [
             {
                 "key": text(key),
@@ -98,33 +98,21 @@ def read_entries(spark: SparkSession, path: str, fmt: str = "yaml") -> DataFrame
 def coerce_entries(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(sources, issues)`` of raw entries; keys the schema does not know are dropped."""
     bad_key = F.col("key").isNull() | (strip(F.col("key")) == "")
-    name = F.concat(F.col("key"), F.lit(": "))
 
-    def issue(when: Column, rule: str, message: Column) -> Column:
+    def issue(when: Column, rule: str, *values: Column) -> Column:
+        message = worded(WORDING[rule], *values)
+        if rule != "invalid_id":
+            message = F.concat(F.col("key"), F.lit(": "), message)
         return F.when(when, F.struct(F.lit(rule).alias("rule"), message.alias("message")))
 
     found = [
-        issue(
-            bad_key,
-            "invalid_id",
-            F.concat(F.lit("invalid document id: '"), F.coalesce("key", F.lit("")), F.lit("' (must be a non-empty string)")),
-        ),
-        issue(
-            ~bad_key & F.col("entry").isNull(),
-            "not_a_mapping",
-            F.concat(name, F.lit("entry must be a mapping of configuration values")),
-        ),
+        issue(bad_key, "invalid_id", quoted(F.coalesce("key", F.lit("")))),
+        issue(~bad_key & F.col("entry").isNull(), "not_a_mapping"),
     ]
     for key in REGISTRY_KEYS:
         has = F.map_contains_key("entry", key)
-        found.append(issue(~bad_key & ~has, "missing_key", F.concat(name, F.lit(f"missing required key '{key}'"))))
-        found.append(
-            issue(
-                ~bad_key & has & F.col("entry")[key].isNull(),
-                "not_a_string",
-                F.concat(name, F.lit(f"key '{key}' must be a string")),
-            )
-        )
+        found.append(issue(~bad_key & ~has, "missing_key", F.lit(key)))
+        found.append(issue(~bad_key & has & F.col("entry")[key].isNull(), "not_a_string", F.lit(key)))
     kept = F.filter(F.array(*found), lambda i: i.isNotNull())
     checked = entries.withColumn("_issues", kept)
     issues = checked.select("pos", F.col("key").alias("document_id"), F.posexplode("_issues").alias("seq", "_i")).select(
