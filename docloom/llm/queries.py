@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from docloom.llm import exact_dedup, mixing, packing, simhash
+from docloom.llm import exact_dedup, mixing, packing, simhash, toxicity
 
 QUERIES = {
     "op1_pareto_mix": mixing.query,
+    "op3_pu_toxicity": toxicity.query,
     "op6_covering_simhash": simhash.query,
     "op8_length_buckets": packing.query,
     "op10_exact_dedup": exact_dedup.query,
