@@ -21,7 +21,11 @@ from docloom.llm.common import ascii_lower, table
 from docloom.session import pinned, shared_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Settings of the state while a stream runs; every store would reserve several MB of disk for logs beforehand.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 RECORD = "key BIGINT, row BIGINT, digest BINARY, sha STRING, locator STRING"
 
 
@@ -46,8 +50,9 @@ def run_stream(spark: SparkSession, source: str, state: str, out: str, files_per
 
     Every batch writes the digests it changed to ``out``, in a folder of its own, which a repeated batch overwrites.
     """
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     try:
         reader = spark.readStream.schema(RECORD)
         if files_per_batch:
@@ -65,7 +70,8 @@ def run_stream(spark: SparkSession, source: str, state: str, out: str, files_per
             availableNow=True
         ).start().awaitTermination()
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def groups(spark: SparkSession, out: str) -> DataFrame:
