@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from docloom.llm import exact_dedup, mixing, packing, simhash, toxicity
+from docloom.llm import exact_dedup, mixing, packing, simhash, substring, toxicity
 
 QUERIES = {
     "op1_pareto_mix": mixing.query,
     "op3_pu_toxicity": toxicity.query,
     "op6_covering_simhash": simhash.query,
+    "op7_seed_extend": substring.query,
     "op8_length_buckets": packing.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
 ORACLES = {
     "op1_pareto_mix": mixing.ORACLE,
+    "op7_seed_extend": substring.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
