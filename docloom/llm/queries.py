@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docloom.llm import exact_dedup, katz, mixing, packing, simhash, substring, toxicity
+from docloom.llm import exact_dedup, katz, mixing, packing, simhash, substring, toxicity, vectors
 
 QUERIES = {
     "op1_pareto_mix": mixing.query,
     "op3_pu_toxicity": toxicity.query,
+    "op4_product_quantisation": vectors.query,
     "op5_katz_backoff": katz.query,
     "op6_covering_simhash": simhash.query,
     "op7_seed_extend": substring.query,
