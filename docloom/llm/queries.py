@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docloom.llm import exact_dedup, katz, mixing, packing, simhash, substring, toxicity, vectors
+from docloom.llm import exact_dedup, katz, licences, mixing, packing, simhash, substring, toxicity, vectors
 
 QUERIES = {
     "op1_pareto_mix": mixing.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_covering_simhash": simhash.query,
     "op7_seed_extend": substring.query,
     "op8_length_buckets": packing.query,
+    "op9_licence_classifier": licences.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
