@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from docloom.llm import exact_dedup, katz, licences, mixing, packing, simhash, substring, toxicity, vectors
+from docloom.llm import exact_dedup, katz, licences, mixing, packing, simhash, substring, toxicity, vectors, wrappers
 
 QUERIES = {
     "op1_pareto_mix": mixing.query,
+    "op2_wrapper_text": wrappers.query,
     "op3_pu_toxicity": toxicity.query,
     "op4_product_quantisation": vectors.query,
     "op5_katz_backoff": katz.query,
