@@ -187,6 +187,22 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text") -> Da
     return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, score double").withColumnRenamed("key", key)
 
 
+def without_toxic(docs: DataFrame, model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below 0.5, whole and unchanged."""
+    keys, weights, bias = model
+    name = docs.schema[text].name
+    rows = docs.withColumnRenamed(name, "text") if name != "text" else docs
+
+    def run(batches):
+        for batch in batches:
+            for part, data, offsets in in_pieces(batch, "text"):
+                t, at = present(*word_features(LOWER[data], offsets), keys)
+                margin = np.bincount(t, weights[at] if len(weights) else None, part.num_rows)[: part.num_rows] + bias
+                yield part.filter(pa.array(margin < 0))
+
+    return rows.mapInArrow(run, rows.schema).withColumnRenamed("text", name)
+
+
 def held_out(key: str, folds: int = FOLDS):
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(folds)) == 0
 
