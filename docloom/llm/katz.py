@@ -246,7 +246,7 @@ def count_pairs(asked: DataFrame, singles: Singles, hot: float) -> DataFrame:
         total = np.bincount(place, n, len(first)).astype(np.int64)
         history, which = np.unique(h[first], return_inverse=True)
         seen = total > 0
-        mass = np.bincount(which[seen], singles.p(w_count[first][seen]), len(history))
+        mass = np.bincount(which[seen], singles.p(w_count[first][seen]), len(history)).astype(float)
         few = np.stack([np.bincount(which[total == r], minlength=len(history)) for r in range(1, LIMIT + 1)], axis=1)
         out = [(4, None, bucket, pack(h[first]), pack(w[first]), pack(total), of_counts(total), None)]
         every, at = np.unique(np.concatenate(heads), return_index=True)
