@@ -34,7 +34,7 @@ from docloom.session import pinned
 
 #: Largest count that is discounted.
 LIMIT = 5
-BLOCK = 12 << 20
+BLOCK = 6 << 20
 PER_BUCKET, BUCKETS = 1_000_000, 64
 END = np.uint64(0x5EED0E4D)
 FOLDS = 10
@@ -147,7 +147,7 @@ def of_counts(n: np.ndarray) -> list[int]:
 
 def count_words(asked: DataFrame) -> DataFrame:
     """Per bucket: kind 2, the table (a: words, b: counts; counts: counts of counts, types, tokens); and per question
-    kind 3, the answer (a: numbers of its words in the bucket, b: their counts)."""
+    kind 3, the answer (a: ranks of its words in the bucket by count, b: their counts)."""
 
     def run(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket")[0].as_py()
@@ -155,10 +155,13 @@ def count_words(asked: DataFrame) -> DataFrame:
         counts = [unpack(x) for x in group.column("b").to_pylist()]
         different, place = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(place, np.concatenate(counts), len(different)).astype(np.int64)
-        out = [(2, None, bucket, pack(different), pack(total), None, [*of_counts(total), int((total > 0).sum()), int(total.sum()), len(different)], None)]
+        out = [(2, None, bucket, pack(different), pack(total), None, [*of_counts(total), int((total > 0).sum()), int(total.sum())], None)]
+        # frequent words get small numbers, which pack well
+        rank = np.empty(len(total), np.int64)
+        rank[np.argsort(-total, kind="stable")] = np.arange(len(total))
         at = np.cumsum([len(w) for w in words])[:-1]
         for block, mine in zip(group.column("block").to_pylist(), np.split(place, at), strict=True):
-            out.append((3, block, bucket, pack(mine), pack(total[mine]), None, None, None))
+            out.append((3, block, bucket, pack(rank[mine]), pack(total[mine]), None, None, None))
         return replies(out)
 
     return asked.groupBy("bucket").applyInArrow(run, REPLY)
@@ -167,19 +170,19 @@ def count_words(asked: DataFrame) -> DataFrame:
 class Block:
     """Tokens of a block with the totals of its words, and its different pairs with a known history, by bucket."""
 
-    def __init__(self, block: pa.Table, words: list[tuple], bases: np.ndarray, n_train: int, hot: float, buckets: int):
+    def __init__(self, block: pa.Table, words: list[tuple], n_train: int, hot: float, buckets: int):
         self.keys = block.column("keys")[0].as_py()
         self.train = np.array(block.column("train")[0].as_py(), bool)
         self.lengths = unpack(block.column("lengths")[0].as_py())
         self.tokens = unpack(block.column("a")[0].as_py())
         self.text = np.repeat(np.arange(len(self.lengths)), self.lengths)
         words = sorted(words, key=lambda w: w[0])
-        ids = np.concatenate([unpack(a) + bases[k] for k, a, _ in words])
+        ids = np.concatenate([unpack(a) * buckets + k + 2 for k, a, _ in words])
         counts = np.concatenate([unpack(b) for *_, b in words])
         # two more entries: the beginning of a text, which is a history only, and any unknown word
         start, unknown = len(ids), len(ids) + 1
         self.counts = counts[self.tokens]
-        count, id_ = np.append(counts, [n_train, 0]), np.append(ids, [bases[-1], bases[-1] + 1])
+        count, id_ = np.append(counts, [n_train, 0]), np.append(ids, [0, 1])
         before = np.empty(len(self.tokens), np.int64)
         before[1:] = self.tokens[:-1]
         before[np.cumsum(self.lengths) - self.lengths] = start
@@ -211,9 +214,9 @@ def word_replies(table_: pa.Table) -> list[tuple]:
 PAIRS = "block bigint, bucket int, h binary, h_count binary, runs binary, w binary, w_count binary, n binary"
 
 
-def ask_pairs(blocks: DataFrame, answers: DataFrame, bases, n_train, hot, buckets) -> DataFrame:
+def ask_pairs(blocks: DataFrame, answers: DataFrame, n_train, hot, buckets) -> DataFrame:
     def run(block: pa.Table, answers_: pa.Table) -> pa.Table:
-        b = Block(block, word_replies(answers_), bases, n_train, hot, buckets)
+        b = Block(block, word_replies(answers_), n_train, hot, buckets)
         id_ = block.column("block")[0].as_py()
         rows = [
             (id_, k, pack(b.h[mine][new]), pack(b.h_count[mine][new]), pack(np.diff(np.append(new, len(mine)))), pack(b.w[mine]), pack(b.w_count[mine]), pack(b.n[mine]))
@@ -261,12 +264,12 @@ def count_pairs(asked: DataFrame, singles: Singles, hot: float) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(run, REPLY)
 
 
-def evaluate(blocks: DataFrame, answers: DataFrame, singles: Singles, d, sums, bases, n_train, hot, buckets) -> DataFrame:
+def evaluate(blocks: DataFrame, answers: DataFrame, singles: Singles, d, sums, n_train, hot, buckets) -> DataFrame:
     """Score every text of the blocks."""
     names = ["key", "train", "n_tokens", "n_known", "base_score", "score"]
 
     def run(block: pa.Table, answers_: pa.Table) -> pa.Table:
-        b = Block(block, word_replies(answers_), bases, n_train, hot, buckets)
+        b = Block(block, word_replies(answers_), n_train, hot, buckets)
         got = {r["bucket"]: r for r in answers_.select(["kind", "bucket", "a", "b", "c"]).to_pylist() if r["kind"] == 5}
         p = np.zeros(len(b.h))
         for k, mine, new in b.parts():
@@ -324,20 +327,19 @@ def katz(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text"
     n_train = laid.where("kind = 0").agg(F.sum(F.size(F.filter("train", lambda t: t)))).first()[0] or 0
     blocks = laid.where("kind = 0").select("block", "keys", "train", "lengths", "a")
     word_counts = pinned(count_words(laid.where("kind = 1").select("block", "bucket", "a", "b")))
-    counts = {r[0]: r[1] for r in word_counts.where("kind = 2").select("bucket", "counts").collect()}
-    bases = np.cumsum([0, *[counts[k][-1] if k in counts else 0 for k in range(buckets)]])
-    sums_ = np.sum([np.zeros(LIMIT + 5, np.int64), *counts.values()], axis=0)
-    singles = Singles.of(int(sums_[-2]), int(sums_[-3]), sums_[: LIMIT + 2])
+    per_bucket = word_counts.where("kind = 2").select(*[F.col("counts")[r].alias(f"n{r}") for r in range(LIMIT + 4)])
+    *n, types, tokens = [x or 0 for x in per_bucket.agg(*[F.sum(c) for c in per_bucket.columns]).first()]
+    singles = Singles.of(tokens, types, np.array(n, np.int64))
     hot = singles.tokens / (4 * buckets)
     answers = word_counts.where("kind = 3").select("block", "kind", "bucket", "a", "b", "c")
-    asked = ask_pairs(blocks, answers.select("block", "kind", "bucket", "a", "b"), bases, n_train, hot, buckets)
+    asked = ask_pairs(blocks, answers.select("block", "kind", "bucket", "a", "b"), n_train, hot, buckets)
     pair_counts = pinned(count_pairs(asked, singles, hot))
     tables = pair_counts.where("kind = 4").select(*[F.col("counts")[r].alias(f"n{r}") for r in range(LIMIT + 2)])
     n = np.array([x or 0 for x in tables.agg(*[F.sum(c) for c in tables.columns]).first()], np.int64)
     added = pair_counts.where("kind = 6").groupBy(F.col("counts")[0]).agg(*[F.sum(F.col("sums")[r]) for r in range(LIMIT + 1)])
     sums = {r[0]: tuple(r[1:]) for r in added.collect()}
     both = answers.union(pair_counts.where("kind = 5").select("block", "kind", "bucket", "a", "b", "c"))
-    scored = evaluate(blocks, both, singles, discounts(n), sums, bases, n_train, hot, buckets)
+    scored = evaluate(blocks, both, singles, discounts(n), sums, n_train, hot, buckets)
     return Katz(
         scored.select("key", "train", "n_tokens", "n_known", F.lit(singles.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"),
         word_counts.where("kind = 2").select("bucket", F.col("a").alias("words"), F.col("b").alias("counts")),

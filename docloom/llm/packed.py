@@ -16,7 +16,7 @@ def pack(x: np.ndarray) -> bytes:
         x = x.astype("BHIQ"[sum(most >= 1 << bits for bits in (8, 16, 32))])
     code = KINDS.index(x.dtype.char if x.dtype.char in KINDS else "Q")
     parts = x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() if len(x) else b""
-    return bytes([code]) + zstandard.ZstdCompressor(level=1).compress(parts)
+    return bytes([code]) + zstandard.ZstdCompressor(level=3).compress(parts)
 
 
 def unpack(data: bytes) -> np.ndarray:
