@@ -53,6 +53,12 @@ WORDING = {
     "suffix_text": "expected a .txt file for input-format=text; got {}",
     "suffix_yaml": "expected a .yml/.yaml file for input-format=yaml; got {}",
     "namespace_required": "'pinecone-namespace' must be non-empty",
+    # when it is looked up or changed
+    "no_selection": "either all_docs or single_id must be given",
+    "unknown_id": "unknown document id: {}",
+    "empty_document_id": "document id must be a non-empty string",
+    # when chunks are stored or deleted
+    "empty_namespace": "namespace must be a non-empty string",
 }
 
 # Index properties recorded on the chunk table.
@@ -75,6 +81,3 @@ WHITESPACE = (
 # one row: it is split from parts of PART_CHARS instead (operators/longdocs.py), with the same result.
 BODY_CHARS = 64_000_000
 PART_CHARS = 32_000_000
-
-# Consecutive pages (or markdown parts) that are pre-aggregated together for a document over BODY_CHARS.
-PAGES_PER_BLOCK = 256

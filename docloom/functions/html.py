@@ -86,34 +86,16 @@ def _chain(bare: Column) -> Column:
     return unescape(F.array_join(F.filter(fragments, lambda f: f != ""), " "))
 
 
-class _Visible(HTMLParser):
-    """Collects the text outside script and style."""
-
-    def __init__(self):
-        super().__init__()
-        self.fragments: list[str] = []
-        self.hidden = 0
-
-    def handle_starttag(self, tag, attrs):
-        self.hidden += tag in ("script", "style")
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style") and self.hidden:
-            self.hidden -= 1
-
-    def handle_data(self, data):
-        if not self.hidden:
-            self.fragments.append(data)
-
-
 def visible_text(page: str) -> str:
-    """Visible fragments, each stripped, joined by a space, references unescaped once more.
+    """Text outside script and style, each run of it stripped, apart by a space, references unescaped once more.
 
-    The parser is not closed: what it still holds back at the end of the page is left out.
+    The parser itself knows which element's raw content it is in. It is not closed: what it still holds back at
+    the end of the page is left out.
     """
-    parser = _Visible()
+    parser, seen = HTMLParser(), []
+    parser.handle_data = lambda run: seen.append("" if parser.cdata_elem in ("script", "style") else run.strip())
     parser.feed(page)
-    return _html.unescape(" ".join(filter(None, (f.strip() for f in parser.fragments))))
+    return _html.unescape(" ".join(run for run in seen if run))
 
 
 @F.arrow_udf(T.StringType())

@@ -20,7 +20,12 @@ from pyspark.sql import types as T
 from docloom.functions.text import strip
 
 LEVELS = 5
-FENCE = LEVELS + 1
+# Lines that open or close a code block. Backticks that are closed on their own line open nothing, but like any
+# line that begins with the block's own fence they end one.
+BACKTICKS, TILDES, INLINE = LEVELS + 1, LEVELS + 2, LEVELS + 3
+# State behind a fence line, by the state before it: 0 no block, 1 one of backticks, 2 one of tildes.
+AFTER = {BACKTICKS: (1, 0, 2), TILDES: (2, 1, 0), INLINE: (0, 0, 2)}
+STATES = 3
 
 HEADER = r"^(#{1,5}) "
 
@@ -35,10 +40,25 @@ SECTION = T.StructType(
 
 
 def line_class(line: Column) -> Column:
-    """0 for content, 1 to 5 for a header of that level, 6 for a fence; ``line`` is stripped."""
+    """0 for content, 1 to 5 for a header of that level, more for a fence line; ``line`` is stripped."""
     level = F.length(F.regexp_extract(line, HEADER, 1))
-    fence = line.startswith("```") | line.startswith("~~~")
-    return F.when(line.startswith("#"), level).when(fence, F.lit(FENCE)).otherwise(F.lit(0))
+    closed = F.locate("```", line, 4) > 0
+    backticks = F.when(closed, F.lit(INLINE)).otherwise(F.lit(BACKTICKS))
+    return (
+        F.when(line.startswith("#"), level)
+        .when(line.startswith("```"), backticks)
+        .when(line.startswith("~~~"), F.lit(TILDES))
+        .otherwise(F.lit(0))
+    )
+
+
+def block_states(classes: np.ndarray, state: int = 0) -> np.ndarray:
+    """The state behind every line."""
+    at = np.flatnonzero(classes > LEVELS)
+    states = [state]
+    for c in classes[at].tolist():
+        states.append(AFTER[c][states[-1]])
+    return np.repeat(states, np.diff(np.concatenate([[0], at, [len(classes)]])))
 
 
 def title(line: Column) -> Column:
@@ -48,7 +68,7 @@ def title(line: Column) -> Column:
 
 def header_sections(classes: np.ndarray) -> list[tuple[int, int, list[int]]]:
     """``(first line, lines, header line per level)`` of the sections of one document."""
-    fenced = np.cumsum(classes == FENCE) % 2 == 1
+    fenced = block_states(classes) > 0
     found, in_force = [], [-1] * LEVELS
     starts = np.flatnonzero((classes > 0) & (classes <= LEVELS) & ~fenced).tolist()
     first = 0

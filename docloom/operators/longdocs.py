@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.constants import BODY_CHARS, MAX_CHARS, OVERLAP, PAGES_PER_BLOCK, PART_CHARS
+from docloom.constants import BODY_CHARS, MAX_CHARS, OVERLAP, PART_CHARS
 from docloom.functions.split import _piece_array, PIECES, check_limits, cuts, pieces_of, spans, step, stripped
 from docloom.functions.text import strip
 from docloom.operators.numbering import before, running_offsets
@@ -82,24 +82,27 @@ def oversized(pages: DataFrame, body_chars: int) -> DataFrame | None:
     return None if keys.isEmpty() else keys
 
 
-def into_parts(pages: DataFrame, part_chars: int, pages_per_block: int) -> DataFrame:
-    """``(key, part_no, body)``: runs of whole blocks of pages, a new part about every ``part_chars``.
+def in_blocks(pages: DataFrame, part_chars: int) -> DataFrame:
+    """Add ``part_no``: runs of whole pages, a new one about every ``part_chars`` characters.
 
-    Blocks of consecutive page numbers are counted first, so that the window over a document runs over
-    blocks. Part numbers ascend but may leave gaps.
+    A run has at most ``part_chars`` characters besides its last page. Only lengths take part in the running sum. Part
+    numbers ascend but may leave gaps.
     """
-    blocked = pages.withColumn("_block", F.floor(F.col("page_no") / F.lit(pages_per_block)))
-    sizes = blocked.groupBy(*KEY, "_block").agg(F.sum(F.length("page_text") + len(JOINER)).alias("_n"))
-    starts = running_offsets(sizes, KEY, ["_block"], "_n")
-    numbered = starts.select(*KEY, "_block", F.floor(F.col("offset") / F.lit(part_chars)).alias("part_no"))
-    return gather(blocked.join(numbered, [*KEY, "_block"]), [*KEY, "part_no"])
+    lengths = pages.select(*KEY, "page_no", (F.length("page_text") + len(JOINER)).cast("bigint").alias("_n"))
+    starts = running_offsets(lengths, KEY, ["page_no"], "_n")
+    numbered = starts.select(*KEY, "page_no", F.floor(F.col("offset") / F.lit(part_chars)).alias("part_no"))
+    return pages.join(numbered, [*KEY, "page_no"])
+
+
+def into_parts(pages: DataFrame, part_chars: int) -> DataFrame:
+    """``(key, part_no, body)``: the joined text of every run of pages."""
+    return gather(in_blocks(pages, part_chars), [*KEY, "part_no"])
 
 
 def assemble_pages(
     pages: DataFrame,
     body_chars: int = BODY_CHARS,
     part_chars: int = PART_CHARS,
-    pages_per_block: int = PAGES_PER_BLOCK,
 ) -> DataFrame:
     """``bodies(document_id, part_no, body)`` from ``pages(document_id, page_no, page_text)``.
 
@@ -113,7 +116,7 @@ def assemble_pages(
     bodies = gather(whole, KEY).withColumn("part_no", F.lit(0).cast("bigint")).select(columns)
     if large is None:
         return bodies
-    parts = into_parts(cleaned.join(large, KEY, "left_semi"), part_chars, pages_per_block)
+    parts = into_parts(cleaned.join(large, KEY, "left_semi"), part_chars)
     return bodies.unionByName(parts.select(columns))
 
 
@@ -311,7 +314,6 @@ def split_pages(
     overlap: int = OVERLAP,
     body_chars: int = BODY_CHARS,
     part_chars: int = PART_CHARS,
-    pages_per_block: int = PAGES_PER_BLOCK,
     fan_in: int = FAN_IN,
 ) -> DataFrame:
     """Pieces ``(document_id, section_no, i, start, end, content)`` of the joined pages of every document."""
@@ -330,5 +332,5 @@ def split_pages(
     )
     if large is None:
         return found
-    parts = into_parts(cleaned.join(large, KEY, "left_semi"), part_chars, pages_per_block)
+    parts = into_parts(cleaned.join(large, KEY, "left_semi"), part_chars)
     return found.unionByName(split_parts(parts, max_chars, overlap, fan_in).select(columns))

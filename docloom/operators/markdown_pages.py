@@ -1,20 +1,24 @@
 """Markdown documents that arrive as many rows, however large one of them is.
 
 Documents within ``BODY_CHARS`` are gathered and cut inside their row. A larger one stays spread out: its
-lines are scanned in blocks of pages, each block handing on only whether a fence is open and the last header
+lines are scanned in blocks of pages, each block handing on only which fence is open and the last header
 of each level, and its sections are then split like documents of their own.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docloom.constants import BODY_CHARS, MAX_CHARS, OVERLAP, PAGES_PER_BLOCK, PART_CHARS
-from docloom.functions.markdown import FENCE, LEVELS, line_class, paragraphs, title, with_sections
+from docloom.constants import BODY_CHARS, MAX_CHARS, OVERLAP, PART_CHARS
+from docloom.functions.markdown import LEVELS, STATES, block_states, line_class, paragraphs, title, with_sections
 from docloom.functions.text import strip
 from docloom.operators.chunking import numbered_pieces, split_documents
-from docloom.operators.longdocs import KEY, clean_pages, gather, oversized, split_pages
+from docloom.operators.longdocs import KEY, clean_pages, gather, in_blocks, oversized, split_pages
 from docloom.operators.numbering import running, running_offsets
 from docloom.session import pinned
 
@@ -23,14 +27,32 @@ LEVEL_NAMES = [f"_h{k}" for k in range(1, LEVELS + 1)]
 COLUMNS = ["document_id", "section_id", "i", "start", "end", "content"]
 
 
-def _lines(pages: DataFrame, pages_per_block: int) -> DataFrame:
-    """Stripped lines with their class and position; an empty line ends each page."""
-    pieces = F.concat(F.split("page_text", "\n"), F.array(F.lit("")))
-    block = F.floor(F.col("page_no") / F.lit(pages_per_block)).alias("_block")
-    lines = pages.select("document_id", "page_no", block, F.posexplode(pieces).alias("_no", "_raw"))
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _states(blocks: pa.Array) -> pa.Array:
+    """Behind every line of a block the code block's state, for each state at its beginning: digits to base STATES."""
+    found = []
+    for classes in blocks:
+        values = classes.values.to_numpy(zero_copy_only=False)
+        found.append(sum(STATES**s * block_states(values, s).astype(np.int32) for s in range(STATES)))
+    return pa.array(found, pa.list_(pa.int32()))
+
+
+def _state(code: str, begin: Column | int) -> Column:
+    powers = F.array(*[F.lit(STATES**s) for s in range(STATES)])
+    return F.floor(F.col(code) / powers[begin]).cast("int") % STATES
+
+
+def _lines(pages: DataFrame, block_chars: int) -> DataFrame:
+    """Stripped lines with their class and position, and the states behind them; an empty line ends each page."""
+    pieces = F.transform(F.concat(F.split("page_text", "\n"), F.array(F.lit(""))), strip)
+    blocked = in_blocks(pages, block_chars).withColumnRenamed("part_no", "_block")
+    lines = blocked.select(*BLOCK, "page_no", F.posexplode(pieces).alias("_no", "_line"))
     position = F.shiftleft(F.col("page_no"), 31) + F.col("_no") + F.lit(1)
-    return lines.select(*BLOCK, position.alias("_pos"), strip(F.col("_raw")).alias("_line")).withColumn(
-        "_class", line_class(F.col("_line"))
+    entry = F.struct(position.alias("_pos"), "_line", line_class(F.col("_line")).alias("_class"))
+    gathered = lines.groupBy(*BLOCK).agg(F.sort_array(F.collect_list(entry)).alias("_l"))
+    coded = gathered.withColumn("_codes", _states(F.transform("_l", lambda e: e["_class"])))
+    return coded.select(*BLOCK, F.explode(F.arrays_zip("_l", "_codes")).alias("_e")).select(
+        *BLOCK, "_e._l.*", F.col("_e._codes").alias("_code")
     )
 
 
@@ -43,31 +65,39 @@ def _header(level: int, effective: Column) -> Column:
     return F.when((F.col("_class") == level) & effective, F.struct("_pos", title(F.col("_line")).alias("title")))
 
 
-def scanned_lines(pages: DataFrame, pages_per_block: int = PAGES_PER_BLOCK) -> DataFrame:
+def _enter(blocks: pd.DataFrame) -> pd.DataFrame:
+    """The state at the beginning of every block of a document, from what each block makes of a state."""
+    blocks = blocks.sort_values("_block")
+    state, states = 0, []
+    for code in blocks["_code"].tolist():
+        states.append(state)
+        state = code // STATES**state % STATES
+    return blocks[BLOCK].assign(_begin=states)
+
+
+def scanned_lines(pages: DataFrame, block_chars: int = PART_CHARS) -> DataFrame:
     """Content lines with the number and id of the section they are in."""
-    fences = F.sum((F.col("_class") == FENCE).cast("bigint")).over(_in_block())
-    lines = _lines(pages, pages_per_block).withColumn("_fences", fences)
-
-    # What a block hands on depends on whether a fence is open when it begins, so both cases are kept.
-    cases = {0: "_shut", 1: "_open"}
-    summary = lines.groupBy(*BLOCK).agg(
-        F.max("_fences").alias("_n"),
-        *[
-            F.max(_header(k, F.col("_fences") % 2 == parity)).alias(f"{case}{k}")
-            for parity, case in cases.items()
-            for k in range(1, LEVELS + 1)
-        ],
+    lines = pinned(_lines(pages, block_chars))
+
+    # What a block hands on depends on the state when it begins, so all cases are kept.
+    summary = pinned(
+        lines.groupBy(*BLOCK).agg(
+            F.max_by("_code", "_pos").alias("_code"),
+            *[F.max(_header(k, _state("_code", s) == 0)).alias(f"_{s}h{k}") for s in range(STATES) for k in range(1, LEVELS + 1)],
+        )
+    )
+    entered = summary.select(*BLOCK, "_code").groupBy("document_id").applyInPandas(
+        _enter, "document_id string, _block long, _begin int"
     )
-    counted = running_offsets(summary, ["document_id"], ["_block"], "_n")
-    parity = (F.col("offset") % 2).alias("_parity")
     handed = [
-        F.when(F.col("offset") % 2 == 0, F.col(f"_shut{k}")).otherwise(F.col(f"_open{k}")).alias(f"_h{k}")
+        F.coalesce(*[F.when(F.col("_begin") == s, F.col(f"_{s}h{k}")) for s in range(STATES)]).alias(f"_h{k}")
         for k in range(1, LEVELS + 1)
     ]
-    carried = running(counted.select(*BLOCK, parity, *handed), ["document_id"], ["_block"], LEVEL_NAMES, F.max)
+    counted = summary.drop("_code").join(entered, BLOCK)
+    carried = running(counted.select(*BLOCK, "_begin", *handed), ["document_id"], ["_block"], LEVEL_NAMES, F.max)
 
     joined = lines.join(carried, BLOCK)
-    outside = (F.col("_fences") + F.col("_parity")) % 2 == 0
+    outside = _state("_code", F.col("_begin")) == 0
     last = {
         f"_h{k}": F.coalesce(F.max(_header(k, outside)).over(_in_block()), F.col(f"_h{k}"))
         for k in range(1, LEVELS + 1)
@@ -88,9 +118,9 @@ def scanned_lines(pages: DataFrame, pages_per_block: int = PAGES_PER_BLOCK) -> D
     )
 
 
-def _large_sections(pages: DataFrame, pages_per_block: int) -> DataFrame:
+def _large_sections(pages: DataFrame, block_chars: int) -> DataFrame:
     """Sections of spread-out documents, one row per section and block, so no row grows with the section."""
-    lines = scanned_lines(pages, pages_per_block)
+    lines = scanned_lines(pages, block_chars)
     ordered = F.sort_array(F.collect_list(F.struct("_pos", "_line")))
     texts = lines.groupBy(*BLOCK, "section_no", "section_id").agg(ordered.alias("_lines"))
     return texts.select(
@@ -101,18 +131,16 @@ def _large_sections(pages: DataFrame, pages_per_block: int) -> DataFrame:
     ).filter("page_text != ''")
 
 
-def _split_large(pages: DataFrame, pages_per_block: int, **limits) -> DataFrame:
-    sections = pinned(_large_sections(pages, pages_per_block))
-    pieces = pinned(split_pages(sections, pages_per_block=pages_per_block, **limits))
+def _split_large(pages: DataFrame, **limits) -> DataFrame:
+    sections = pinned(_large_sections(pages, limits["part_chars"]))
+    pieces = pinned(split_pages(sections, **limits))
     counts = pieces.groupBy(*KEY).agg(F.count("*").alias("_n"))
     offsets = running_offsets(counts, ["document_id"], ["section_no"], "_n").select(*KEY, "offset")
     ids = sections.select(*KEY, "section_id").distinct()
     return pieces.join(offsets.join(ids, KEY), KEY).withColumn("i", F.col("i") + F.col("offset")).select(COLUMNS)
 
 
-def markdown_sections(
-    pages: DataFrame, body_chars: int = BODY_CHARS, pages_per_block: int = PAGES_PER_BLOCK
-) -> DataFrame:
+def markdown_sections(pages: DataFrame, body_chars: int = BODY_CHARS, block_chars: int = PART_CHARS) -> DataFrame:
     """``(document_id, section_no, section_id, part_no, content)`` in reading order.
 
     A section is one row, ``part_no`` 0; only in a document over ``body_chars`` it may have several parts,
@@ -131,7 +159,7 @@ def markdown_sections(
     )
     if large is None:
         return found
-    rest = _large_sections(cleaned.join(large, KEY, "left_semi"), pages_per_block)
+    rest = _large_sections(cleaned.join(large, KEY, "left_semi"), block_chars)
     return found.unionByName(rest.withColumnsRenamed({"page_no": "part_no", "page_text": "content"}))
 
 
@@ -141,7 +169,6 @@ def split_markdown_pages(
     overlap: int = OVERLAP,
     body_chars: int = BODY_CHARS,
     part_chars: int = PART_CHARS,
-    pages_per_block: int = PAGES_PER_BLOCK,
 ) -> DataFrame:
     """Pieces of markdown documents given as ``pages(document_id, page_no, page_text)``, joined by blank lines."""
     cleaned = clean_pages(pages)
@@ -157,4 +184,4 @@ def split_markdown_pages(
         return found
     rest = cleaned.join(large, KEY, "left_semi")
     limits = {"max_chars": max_chars, "overlap": overlap, "body_chars": body_chars, "part_chars": part_chars}
-    return found.unionByName(_split_large(rest, pages_per_block, **limits))
+    return found.unionByName(_split_large(rest, **limits))

@@ -37,10 +37,13 @@ URL_VARIANT = (
 
 MARKDOWN = (
     "concat(CASE WHEN turn = 0 THEN concat('preface ', conv_id, chr(10), '# conv ', conv_id, chr(10), chr(10)) ELSE '' END, "
-    "'## turn ', turn, chr(10), CASE WHEN turn % 3 = 1 THEN concat('```', chr(10), '# no header', chr(10), '```', chr(10)) ELSE '' END, "
+    "'## turn ', turn, chr(10), CASE WHEN turn % 3 = 1 THEN concat('```', chr(10), '# no header', chr(10), '```', chr(10)) "
+    "WHEN turn % 3 = 2 THEN concat('```x``` y', chr(10), '~~~', chr(10), '```', chr(10), '## no header', chr(10), '~~~', chr(10)) ELSE '' END, "
     "'#### ', role, chr(10), chr(10), chr(10), ' ', text)"
 )
-PAGE_TEXT = "CASE WHEN turn % 4 = 3 THEN '  ' ELSE concat(' ', text, chr(10)) END"
+PAGE_TEXT = "concat(' ', text, chr(10))"
+# Blank pages are pages of their own, behind every fourth turn.
+BLANK_AFTER = "turn % 4 = 3"
 
 # JSON documents hold the orders of one range of keys, so their size is bounded.
 ORDERS_PER_DOCUMENT = 500
@@ -142,10 +145,11 @@ def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pdf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page texts: a conversation is a document, a turn a page, and some pages are blank."""
-    return read(spark, sf_dir, "conversations").selectExpr(
-        "concat('pdf', conv_id) AS document_id", "turn AS page_no", f"{PAGE_TEXT} AS page_text"
-    )
+    """Page texts: a conversation is a document, a turn a page, and some blank pages lie between."""
+    turns = read(spark, sf_dir, "conversations")
+    pages = turns.selectExpr("concat('pdf', conv_id) AS document_id", "2 * turn AS page_no", f"{PAGE_TEXT} AS page_text")
+    blank = turns.where(BLANK_AFTER).selectExpr("concat('pdf', conv_id)", "2 * turn + 1", "'  '")
+    return pages.union(blank)
 
 
 def markdown_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +174,7 @@ def json_bodies(spark: SparkSession, sf_dir: str, fmt: str = "json") -> DataFram
     )
 
 
-def cut_bodies(spark: SparkSession, sf_dir: str, fmt: str = "json") -> DataFrame:
-    """The same with every tenth body cut short, which makes it unreadable."""
-    cut = F.when(F.col("doc_no") % 10 == 0, F.substring("body", 1, 100)).otherwise(F.col("body"))
-    return json_bodies(spark, sf_dir, fmt).withColumn("body", cut)
+def broken_bodies(spark: SparkSession, sf_dir: str, fmt: str = "json") -> DataFrame:
+    """The same with one brace too many behind every tenth body, which makes it unreadable."""
+    broken = F.when(F.col("doc_no") % 10 == 0, F.concat("body", F.lit("}"))).otherwise(F.col("body"))
+    return json_bodies(spark, sf_dir, fmt).withColumn("body", broken)

@@ -6,7 +6,9 @@ of stretches that fit form a group, and a recursive query walks each group from
 
 from __future__ import annotations
 
-from docloom.constants import MAX_CHARS, OVERLAP, REGISTRY_KEYS, WHITESPACE
+import re
+
+from docloom.constants import FORMAT_SUFFIXES, MAX_CHARS, OVERLAP, REGISTRY_KEYS, WHITESPACE, WORDING
 from docloom.functions.html import ENTITIES, MARKUP
 from docloom.functions.urls import LEADING, RFC3986
 from docloom.plans import inputs
@@ -124,9 +126,14 @@ md_body AS (
 md_line AS (
   SELECT document_id, {strip("raw")} AS line, no FROM (
     SELECT document_id, unnest(string_split(body, {LF})) AS raw, generate_subscripts(string_split(body, {LF}), 1) AS no FROM md_body)),
+md_kind AS (
+  SELECT *, CASE WHEN starts_with(line, '~~~') THEN 't' WHEN NOT starts_with(line, '```') THEN ''
+                 WHEN contains(substring(line, 4), '```') THEN 'i' ELSE 'b' END AS kind FROM md_line),
 md_fence AS (
-  SELECT *, sum(CASE WHEN starts_with(line, '```') OR starts_with(line, '~~~') THEN 1 ELSE 0 END)
-            OVER (PARTITION BY document_id ORDER BY no) % 2 = 1 AS fenced FROM md_line),
+  SELECT *, list_reduce(list_prepend('0', coalesce(list(kind) FILTER (WHERE kind <> '') OVER (PARTITION BY document_id ORDER BY no), [])),
+    lambda s, k: CASE s WHEN '0' THEN CASE WHEN k = 'i' THEN '0' ELSE k END
+                        WHEN 'b' THEN CASE WHEN k = 't' THEN 'b' ELSE '0' END ELSE CASE WHEN k = 't' THEN '0' ELSE 't' END END) <> '0' AS fenced
+  FROM md_kind),
 md_head AS (SELECT *, CASE WHEN fenced THEN 0 ELSE length(regexp_extract(line, '^(#{{1,5}}) ', 1)) END AS level FROM md_fence),
 md_force AS (SELECT *, {", ".join(
     f"last_value(CASE WHEN level = {k} THEN no END IGNORE NULLS) OVER w AS p{k}, "
@@ -164,10 +171,12 @@ def _json_chunks(fmt: str) -> str:
   GROUP BY doc_no, i"""
 
 
-def _cut(fmt: str, error: str) -> str:
-    return f"""SELECT concat('{fmt}', doc_no) AS document_id, '{fmt}' AS input_format, '{error}' AS error
+def _broken(fmt: str, error: str) -> str:
+    """``error`` has ``{at}`` for the place of the brace too many, counted from 0, and ``{column}`` for that from 1."""
+    message = "concat(" + ", ".join({"{at}": "length(whole)", "{column}": "length(whole) + 1"}.get(x, q(x)) for x in re.split(r"({at}|{column})", error) if x) + ")"
+    return f"""SELECT concat('{fmt}', doc_no) AS document_id, '{fmt}' AS input_format, {message} AS error
   FROM (SELECT doc_no, concat('{{', string_agg(entry, ',' ORDER BY o_orderkey), '}}') AS whole FROM ({_json_entries()}) GROUP BY doc_no)
-  WHERE NOT json_valid(CASE WHEN doc_no % 10 = 0 THEN substring(whole, 1, 100) ELSE whole END)"""
+  WHERE doc_no % 10 = 0"""
 
 
 # --- text --------------------------------------------------------------------------------------------------------
@@ -235,52 +244,35 @@ KEY_OF = {column: key for key, column in REGISTRY_KEYS.items()}
 BROKEN = _sources(inputs.BROKEN_URL, inputs.BROKEN_PATH, inputs.BROKEN_NAMESPACE, inputs.BROKEN_FORMAT)
 
 
+def said(wording: str, *values: str) -> str:
+    """A sentence of the fixed wording with SQL values filled in."""
+    first, *others = WORDING[wording].split("{}")
+    return f"concat({', '.join([q(first), *[x for value, text in zip(values, others, strict=True) for x in (value, q(text))]])})"
+
+
 def _issues(check_files: bool) -> str:
     """Rows ``(pos, document_id, ord, rule, message)``, every rule written out as one SELECT."""
     fmt = strip("coalesce(input_format, '')")
     url, path, ns = "coalesce(document_url, '')", "coalesce(document_path, '')", "coalesce(namespace, '')"
     full = resolved(path)
     keys = sorted(KEY_OF.items(), key=lambda kv: kv[1])
-    listed = ", ".join(f"CASE WHEN {c} IS NULL THEN '''{k}''' END" for c, k in keys)
-    rules = [(" OR ".join(f"{c} IS NULL" for c, _ in keys), "missing_keys", f"concat('missing keys: [', concat_ws(', ', {listed}), ']')")]
+    listed = ", ".join(f"CASE WHEN {c} IS NULL THEN {q(repr(k))} END" for c, k in keys)
+    shown = lambda c: f"concat({q(chr(39))}, {c}, {q(chr(39))})"
+    rules = [(" OR ".join(f"{c} IS NULL" for c, _ in keys), "missing_keys", said("missing_keys", f"concat_ws(', ', {listed})"))]
     for c, k in keys:
-        rules.append((f"{c} IS NOT NULL AND {strip(c)} = ''", f"blank_{c}", q(f"'{k}' must be a non-empty string")))
+        rules.append((f"{c} IS NOT NULL AND {strip(c)} = ''", f"blank_{c}", said("blank", q(k))))
+    unknown = f"{fmt} <> '' AND lower({fmt}) NOT IN ('markdown', 'text', 'pdf', 'json', 'yaml')"
     rules += [
-        (f"{fmt} = ''", "format_required", q("'input-format' is required and must be a non-empty string")),
-        (
-            f"{fmt} <> '' AND lower({fmt}) NOT IN ('markdown', 'text', 'pdf', 'json', 'yaml')",
-            "format_unknown",
-            f"concat({q(chr(39) + 'input-format' + chr(39) + ' must be one of [' + chr(39) + 'json' + chr(39) + ', ' + chr(39) + 'markdown' + chr(39) + ', ' + chr(39) + 'pdf' + chr(39) + ', ' + chr(39) + 'text' + chr(39) + ', ' + chr(39) + 'yaml' + chr(39) + ']; got ' + chr(39))}, input_format, '''')",
-        ),
-        (
-            f"{url} <> '' AND NOT {is_http(url)}",
-            "url_not_http",
-            f"concat({q(chr(39) + 'document-url' + chr(39) + ' must be an absolute http(s) URL; got ' + chr(39))}, document_url, '''')",
-        ),
+        (f"{fmt} = ''", "format_required", said("format_required")),
+        (unknown, "format_unknown", said("format_unknown", shown("input_format"))),
+        (f"{url} <> '' AND NOT {is_http(url)}", "url_not_http", said("url_not_http", shown("document_url"))),
     ]
     if check_files:
-        rules.append(
-            (
-                f"{path} <> '' AND {full} NOT IN (SELECT path FROM ({FILES}))",
-                "path_missing",
-                f"concat({q(chr(39) + 'document-path' + chr(39) + ' does not exist: ')}, {full})",
-            )
-        )
-    for name, allowed, wording in (
-        ("json", "'.json'", "a .json file"),
-        ("markdown", "'.md', '.markdown', '.mdown', '.mkd'", "a markdown file (.md/.markdown/.mdown/.mkd)"),
-        ("pdf", "'.pdf'", "a .pdf file"),
-        ("text", "'.txt'", "a .txt file"),
-        ("yaml", "'.yml', '.yaml'", "a .yml/.yaml file"),
-    ):
-        rules.append(
-            (
-                f"{path} <> '' AND lower({fmt}) = '{name}' AND {suffix(full)} NOT IN ({allowed})",
-                "suffix_mismatch",
-                f"concat('expected {wording} for input-format={name}; got ', {basename(full)})",
-            )
-        )
-    rules.append((f"{strip(ns)} = ''", "namespace_required", q("'pinecone-namespace' must be non-empty")))
+        rules.append((f"{path} <> '' AND {full} NOT IN (SELECT path FROM ({FILES}))", "path_missing", said("path_missing", full)))
+    for name, allowed in FORMAT_SUFFIXES.items():
+        wrong = f"{path} <> '' AND lower({fmt}) = '{name}' AND {suffix(full)} NOT IN ({', '.join(map(q, allowed))})"
+        rules.append((wrong, "suffix_mismatch", said(f"suffix_{name}", basename(full))))
+    rules.append((f"{strip(ns)} = ''", "namespace_required", said("namespace_required")))
     return " UNION ALL ".join(
         f"SELECT pos, document_id, {n} AS ord, '{rule}' AS rule, concat(document_id, ': ', {message}) AS message FROM b WHERE {when}"
         for n, (when, rule, message) in enumerate(rules)
@@ -290,13 +282,14 @@ def _issues(check_files: bool) -> str:
 def _coercion() -> str:
     name, bad = "concat('page', page_id)", "page_id % 9 IN (0, 1)"
     shown = of(inputs.ENTRY_KEY, "page_id")
+    named = lambda text: f"concat({name}, ': ', {text})"
     rules = [
-        (bad, "invalid_id", f"concat('invalid document id: ''', coalesce({shown}, ''), ''' (must be a non-empty string)')"),
-        ("page_id % 9 = 2", "not_a_mapping", f"concat({name}, ': entry must be a mapping of configuration values')"),
-        ("page_id % 9 = 3", "missing_key", f"concat({name}, ': missing required key ''document-url''')"),
-        ("page_id % 9 = 5", "not_a_string", f"concat({name}, ': key ''document-path'' must be a string')"),
-        ("page_id % 9 = 5", "missing_key", f"concat({name}, ': missing required key ''pinecone-namespace''')"),
-        ("page_id % 9 = 4", "not_a_string", f"concat({name}, ': key ''input-format'' must be a string')"),
+        (bad, "invalid_id", said("invalid_id", f"concat({q(chr(39))}, coalesce({shown}, ''), {q(chr(39))})")),
+        ("page_id % 9 = 2", "not_a_mapping", named(said("not_a_mapping"))),
+        ("page_id % 9 = 3", "missing_key", named(said("missing_key", q("document-url")))),
+        ("page_id % 9 = 5", "not_a_string", named(said("not_a_string", q("document-path")))),
+        ("page_id % 9 = 5", "missing_key", named(said("missing_key", q("pinecone-namespace")))),
+        ("page_id % 9 = 4", "not_a_string", named(said("not_a_string", q("input-format")))),
     ]
     union = " UNION ALL ".join(
         f"SELECT page_id AS pos, {shown} AS document_id, {n} AS ord, '{rule}' AS rule, {message} AS message FROM pages WHERE {when}"
@@ -338,7 +331,7 @@ INDENTED = (
     + ", ',', chr(10), ".join(f"'    \"{c}\": ', to_json({c})" for c in _JSON_FIELDS)
     + ", chr(10), '  }')"
 )
-REVISED = """SELECT doc_id AS k, concat(lang, ': ', substring(text, 1, 3000)) AS body FROM documents
+REVISED = """SELECT doc_id AS k, concat(lang, ': ', text) AS body FROM documents
   WHERE doc_id IN (SELECT doc_id FROM labels)"""
 TWO_VERSIONS = (
     f"WITH RECURSIVE {pieces('o_', DOCS)}, {pieces('n_', REVISED)}, old AS ({_records('o_out')}), "
@@ -417,8 +410,8 @@ ORACLES = {
       FROM o_out o JOIN md_sec m ON o.k = concat(m.document_id, '/', m.sec)""",
     "json_chunks": _json_chunks("json"),
     "yaml_chunks": _json_chunks("yaml"),
-    "json_quarantine": _cut("json", "Invalid JSON input"),
-    "yaml_quarantine": _cut("yaml", "Invalid YAML input"),
+    "json_quarantine": _broken("json", "Invalid JSON input: Extra data: line 1 column {column} (char {at})"),
+    "yaml_quarantine": _broken("yaml", "Invalid YAML input: did not find expected <document start>\n  in \"<unicode string>\", line 1, column {column}"),
     "format_dispatch": f"""WITH RECURSIVE {pieces('o_', DOCS)}, {pieces('m_', '''SELECT doc_id AS k, array_to_string(
         list_transform(string_split(text, chr(10)), lambda l: trim(l, ''' + WS + ''')), chr(10)) AS body FROM documents WHERE doc_id % 4 = 3''')},
       c AS (SELECT k, count(*) AS n FROM o_out WHERE k % 4 <> 3 GROUP BY k UNION ALL SELECT k, count(*) FROM m_out GROUP BY k)

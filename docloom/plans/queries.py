@@ -347,9 +347,9 @@ def yaml_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _quarantine(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
-    split = chunking.split_documents(inputs.cut_bodies(spark, sf_dir, fmt))
+    split = chunking.split_documents(inputs.broken_bodies(spark, sf_dir, fmt))
     bad = chunking.Chunked(split, RUN_DATE).quarantine
-    return bad.select("document_id", "input_format", F.substring_index("error", ":", 1).alias("error"))
+    return bad.select("document_id", "input_format", "error")
 
 
 @query
@@ -409,7 +409,7 @@ def _revised(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = read(spark, sf_dir, "labels").selectExpr("concat('doc', doc_id) AS document_id")
     lang = read(spark, sf_dir, "documents").selectExpr("concat('doc', doc_id) AS document_id", "lang")
     documents = inputs.text_documents(spark, sf_dir).join(lang, "document_id").join(labelled, "document_id", "left_semi")
-    return documents.withColumn("body", F.concat(F.col("lang"), F.lit(": "), F.substring("body", 1, 3000)))
+    return documents.withColumn("body", F.concat(F.col("lang"), F.lit(": "), F.col("body")))
 
 
 @query

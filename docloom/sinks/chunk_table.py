@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.constants import BATCH_SIZE, METRIC, TEXT_FIELD
+from docloom.constants import BATCH_SIZE, METRIC, TEXT_FIELD, WORDING
 from docloom.functions.text import strip
 from docloom.schemas import CHUNKS, RECORD_COLUMNS
 from docloom.session import pinned
@@ -57,16 +57,22 @@ def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
     return _replace(old, pinned(latest(new)))
 
 
-def clean_namespace(namespace: str | None) -> str:
-    name = (namespace or "").strip()
-    if not name:
-        raise NamespaceError("namespace must be a non-empty string")
-    return name
+def is_blank(namespace: Column) -> Column:
+    return F.coalesce(strip(namespace), F.lit("")) == ""
+
+
+def named(spark: SparkSession, namespace: str | None) -> str:
+    """A namespace as it is stored, by the same rule as for columns."""
+    given = F.lit(namespace).cast("string")
+    found = spark.range(1).select(strip(given).alias("name"), is_blank(given).alias("blank")).first()
+    if found.blank:
+        raise NamespaceError(WORDING["empty_namespace"])
+    return found.name
 
 
 def without_namespace(chunks: DataFrame, namespace: str) -> DataFrame:
-    """Everything but the records of one namespace."""
-    return chunks.filter(F.col("namespace") != clean_namespace(namespace))
+    """Everything but the records of one namespace; records without one stay."""
+    return chunks.filter(~F.col("namespace").eqNullSafe(named(chunks.sparkSession, namespace)))
 
 
 def upsert_summary(chunks: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
@@ -122,8 +128,8 @@ def _apply(spark: SparkSession, table: str, chunks: DataFrame, change_of) -> Dat
     change = pinned(latest(keyed))
     if change.isEmpty():
         return None
-    if not change.filter(F.coalesce(strip(F.col("namespace")), F.lit("")) == "").isEmpty():
-        raise NamespaceError("namespace must be a non-empty string")
+    if not change.filter(is_blank(F.col("namespace"))).isEmpty():
+        raise NamespaceError(WORDING["empty_namespace"])
     stored = only_touched(_current(spark, table), change, PARTITION)
     merged = ready_to_write(change_of(stored, change).select(stored.columns), PARTITION)
     with _dynamic_overwrite(spark):
@@ -144,7 +150,7 @@ def replace_documents(spark: SparkSession, table: str, chunks: DataFrame) -> Dat
 
 def delete_namespace(spark: SparkSession, table: str, namespace: str) -> int:
     """Drop the partitions of one namespace, a change of metadata and files only. Returns how many there were."""
-    name = clean_namespace(namespace)
+    name = named(spark, namespace)
     literal = name.replace("\\", "\\\\").replace("'", "\\'")
     listed = spark.sql(f"SHOW PARTITIONS {table} PARTITION (namespace='{literal}')").collect()
     numbers = [int(r.partition.rsplit("bucket=", 1)[1]) for r in listed]

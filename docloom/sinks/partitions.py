@@ -15,31 +15,37 @@ from pyspark.sql import functions as F
 
 from docloom.session import pinned
 
-# Up to this many touched partitions are named in the filter of the scan; beyond it, a join selects them.
-NAMED_PARTITIONS = 500
-
 
 def bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def only_touched(table: DataFrame, change: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of ``table`` in the partitions that ``change`` falls in."""
-    touched = change.select(*columns).distinct()
-    named = touched.limit(NAMED_PARTITIONS + 1).collect()
-    if len(named) > NAMED_PARTITIONS:
-        return table.join(touched, columns, "left_semi")
+    """Rows of ``table`` in the partitions that ``change`` falls in, which are named in the filter of the scan.
+
+    The names are as many as the partitions to be rewritten, which the catalog and the driver list in any case.
+    """
+    named = change.select(*columns).distinct().collect()
     if not named:
         return table.limit(0)
     *outer, last = columns
     values: dict[tuple, list] = {}
     for row in named:
         values.setdefault(tuple(row[c] for c in outer), []).append(row[last])
-    same = [
-        reduce(Column.__and__, [F.col(c) == v for c, v in zip(outer, key)], F.col(last).isin(found))
-        for key, found in values.items()
-    ]
-    return table.filter(reduce(Column.__or__, same))
+    # keys with the same inner values share a term, so the filter stays short when whole namespaces are touched
+    alike: dict[tuple, list] = {}
+    for key, found in values.items():
+        alike.setdefault(tuple(sorted(found)), []).append(key)
+    same = []
+    for found, keys in alike.items():
+        inner = F.col(last).isin(list(found))
+        if len(outer) == 1:
+            same.append(F.col(outer[0]).isin([k[0] for k in keys]) & inner)
+        else:
+            same += [reduce(Column.__and__, [F.col(c) == v for c, v in zip(outer, key)], inner) for key in keys]
+    while len(same) > 1:  # a balanced tree: a chain of hundreds of terms would be too deep to plan
+        same = [same[i] | same[i + 1] if i + 1 < len(same) else same[i] for i in range(0, len(same), 2)]
+    return table.filter(same[0])
 
 
 def ready_to_write(df: DataFrame, columns: list[str]) -> DataFrame:

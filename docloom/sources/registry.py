@@ -154,14 +154,14 @@ def select_sources(sources: DataFrame, all_docs: bool = False, single_id: str |
     if all_docs:
         return sources
     if not single_id:
-        raise ValueError("either all_docs or single_id must be given")
+        raise ValueError(WORDING["no_selection"])
     return find_source(sources, single_id)
 
 
 def find_source(sources: DataFrame, document_id: str) -> DataFrame:
     found = sources.filter(F.col("document_id") == document_id)
     if found.isEmpty():
-        raise KeyError(f"unknown document id: {document_id!r}")
+        raise KeyError(WORDING["unknown_id"].format(repr(document_id)))
     return found
 
 
@@ -176,7 +176,7 @@ def look_up(sources: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
 def upsert_sources(sources: DataFrame, changes: DataFrame) -> DataFrame:
     """Add or replace entries by id. A replaced entry keeps its position, new ones follow in their own order."""
     if not changes.filter(F.coalesce("document_id", F.lit("")) == "").isEmpty():
-        raise ValueError("document id must be a non-empty string")
+        raise ValueError(WORDING["empty_document_id"])
     last = sources.agg(F.coalesce(F.max("pos"), F.lit(-1)).alias("last")).scalar()
     incoming = changes.groupBy("document_id").agg(F.max_by(F.struct("pos", *VALUES), "pos").alias("_new"))
     placed = incoming.join(sources.select("document_id", F.col("pos").alias("_old")), "document_id", "left").select(
@@ -193,5 +193,5 @@ def remove_sources(sources: DataFrame, ids: DataFrame, strict: bool = True) -> D
     if strict:
         unknown = look_up(sources, ids)[1].limit(1).collect()
         if unknown:
-            raise KeyError(f"unknown document id: {unknown[0].document_id!r}")
+            raise KeyError(WORDING["unknown_id"].format(repr(unknown[0].document_id)))
     return sources.join(ids.select("document_id"), "document_id", "left_anti").select(SOURCES.names)

@@ -59,16 +59,16 @@ def test_gathered_documents(spark, pages):
     assert found(dl.split_pages(pages)) == {d: split_text(t) for d, t in joined(pages).items()}
 
 
-@pytest.mark.parametrize(("part_chars", "pages_per_block", "fan_in"), [(7168, 1, 3), (20000, 16, 256)])
-def test_spread_documents(spark, pages, part_chars, pages_per_block, fan_in):
+@pytest.mark.parametrize(("part_chars", "fan_in"), [(7168, 3), (20000, 256)])
+def test_spread_documents(spark, pages, part_chars, fan_in):
     spread = dl.split_pages(
-        pages, body_chars=100, part_chars=part_chars, pages_per_block=pages_per_block, fan_in=fan_in
+        pages, body_chars=100, part_chars=part_chars, fan_in=fan_in
     )
     assert found(spread) == {d: split_text(t) for d, t in joined(pages).items()}
 
 
 def test_assembly_in_parts_joins_to_the_whole(spark, pages):
-    parts = dl.assemble_pages(pages, body_chars=5000, part_chars=3000, pages_per_block=2)
+    parts = dl.assemble_pages(pages, body_chars=5000, part_chars=3000)
     got = {}
     for r in parts.orderBy("document_id", "part_no").collect():
         got.setdefault(r.document_id, []).append(r.body)
@@ -136,7 +136,7 @@ def test_spread_markdown_documents(spark):
             if kind < 0.2 and not plain:
                 lines.append("#" * rng.randint(1, 7) + " " + "t" * rng.randint(0, 5))
             elif kind < 0.25:
-                lines.append(rng.choice(["```py", "~~~", "  ```"]))
+                lines.append(rng.choice(["```py", "~~~", "  ```", "```in``` line", "~~~~ x"]))
             elif kind < 0.4:
                 lines.append("")
             elif kind < 0.45:
@@ -149,11 +149,11 @@ def test_spread_markdown_documents(spark):
     rows = [(d, n * 2, part(d == "headless")) for d, count in counts.items() for n in range(count)]
     parts = spark.createDataFrame(rows, SCHEMA).cache()
     whole = dl.split_markdown_pages(parts)
-    spread = dl.split_markdown_pages(parts, body_chars=100, part_chars=9000, pages_per_block=5)
+    spread = dl.split_markdown_pages(parts, body_chars=100, part_chars=9000)
     assert spread.count() == whole.count() > 100
     assert whole.exceptAll(spread).count() == 0 and spread.exceptAll(whole).count() == 0
     sections = dl.markdown_sections(parts)
-    split = dl.markdown_sections(parts, body_chars=100, pages_per_block=5)
+    split = dl.markdown_sections(parts, body_chars=100, block_chars=9000)
     text = lambda df: df.groupBy("document_id").agg(F.sum(F.length(F.translate("content", "\n", ""))).alias("n"))
     assert text(sections).exceptAll(text(split)).count() == 0
     assert split.filter("part_no > 0").count() > 0
