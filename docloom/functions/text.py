@@ -68,7 +68,14 @@ def worded(wording: str, *values: Column) -> Column:
 
 
 def quoted(c: Column) -> Column:
-    return F.concat(F.lit("'"), c, F.lit("'"))
+    """A string as Python shows it: in double quotes if it has single ones only, control characters escaped."""
+    shown = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    control = shown
+    for code in [*range(32), *range(127, 161), 173]:
+        control = F.replace(control, F.lit(chr(code)), F.lit(repr(chr(code))[1:-1]))
+    shown = F.when(c.rlike(r"[\x00-\x1f\x7f-\xa0\xad]"), control).otherwise(shown)
+    single = F.concat(F.lit("'"), F.replace(shown, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(c.contains("'") & ~c.contains('"'), F.concat(F.lit('"'), shown, F.lit('"'))).otherwise(single)
 
 
 def truncate(c: Column, limit: int = TRUNCATE_AT) -> Column:

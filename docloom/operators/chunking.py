@@ -147,6 +147,10 @@ def to_records(pieces: DataFrame, run_date: str | None = None) -> DataFrame:
     return pieces.select("namespace", *[values.get(c, F.col(c)).alias(c) for c in RECORD_COLUMNS])
 
 
+#: What quarantine says of a source that has neither a body nor pages.
+NO_BODY = "no body"
+
+
 @dataclass(frozen=True)
 class Chunked:
     """Result of `chunk_documents`: both tables come from ``split``, and `stored` splits once for both."""
@@ -154,27 +158,31 @@ class Chunked:
     split: DataFrame
     run_date: str
     missing: DataFrame | None = None
+    #: chunks of documents that came as page texts
+    pages: DataFrame | None = None
 
     @property
     def chunks(self) -> DataFrame:
         pieces = numbered_pieces(self.split, "namespace", "document_id", "document_url")
-        return to_records(pieces, self.run_date)
+        records = to_records(pieces, self.run_date)
+        return records if self.pages is None else records.unionByName(self.pages)
 
     @property
     def quarantine(self) -> DataFrame:
         failed = self.split.filter(F.col("error").isNotNull()).select("document_id", "input_format", "error")
         if self.missing is None:
             return failed
-        absent = self.missing.select("document_id", "input_format", F.lit("no body").alias("error"))
+        absent = self.missing.select("document_id", "input_format", F.lit(NO_BODY).alias("error"))
         return failed.unionByName(absent)
 
     def stored(self) -> Chunked:
         """The same, split once and written to the shared folder; for jobs that use both tables."""
-        return Chunked(pinned(self.split), self.run_date, self.missing)
+        pages = None if self.pages is None else pinned(self.pages)
+        return Chunked(pinned(self.split), self.run_date, self.missing, pages)
 
-    def strict(self) -> Chunked:
-        """Raise when any document failed; the first few are named, all are in ``quarantine``."""
-        failed = self.quarantine.limit(5).collect()
+    def strict(self, named: int = 5) -> Chunked:
+        """Raise when any document failed; up to ``named`` of them are named, all are in ``quarantine``."""
+        failed = self.quarantine.limit(named).collect()
         if failed:
             raise RuntimeError("; ".join(f"{r.document_id}: {r.error}" for r in failed))
         return self

@@ -26,7 +26,7 @@ def landing_targets(sources: DataFrame, base_dir: str = "/") -> DataFrame:
 
 
 def land_pages(pages: DataFrame, sources: DataFrame, base_dir: str = "/") -> DataFrame:
-    """``(document_id, target, mode, content, error)`` of every source.
+    """``(document_id, pos, target, mode, content, error)`` of every source.
 
     ``pages(url, content, headers)`` are fetched responses, one per address. A source without one, or whose address is not
     http(s), or whose charset is unknown, has an error and no content; the others are not affected.
@@ -46,13 +46,17 @@ def land_pages(pages: DataFrame, sources: DataFrame, base_dir: str = "/") -> Dat
         .when(convert & F.col("_page").isNull(), F.lit("unknown charset"))
     )
     return shown.withColumn("error", error).select(
-        "document_id", "target", "mode", F.when(F.col("error").isNull(), content).alias("content"), "error"
+        "document_id", "pos", "target", "mode", F.when(F.col("error").isNull(), content).alias("content"), "error"
     )
 
 
 def landed_bodies(landed: DataFrame) -> DataFrame:
-    """``(path, content)`` of what was landed."""
-    return landed.filter(F.col("error").isNull()).select(F.col("target").alias("path"), "content")
+    """``(path, content)`` of what was landed, one body per path: that of the source with the lowest position.
+
+    A later source with the same target finds the file there.
+    """
+    first = F.min_by("content", F.struct("pos", "document_id")).alias("content")
+    return landed.filter(F.col("error").isNull()).groupBy(F.col("target").alias("path")).agg(first)
 
 
 def write_landed(landed: DataFrame, path: str) -> None:

@@ -29,6 +29,8 @@ BROKEN_NAMESPACE = f"CASE id % 11 WHEN 9 THEN ' ' WHEN 10 THEN NULL ELSE {NAMESP
 ENTRY_KEY = "CASE id % 9 WHEN 0 THEN NULL WHEN 1 THEN '  ' ELSE concat('page', id) END"
 
 LANDED_URL = "CASE id % 6 WHEN 0 THEN concat(url, '/x.TXT?a=1') WHEN 1 THEN concat('ftp', url) ELSE url END"
+# Two neighbouring sources share a path; the first one lands there.
+SHARED_PATH = "concat('docs/shared', CAST(floor(pos / 2) AS BIGINT), '.md')"
 URL_VARIANT = (
     "CASE id % 6 WHEN 0 THEN concat(split_part(url, '?', 1), '/Read Me.TXT?x=1#y') "
     "WHEN 1 THEN concat('HTTP://user@host_', id, ':80/a/b.txt;v=1') WHEN 2 THEN concat('/local/', id, '/./') "

@@ -371,6 +371,22 @@ ORACLES = {
       FROM c LEFT JOIN s ON s.document_id = c.document_id""",
     "registry_remove": f"SELECT * FROM ({SOURCES}) WHERE document_id NOT IN (SELECT document_id FROM ({CHANGES}))",
     "registry_save": SOURCES,
+    "registry_edit": f"""WITH s AS ({SOURCES}), c AS ({CHANGES}), u AS (
+      SELECT * FROM s WHERE document_id NOT IN (SELECT document_id FROM c)
+      UNION ALL
+      SELECT coalesce(s.pos, (SELECT max(pos) FROM s) + 1 + c.pos), c.document_id, c.document_url, c.document_path, c.namespace, c.input_format
+      FROM c LEFT JOIN s ON s.document_id = c.document_id)
+      SELECT * FROM u WHERE document_id NOT IN (SELECT document_id FROM c WHERE pos % 4 = 1)""",
+    "land_missing": """WITH s AS (SELECT page_id AS pos, html, CAST(floor(page_id / 2) AS BIGINT) AS shared FROM pages),
+      body AS (SELECT shared, coalesce(min(CASE WHEN pos % 5 = 0 THEN concat('stored ', pos) END), arg_min(html, pos)) AS body FROM s GROUP BY shared)
+      SELECT concat('page', pos) AS document_id, body.body FROM s JOIN body USING (shared)""",
+    "ingest_report": f"""SELECT concat('doc', doc_id) AS document_id, CASE WHEN {strip('text')} = '' THEN 'blank' ELSE 'chunked' END AS outcome,
+        {strip('text')} <> '' AS has_chunks FROM documents
+      UNION ALL SELECT concat('json', doc_no), CASE WHEN doc_no % 10 = 0 THEN 'quarantined' ELSE 'chunked' END, doc_no % 10 <> 0
+      FROM (SELECT DISTINCT CAST(floor(o_orderkey / {inputs.ORDERS_PER_DOCUMENT}) AS BIGINT) AS doc_no FROM orders)
+      UNION ALL SELECT concat('pdf', conv_id), CASE WHEN bool_or({PDF_TEXT} <> '') THEN 'chunked' ELSE 'blank' END, bool_or({PDF_TEXT} <> '')
+      FROM conversations GROUP BY conv_id
+      UNION ALL SELECT concat('none', doc_id), 'missing', false FROM labels""",
     "path_resolve": f"""SELECT page_id, CASE WHEN page_id % 2 = 0 THEN concat('/abs/', page_id, '/a.md')
       ELSE concat('{BASE}/docs/', page_id, '.md') END AS path, '.md' AS suffix FROM pages""",
     "html_to_text": f"SELECT page_id, {html_text('html')} AS text FROM pages",

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import urls
-from docloom.operators.chunking import Chunked, chunk_documents, dispatch, to_records
+from docloom.operators.chunking import NO_BODY, Chunked, chunk_documents, dispatch, to_records
 from docloom.operators.landing import land_pages, landed_bodies, missing_bodies, run_status
 from docloom.operators.longdocs import split_pages
 from docloom.operators.markdown_pages import split_markdown_pages
 from docloom.operators.validation import require_valid
 from docloom.sinks.chunk_table import upsert_chunks
+from docloom.session import pinned
 from docloom.sources.files import decode_strict
 
 
@@ -32,11 +33,14 @@ class Prepared:
 def prepare(sources: DataFrame, stored: DataFrame, pages: DataFrame, base_dir: str = "/", strict: bool = True) -> Prepared:
     """Land what is missing, then validate with files required.
 
-    ``stored(path, content)`` are the bodies there are, ``pages`` the fetched responses for the others.
+    ``stored(path, content)`` are the bodies there are, ``pages`` the fetched responses for the others. What was landed is
+    written to the shared folder once, since validation, splitting and the status all read it. A path has one body:
+    the stored one, else that of the first source that lands there.
     """
     absent = missing_bodies(sources, stored, base_dir).select(sources.columns)
-    landed = land_pages(pages, absent, base_dir)
-    available = stored.select("path", "content").unionByName(landed_bodies(landed))
+    landed = pinned(land_pages(pages, absent, base_dir))
+    added = landed_bodies(landed).join(stored.select("path"), "path", "left_anti")
+    available = stored.select("path", "content").unionByName(added)
     if strict:
         require_valid(sources, base_dir, available)
     resolved = sources.withColumn("path", urls.resolve(F.col("document_path"), base_dir))
@@ -54,18 +58,41 @@ def ingest(
 ) -> tuple[Chunked, DataFrame | None]:
     """Chunk and upsert; returns the chunks (with their quarantine) and the summary per namespace.
 
-    ``page_texts(document_id, page_no, page_text)`` are the extracted pages of the PDF sources.
+    ``page_texts(document_id, page_no, page_text)`` are the extracted pages of the PDF sources; a PDF source without
+    pages is reported as missing, like any other without a body.
     """
-    is_pdf = dispatch(F.col("input_format")) == "pdf"
-    others = prepared.sources if page_texts is None else prepared.sources.filter(~is_pdf)
-    chunked = chunk_documents(prepared.bodies, others, run_date).stored()
+    chunked = chunk_all(prepared, run_date, page_texts).stored()
     if strict:
         chunked.strict()
-    chunks = chunked.chunks
-    if page_texts is not None:
-        pages = chunk_pages(page_texts, prepared.sources.filter(is_pdf), chunked.run_date)
-        chunks = chunks.unionByName(pages)
-    return chunked, upsert_chunks(spark, table, chunks)
+    return chunked, upsert_chunks(spark, table, chunked.chunks)
+
+
+def chunk_all(prepared: Prepared, run_date: str | None = None, page_texts: DataFrame | None = None) -> Chunked:
+    """Bodies and page texts of all sources in chunks."""
+    if page_texts is None:
+        return chunk_documents(prepared.bodies, prepared.sources, run_date)
+    is_pdf = dispatch(F.col("input_format")) == "pdf"
+    chunked = chunk_documents(prepared.bodies, prepared.sources.filter(~is_pdf), run_date)
+    pdfs = prepared.sources.filter(is_pdf)
+    without = pdfs.join(page_texts.select("document_id").distinct(), "document_id", "left_anti")
+    missing = chunked.missing.unionByName(without.select(chunked.missing.columns))
+    return replace(chunked, missing=missing, pages=chunk_pages(page_texts, pdfs, chunked.run_date))
+
+
+def report(sources: DataFrame, chunked: Chunked) -> DataFrame:
+    """``(document_id, outcome, n_chunks, error)`` of every source: chunked, quarantined, missing or blank."""
+    counts = chunked.chunks.groupBy("document_id").agg(F.count("*").alias("n_chunks"))
+    joined = sources.select("document_id").join(counts, "document_id", "left").join(
+        chunked.quarantine.select("document_id", "error"), "document_id", "left"
+    )
+    outcome = (
+        F.when(F.col("error") == NO_BODY, F.lit("missing"))
+        .when(F.col("error").isNotNull(), F.lit("quarantined"))
+        .when(F.col("n_chunks") > 0, F.lit("chunked"))
+        .otherwise(F.lit("blank"))
+    )
+    n = F.coalesce("n_chunks", F.lit(0)).cast("bigint").alias("n_chunks")
+    return joined.select("document_id", outcome.alias("outcome"), n, "error")
 
 
 def _records_of(pieces: DataFrame, sources: DataFrame, run_date: str | None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 from docloom.functions import html, text, urls
 from docloom.functions.split import pieces_of
 from docloom.operators import chunking, landing, listing, longdocs, markdown_pages, numbering, validation
-from docloom.plans import inputs
+from docloom.plans import inputs, pipeline
 from docloom.plans.inputs import BASE, LATER, RUN_DATE, of, read
-from docloom.session import pinned, shared_dir
+from docloom.session import pinned, run_dir
 from docloom.sinks import chunk_table, export
 from docloom.sources import files as file_source
 from docloom.sources import registry
@@ -165,11 +166,52 @@ def registry_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def registry_save(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = inputs.sources(spark, sf_dir)
-    path = f"{shared_dir(spark)}/registry-{uuid.uuid4()}"
+    path = f"{run_dir(spark)}/registry-{uuid.uuid4()}"
     registry.save_sources(sources, path, validation.validate_sources(sources, BASE))
     return registry.read_sources(spark, path)
 
 
+@query
+def registry_edit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved registry with some entries changed, added and removed in one validated step."""
+    path = f"{run_dir(spark)}/registry-{uuid.uuid4()}"
+    registry.save_sources(inputs.sources(spark, sf_dir), path)
+    changes = _changes(spark, sf_dir)
+    gone = changes.where("pos % 4 = 1").select("document_id")
+    return registry.edit_sources(spark, path, lambda s: validation.validate_sources(s, BASE), changes, gone)
+
+
+@query
+def land_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies after landing what is missing: some sources have a stored body, and pairs of sources share a path."""
+    sources = inputs.sources(spark, sf_dir).withColumn("document_path", F.expr(inputs.SHARED_PATH)).withColumn(
+        "input_format", F.lit("markdown")
+    )
+    stored = sources.where("pos % 5 = 0").select(
+        urls.resolve(F.col("document_path"), BASE).alias("path"), F.encode(F.concat(F.lit("stored "), F.col("pos")), "utf-8").alias("content")
+    )
+    prepared = pipeline.prepare(sources, stored, inputs.responses(spark, sf_dir), BASE, strict=False)
+    return prepared.bodies.select("document_id", "body")
+
+
+@query
+def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every source: texts, JSON with broken bodies, page texts, and PDF sources without pages."""
+    entry = lambda name, fmt: F.struct(
+        F.lit(0).cast("bigint").alias("pos"), name.alias("document_id"), F.lit("https://example.org/").alias("document_url"),
+        F.lit("docs/x").alias("document_path"), F.lit("ns").alias("namespace"), F.lit(fmt).alias("input_format"),
+    )
+    texts = inputs.text_documents(spark, sf_dir).select("document_id", "body")
+    nested = inputs.broken_bodies(spark, sf_dir).select("document_id", "body")
+    pages = inputs.pdf_pages(spark, sf_dir)
+    without = read(spark, sf_dir, "labels").selectExpr("concat('none', doc_id) AS document_id")
+    listed = [(texts, "text"), (nested, "json"), (pages.select("document_id").distinct(), "pdf"), (without, "pdf")]
+    sources = reduce(DataFrame.union, [df.select(entry(F.col("document_id"), fmt).alias("s")).select("s.*") for df, fmt in listed])
+    prepared = pipeline.Prepared(sources, texts.union(nested), None)
+    chunked = pipeline.chunk_all(prepared, RUN_DATE, pages).stored()
+    return pipeline.report(sources, chunked).select("document_id", "outcome", (F.col("n_chunks") > 0).alias("has_chunks"))
+
+
 @query
 def path_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = "CASE WHEN page_id % 2 = 0 THEN concat('/abs//', page_id, '/./a.md') ELSE concat('docs/', page_id, '.md') END"
@@ -249,7 +291,7 @@ def landing_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed bodies, stored and read back."""
     from docloom.sinks.bodies import stored_bodies
 
-    path = f"{shared_dir(spark)}/bodies-{uuid.uuid4()}"
+    path = f"{run_dir(spark)}/bodies-{uuid.uuid4()}"
     landing.write_landed(_land(spark, sf_dir), path)
     return stored_bodies(spark, path).select("path", F.col("content").cast("string").alias("body"))
 
@@ -445,12 +487,15 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A chunk table created (twice, which changes nothing), filled, one namespace deleted, and summed up."""
     name = f"chunks_{uuid.uuid4().hex}"
-    location = f"{shared_dir(spark)}/{name}"
+    location = f"{run_dir(spark)}/{name}"
     for _ in range(2):
         chunk_table.create_chunk_table(spark, name, location)
     chunk_table.upsert_chunks(spark, name, _chunks(inputs.text_documents(spark, sf_dir)))
     chunk_table.replace_documents(spark, name, _chunks(_revised(spark, sf_dir), LATER))
     chunk_table.delete_namespace(spark, name, "ns1")
-    return chunk_table.read_chunks(spark, name).groupBy("namespace", "document_date").agg(
+    counts = chunk_table.read_chunks(spark, name).groupBy("namespace", "document_date").agg(
         F.count("*").alias("chunks"), F.sum(F.length("chunk_content")).alias("characters")
     )
+    result = pinned(counts)
+    spark.sql(f"DROP TABLE {name}")
+    return result

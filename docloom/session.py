@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -33,15 +34,29 @@ def local_session(app: str = "docloom", cores: int | str = "*", shuffle_partitio
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is empty (a local run) a fresh temporary folder is made, once per context.
+    Only where the setting is empty and all runs on this machine a fresh temporary folder is made, once per context. On a
+    cluster such a folder would be another one on every machine, so there the setting is required.
     """
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not re.match(r"local(\[|$)", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(path or tempfile.mkdtemp(prefix="docloom-"))
     return path or context.getCheckpointDir()
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables, in the shared one."""
+    return f"{shared_dir(spark)}/docloom-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; frames that still read them can't be used any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
@@ -49,7 +64,7 @@ def pinned(df: DataFrame) -> DataFrame:
     columns they need, and carry a measured size, by which Spark decides whether a join may broadcast them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/docloom-{uuid.uuid4()}"
+    path = f"{run_dir(spark)}/{uuid.uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

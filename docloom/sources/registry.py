@@ -139,14 +139,48 @@ def load_sources(spark: SparkSession, path: str, fmt: str = "yaml", strict: bool
 
 
 def save_sources(sources: DataFrame, path: str, issues: DataFrame | None = None) -> None:
-    """Write the whole registry, in order, once ``issues`` (from `validate_sources`) is known to be empty."""
+    """Write the whole registry, in order, once ``issues`` (from `validate_sources`) is known to be empty.
+
+    It is written as a new version beside the others and found by its number, so that a write which fails half way leaves
+    the registry as it was. Older versions stay.
+    """
     if issues is not None and not issues.isEmpty():
         raise InvalidSources(issues)
-    sources.select(SOURCES.names).sort("pos").write.mode("overwrite").parquet(path)
+    spark = sources.sparkSession
+    number = max(versions(spark, path), default=-1) + 1
+    sources.select(SOURCES.names).sort("pos").write.parquet(f"{path}/version={number}")
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions that were written completely."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder)
+    return sorted(int(f.getPath().getParent().getName().removeprefix("version=")) for f in found or ())
 
 
 def read_sources(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SOURCES).parquet(path)
+    """The last version of a saved registry."""
+    found = versions(spark, path)
+    if not found:
+        raise FileNotFoundError(f"no registry at {path}")
+    return spark.read.schema(SOURCES).parquet(f"{path}/version={found[-1]}")
+
+
+def edit_sources(
+    spark: SparkSession, path: str, validate, changes: DataFrame | None = None, removals: DataFrame | None = None, strict: bool = True
+) -> DataFrame:
+    """Load a saved registry, put ``changes`` in, take ``removals(document_id)`` out, check the whole, and save it.
+
+    ``validate`` gives the issues of a registry (`validate_sources` with its folder and files). Nothing is saved if there
+    are any, or if ``strict`` and an id to remove is unknown. Returns the registry as saved.
+    """
+    sources = read_sources(spark, path)
+    if changes is not None:
+        sources = upsert_sources(sources, changes)
+    if removals is not None:
+        sources = remove_sources(sources, removals, strict)
+    save_sources(sources, path, validate(sources))
+    return read_sources(spark, path)
 
 
 def select_sources(sources: DataFrame, all_docs: bool = False, single_id: str | None = None) -> DataFrame:
