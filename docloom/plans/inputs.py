@@ -54,6 +54,18 @@ ORDER_ENTRY = (
     "lpad(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS STRING), 10, '0'), '\"')"
 )
 
+# One nested document per order, in block YAML and in JSON; every fiftieth has a leaf that alone is too large.
+MEMO = "CASE WHEN o_orderkey % 50 = 0 THEN repeat('x', 1800) ELSE 'short note' END"
+TAGS = ("o_orderpriority", "concat('cust', o_custkey)")
+NESTED_YAML = (
+    "concat('order:', chr(10), '  key: ', o_orderkey, chr(10), '  status: \"', o_orderstatus, '\"', chr(10), '  tags:', chr(10), "
+    f"'    - ', {TAGS[0]}, chr(10), '    - ', {TAGS[1]}, chr(10), '  memo: >-', chr(10), '    ', {MEMO}, chr(10))"
+)
+NESTED_JSON = (
+    "concat('{ \"order\" : {\"key\": ', o_orderkey, ', \"status\": \"', o_orderstatus, '\",', chr(10), '\"tags\": [ \"', "
+    f"{TAGS[0]}, '\" , \"', {TAGS[1]}, '\"],  \"memo\": \"', {MEMO}, '\"}}', chr(10), '}}')"
+)
+
 
 def of(expression: str, column: str) -> str:
     """An expression above over a given id column."""
@@ -176,6 +188,13 @@ def json_bodies(spark: SparkSession, sf_dir: str, fmt: str = "json") -> DataFram
     )
 
 
+def nested_bodies(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    body = NESTED_YAML if fmt == "yaml" else NESTED_JSON
+    return read(spark, sf_dir, "orders").selectExpr(
+        "concat('order', o_orderkey) AS document_id", f"'{fmt}' AS input_format", f"{body} AS body"
+    )
+
+
 def broken_bodies(spark: SparkSession, sf_dir: str, fmt: str = "json") -> DataFrame:
     """The same with one brace too many behind every tenth body, which makes it unreadable."""
     broken = F.when(F.col("doc_no") % 10 == 0, F.concat("body", F.lit("}"))).otherwise(F.col("body"))

@@ -171,6 +171,13 @@ def _json_chunks(fmt: str) -> str:
   GROUP BY doc_no, i"""
 
 
+NESTED = f"""WITH o AS (SELECT concat('order', o_orderkey) AS document_id, o_orderkey % 50 = 0 AS large, {duck(inputs.MEMO)} AS memo,
+    concat('"key":', o_orderkey, ',"status":"', o_orderstatus, '","tags":["', {inputs.TAGS[0]}, '","', {inputs.TAGS[1]}, '"]') AS head FROM orders)
+  SELECT document_id, 0::INTEGER AS i, concat('{{"order":{{', head, CASE WHEN large THEN '' ELSE concat(',"memo":"', memo, '"') END, '}}}}') AS content,
+    false AS oversize FROM o
+  UNION ALL SELECT document_id, 1, concat('{{"order":{{"memo":"', memo, '"}}}}'), true FROM o WHERE large"""
+
+
 def _broken(fmt: str, error: str) -> str:
     """``error`` has ``{at}`` for the place of the brace too many, counted from 0, and ``{column}`` for that from 1."""
     message = "concat(" + ", ".join({"{at}": "length(whole)", "{column}": "length(whole) + 1"}.get(x, q(x)) for x in re.split(r"({at}|{column})", error) if x) + ")"
@@ -426,6 +433,8 @@ ORACLES = {
       FROM o_out o JOIN md_sec m ON o.k = concat(m.document_id, '/', m.sec)""",
     "json_chunks": _json_chunks("json"),
     "yaml_chunks": _json_chunks("yaml"),
+    "yaml_block_chunks": NESTED,
+    "json_nested_chunks": NESTED,
     "json_quarantine": _broken("json", "Invalid JSON input: Extra data: line 1 column {column} (char {at})"),
     "yaml_quarantine": _broken("yaml", "Invalid YAML input: did not find expected <document start>\n  in \"<unicode string>\", line 1, column {column}"),
     "format_dispatch": f"""WITH RECURSIVE {pieces('o_', DOCS)}, {pieces('m_', '''SELECT doc_id AS k, array_to_string(

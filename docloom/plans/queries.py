@@ -388,6 +388,22 @@ def yaml_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nested_chunks(spark, sf_dir, "yaml")
 
 
+def _nested_bodies(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    split = chunking.split_documents(inputs.nested_bodies(spark, sf_dir, fmt))
+    return chunking.numbered_pieces(split, "document_id").select("document_id", "i", "content", "oversize")
+
+
+@query
+def yaml_block_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """YAML in block style, nested, with lists and leaves that are too large."""
+    return _nested_bodies(spark, sf_dir, "yaml")
+
+
+@query
+def json_nested_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nested_bodies(spark, sf_dir, "json")
+
+
 def _quarantine(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     split = chunking.split_documents(inputs.broken_bodies(spark, sf_dir, fmt))
     bad = chunking.Chunked(split, RUN_DATE).quarantine
