@@ -9,8 +9,6 @@ from __future__ import annotations
 import re
 
 from docloom.constants import FORMAT_SUFFIXES, MAX_CHARS, OVERLAP, REGISTRY_KEYS, WHITESPACE, WORDING
-from docloom.functions.html import ENTITIES, MARKUP
-from docloom.functions.urls import LEADING, RFC3986
 from docloom.plans import inputs
 from docloom.plans.inputs import BASE, FORMAT, LATER, NAMESPACE, PATH, RUN_DATE, of
 
@@ -196,28 +194,61 @@ def normalized(c: str) -> str:
     return strip(c)
 
 
+#: References of the pages at hand and what they stand for, by code point; the ampersand comes last.
+REFERENCES = {"copy": 169, "middot": 183, "quot": 34, "lt": 60, "gt": 62, "amp": 38}
+
+
 def unescaped(c: str) -> str:
-    for name, char in ENTITIES:
-        c = f"replace({c}, {q(name)}, {q(char)})"
+    for name, point in REFERENCES.items():
+        c = f"replace({c}, '&{name};', chr({point}))"
     return c
 
 
 def html_text(c: str) -> str:
-    bare = f"regexp_replace({c}, {q(MARKUP)}, chr(1), 'g')"
-    parts = f"list_transform(string_split({unescaped(bare)}, chr(1)), lambda f: {strip('f')})"
+    """Tag by tag: a page is cut at every ``<``; what stands behind the ``>`` of a piece is text, unless the piece opens a
+    script, a style or a comment, whose content is taken out before."""
+    hidden = c
+    for begin, end in (("<script", "</script>"), ("<style", "</style>"), ("<!--", "-->")):
+        # the parts behind each beginning, without what lies before its end
+        rest = f"list_transform(string_split({hidden}, '{begin}')[2:], lambda p: substring(p, position('{end}' IN p) + {len(end)}))"
+        hidden = f"array_to_string(list_prepend(string_split({hidden}, '{begin}')[1], {rest}), '<x>')"
+    cut = f"string_split({hidden}, '<')"
+    tail = f"list_transform({cut}[2:], lambda p: substring(p, position('>' IN p) + 1))"
+    parts = f"list_transform(list_prepend({cut}[1], {tail}), lambda f: {strip(unescaped('f'))})"
     return normalized(unescaped(f"array_to_string(list_filter({parts}, lambda f: f <> ''), ' ')"))
 
 
 def _clean(url: str) -> str:
-    return f"regexp_replace(ltrim({url}, {q(LEADING[1:])}), '[\\t\\r\\n]', '', 'g')"
+    return f"trim({url})"
+
+
+def _scheme(url: str) -> str:
+    """What stands before the first colon, if nothing else that parts an address does."""
+    head = f"split_part({_clean(url)}, ':', 1)"
+    return f"CASE WHEN contains({_clean(url)}, ':') AND NOT regexp_matches({head}, '[/?#]') THEN {head} ELSE '' END"
+
+
+def _behind(url: str) -> str:
+    """The address behind its scheme, without query and fragment."""
+    bare = f"split_part(split_part({_clean(url)}, '#', 1), '?', 1)"
+    return f"CASE WHEN {_scheme(url)} <> '' THEN substring({bare}, length({_scheme(url)}) + 2) ELSE {bare} END"
 
 
-def url_part(url: str, group: int) -> str:
-    return f"regexp_extract({_clean(url)}, {q(RFC3986)}, {group})"
+def url_part(url: str, part: int) -> str:
+    """2: scheme, 4: authority, 5: path."""
+    behind = _behind(url)
+    host = f"split_part(substring({behind}, 3), '/', 1)"
+    return {
+        2: _scheme(url),
+        4: f"CASE WHEN starts_with({behind}, '//') THEN {host} ELSE '' END",
+        5: f"CASE WHEN starts_with({behind}, '//') THEN substring({behind}, 3 + length({host})) ELSE {behind} END",
+    }[part]
 
 
 def url_path(url: str) -> str:
-    return f"regexp_replace({url_part(url, 5)}, ';[^/]*$', '')"
+    path = f"({url_part(url, 5)})"
+    last = f"string_split({path}, '/')[-1]"
+    return f"concat(substring({path}, 1, length({path}) - length({last})), split_part({last}, ';', 1))"
 
 
 def segments(path: str) -> str:
