@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import urls
@@ -31,15 +31,22 @@ def widths(table: DataFrame) -> DataFrame:
 
 
 def padded(table: DataFrame) -> DataFrame:
-    """``line``: values padded to their column and joined, or a message when there are none.
+    """``line``: a header and the values by document, padded to their column and joined; or a message when there are none.
 
-    The widths and the number of rows come in as scalar subqueries.
+    The widths and the number of rows come from one aggregate, as a scalar subquery.
     """
-    wide = widths(table)
-    cells = [pad(F.coalesce(c, F.lit("")), wide.select(c).scalar()) for c in table.columns]
-    rows = table.agg(F.count("*").alias("n")).scalar()
-    message = table.sparkSession.range(1).filter(rows == 0).select(F.lit(EMPTY).alias("line"))
-    return table.select(F.concat_ws(" | ", *cells).alias("line")).unionByName(message)
+    widest = [F.greatest(F.max(F.length(c)), F.lit(len(c))).alias(c) for c in table.columns]
+    found = table.agg(F.struct(F.count("*").alias("n"), *widest).alias("w")).scalar()
+
+    def line(values) -> Column:
+        return F.concat_ws(" | ", *[pad(v, found[c]) for v, c in zip(values, table.columns)]).alias("line")
+
+    none = F.lit(None).cast("string")
+    rows = table.select(F.lit(1).alias("part"), F.col("Document").alias("id"), line(F.coalesce(c, F.lit("")) for c in table.columns))
+    first = table.sparkSession.range(1)
+    header = first.filter(found["n"] > 0).select(F.lit(0), none, line(map(F.lit, table.columns)))
+    message = first.filter(found["n"] == 0).select(F.lit(0), none, F.lit(EMPTY))
+    return rows.union(header).union(message).orderBy("part", "id").select("line")
 
 
 def tabbed(sources: DataFrame) -> DataFrame:

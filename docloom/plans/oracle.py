@@ -396,7 +396,8 @@ ORACLES = {
       string_agg(concat('- ', message), {LF} ORDER BY ord) AS report FROM ({_issues(False)}) GROUP BY document_id""",
     "registry_listing": f"WITH s AS ({SOURCES}) {LISTING} ORDER BY 1",
     "listing_widths": f"WITH s AS ({SOURCES}) SELECT {WIDTHS} FROM ({LISTING})",
-    "listing_lines": f"WITH s AS ({SOURCES}), l AS ({LISTING}), w AS (SELECT {WIDTHS} FROM l) SELECT {LINE} AS line FROM l, w",
+    "listing_lines": f"""WITH s AS ({SOURCES}), l AS ({LISTING}), w AS (SELECT {WIDTHS} FROM l),
+      t AS (SELECT * FROM l UNION ALL SELECT {", ".join(map(q, _NAMES))}) SELECT {LINE.replace("l.", "t.")} AS line FROM t, w""",
     "listing_tabbed": f"SELECT concat_ws(chr(9), document_id, input_format, document_url) AS line FROM ({SOURCES}) ORDER BY pos",
     "select_all": SOURCES,
     "select_one": f"SELECT * FROM ({SOURCES}) WHERE document_id = 'page7'",

@@ -22,6 +22,10 @@ class NamespaceError(ValueError):
     """A namespace is missing or blank."""
 
 
+class DuplicateKeys(ValueError):
+    """A payload has a key twice under the same date; the first few are named."""
+
+
 # --- the same changes as plain DataFrame operations ------------------------------------------------------------
 
 
@@ -32,6 +36,24 @@ def latest(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy(*KEY).agg(newest.alias("_r")).select(*[F.col(c if c in KEY else f"_r.{c}") for c in chunks.columns])
 
 
+def settled(new: DataFrame) -> DataFrame:
+    """``new`` stored, with one row per key. Of a key's rows the one with the latest date counts; two of that date are an error.
+
+    Ids of chunks are unique as long as ids of documents are, so mostly only keys are moved to see that.
+    """
+    change = pinned(new)
+    rest = [c for c in change.columns if c not in KEY]
+    repeated = change.groupBy(*KEY).agg(F.count("*").alias("_n"), F.max("document_date").alias("_last")).filter("_n > 1")
+    repeated = pinned(repeated)
+    if repeated.isEmpty():
+        return change
+    last = change.join(repeated, KEY).filter("document_date = _last").groupBy(*KEY).agg(F.countDistinct(F.struct(*rest)).alias("_n"))
+    double = last.filter("_n > 1").orderBy(*KEY).limit(5).collect()
+    if double:
+        raise DuplicateKeys(", ".join(f"{r.namespace}/{r._id}" for r in double))
+    return pinned(latest(change))
+
+
 def _put(old: DataFrame, change: DataFrame) -> DataFrame:
     kept = old.join(change.select(*KEY), KEY, "left_anti")
     return kept.select(old.columns).unionByName(change)
@@ -49,12 +71,12 @@ def upserted(old: DataFrame, new: DataFrame) -> DataFrame:
     ``new`` is used twice, so it is written to the shared folder once. Only its keys meet ``old``: when they
     are few, Spark broadcasts them and ``old`` is not shuffled.
     """
-    return _put(old, pinned(latest(new)))
+    return _put(old, settled(new))
 
 
 def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
     """Like `upserted`, but chunks a document no longer has are dropped too."""
-    return _replace(old, pinned(latest(new)))
+    return _replace(old, settled(new))
 
 
 def is_blank(namespace: Column) -> Column:
@@ -125,7 +147,7 @@ def _current(spark: SparkSession, table: str) -> DataFrame:
 
 def _apply(spark: SparkSession, table: str, chunks: DataFrame, change_of) -> DataFrame | None:
     keyed = chunks.select(*CHUNKS.names).withColumn("bucket", bucket("document_id", _buckets(spark, table)))
-    change = pinned(latest(keyed))
+    change = settled(keyed)
     if change.isEmpty():
         return None
     if not change.filter(is_blank(F.col("namespace"))).isEmpty():

@@ -17,6 +17,10 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
 
 
+#: Bytes that one value of a row can hold.
+LARGEST = 2**31 - 1
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """``files(path, length)``; contents are not read."""
     return _files(spark, path).select(_plain(F.col("path")).alias("path"), "length")
@@ -28,9 +32,20 @@ def decode_strict(content: Column) -> Column:
     return F.when(F.is_valid_utf8(text), unix_newlines(text))
 
 
-def read_bodies(spark: SparkSession, path: str) -> DataFrame:
-    """``bodies(path, body)``, one row per file; a body that is not valid UTF-8 is null."""
-    return _files(spark, path).select(_plain(F.col("path")).alias("path"), decode_strict(F.col("content")).alias("body"))
+def read_bodies(spark: SparkSession, path: str, largest: int = LARGEST) -> DataFrame:
+    """``bodies(path, body)``, one row per file of at most ``largest`` bytes; a body that is not valid UTF-8 is null.
+
+    Larger files can't be a value of a row; they are not opened. `too_large` lists them.
+    """
+    files = _files(spark, path).where(F.col("length") <= largest)
+    return files.select(_plain(F.col("path")).alias("path"), decode_strict(F.col("content")).alias("body"))
+
+
+def too_large(spark: SparkSession, path: str, largest: int = LARGEST) -> DataFrame:
+    """``(path, error)`` of the files `read_bodies` leaves out, for quarantine."""
+    return list_files(spark, path).where(F.col("length") > largest).select(
+        "path", F.concat(F.lit("file has "), F.col("length").cast("string"), F.lit(" bytes")).alias("error")
+    )
 
 
 def normalise_pages(pages: DataFrame) -> DataFrame:

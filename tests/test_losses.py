@@ -122,3 +122,21 @@ def test_intermediate_tables_can_be_removed(spark):
     # only this frame's own folder is removed here: other tests share the application's
     path = kept.inputFiles()[0].rsplit("/", 1)[0]
     assert path.startswith(session.run_dir(spark)) or session.run_dir(spark) in path
+
+
+def test_files_beyond_a_row_are_listed_not_opened(spark, tmp_path):
+    from docloom.sources import files
+
+    (tmp_path / "small.txt").write_text("small")
+    (tmp_path / "large.txt").write_text("x" * 100)
+    assert [r.body for r in files.read_bodies(spark, str(tmp_path), largest=50).collect()] == ["small"]
+    assert [(r.path.rsplit("/", 1)[1], r.error) for r in files.too_large(spark, str(tmp_path), largest=50).collect()] == [("large.txt", "file has 100 bytes")]
+
+
+def test_a_payload_with_a_key_twice_is_rejected(spark):
+    rows = [("n", "a:chunk0", "a", "u", "2024-01-01", text, None) for text in ("x", "y")]
+    old, new = spark.createDataFrame(rows[:1], CHUNKS), spark.createDataFrame(rows, CHUNKS)
+    for change in (chunk_table.upserted, chunk_table.replaced):
+        with pytest.raises(chunk_table.DuplicateKeys, match="n/a:chunk0"):
+            change(old, new)
+    assert [r.chunk_content for r in chunk_table.upserted(old, new.where("chunk_content = 'y'")).collect()] == ["y"]

@@ -128,7 +128,9 @@ def test_listing(spark):
     table = dl.listing(registry(spark, ("z", "https://u", "/b/docs/z.md", "n", "markdown"), ("doc", "https://url", "docs/doc.md", "n", "markdown"), ("y", "https://u", "/else/y.md", "n", "markdown")), "/b")
     assert [(r.Document, r.Path) for r in table.collect()] == [("doc", "docs/doc.md"), ("y", "/else/y.md"), ("z", "docs/z.md")]
     lines = [r.line for r in dl.padded(table).collect()]
-    assert lines[0] == "doc      | markdown | n         | docs/doc.md | https://url"
+    assert lines[0] == "Document | Format   | Namespace | Path        | URL        "
+    assert lines[1] == "doc      | markdown | n         | docs/doc.md | https://url"
+    assert [x.split()[0] for x in lines] == ["Document", "doc", "y", "z"]
     empty = dl.listing(spark.createDataFrame([], SCHEMA), "/b")
     assert [r.line for r in dl.padded(empty).collect()] == ["No documents configured."]
     assert dl.widths(empty.select("Document")).first()[0] == len("Document")
