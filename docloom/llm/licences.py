@@ -247,9 +247,11 @@ def places(features, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample_lines(docs: DataFrame, key: str, text: str, n: int, seed: int = 13) -> list[str]:
-    """About ``n`` lines for training, of documents drawn by a hash of the key; at most ``n`` reach the driver."""
+    """About ``n`` lines for training, one of each document drawn, both by hashes; at most ``n`` reach the driver."""
     total = docs.count()
-    drawn = docs.where(uniform(F.col(key), seed) < n / max(total, 1)).select(F.explode(F.split(text, "\n")).alias("line"))
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    place = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.size(lines)).cast("int")
+    drawn = docs.where(uniform(F.col(key), seed) < n / max(total, 1)).select(F.get(lines, place).alias("line"))
     return [r[0] for r in drawn.where("length(line) > 0 AND length(line) < 2000").orderBy(F.xxhash64("line"), "line").limit(n).collect()]
 
 
