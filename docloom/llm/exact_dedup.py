@@ -99,7 +99,8 @@ def exact_dedup(
     found = pinned(
         spark.read.schema(RECORD)
         .parquet(f"{home}/records")
-        .join(groups(spark, f"{home}/groups"), "digest")
+        # stored, so that adaptive execution can split the join on a digest that very many documents have
+        .join(pinned(groups(spark, f"{home}/groups")), "digest")
         .select("key", "row", "digest", "sha", "kept", "n")
     )
     hits = found.where("n > 1").select(F.col("key").alias("hit"), "digest", F.col("kept.key").alias("keep")).distinct()
