@@ -129,7 +129,8 @@ def with_corrections(found: DataFrame, texts: DataFrame, other: DataFrame) -> Da
     exact = found.join(other, "digest").groupBy("digest", "sha").agg(
         F.max(F.struct("key", "row")).alias("largest"), F.count("*").alias("members")
     )
-    joined = found.join(exact, ["digest", "sha"], "left")
+    # stored: it is mostly empty, and the join then moves no rows
+    joined = found.join(pinned(exact), ["digest", "sha"], "left")
     keep = F.coalesce(F.col("largest"), F.struct(F.col("kept.key").alias("key"), F.col("kept.row").alias("row")))
     return joined.select(
         "key",
