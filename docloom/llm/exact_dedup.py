@@ -121,7 +121,8 @@ def different(texts: DataFrame) -> DataFrame:
         F.col("digest").alias("of"), F.col("whole").alias("standing")
     )
     unequal = texts.join(stays, F.col("digest") == F.col("of")).where("whole <> standing")
-    return pinned(unequal.select("digest").distinct())
+    # stored before it is grouped: a grouping on the digest would keep the join from being split on a frequent one
+    return pinned(pinned(unequal.select("digest")).distinct())
 
 
 def with_corrections(found: DataFrame, texts: DataFrame, other: DataFrame) -> DataFrame:
