@@ -126,3 +126,17 @@ def test_one_query_for_each_operator():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     assert zlib.crc32(b"0") % 5 is not None
+
+
+def main_texts(spark, rows):
+    frame = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING").repartition(3)
+    return {r.page_id: r.text for r in wrappers.main_text(frame).collect()}
+
+
+def test_template_text_inside_articles_is_left_out(spark):
+    page = "<body><article><h1>Title {0}</h1><div>Read our offer</div><p>text {0}</p><ul><li><a>One</a></li><li><a>Two</a></li></ul></article></body>"
+    rows = [(i, "http://a.example/x", page.format(i)) for i in range(6)]
+    # a copied article makes no template
+    rows += [(10 + i, "http://b.example/x", "<article><p>same</p></article>") for i in range(6)]
+    got = main_texts(spark, rows)
+    assert got == {i: f"Title {i} text {i}" for i in range(6)} | {10 + i: "same" for i in range(6)}
