@@ -140,3 +140,11 @@ def test_template_text_inside_articles_is_left_out(spark):
     rows += [(10 + i, "http://b.example/x", "<article><p>same</p></article>") for i in range(6)]
     got = main_texts(spark, rows)
     assert got == {i: f"Title {i} text {i}" for i in range(6)} | {10 + i: "same" for i in range(6)}
+
+
+def test_odd_pages_of_a_host_keep_its_template(spark):
+    page = "<body><div>Welcome</div><p>Join us</p><p>text {0}</p><p>more {0}</p><div>Call us</div></body>"
+    rows = [(i, "http://a.example/x", page.format(i)) for i in range(8)]
+    odd = [(20, None), (21, ""), (22, "<h1>Error</h1>"), (23, "<table><tr><td>9</td></tr></table>")]
+    got = main_texts(spark, rows + [(i, "http://a.example/x", h) for i, h in odd])
+    assert got == {i: f"text {i} more {i}" for i in range(8)} | {20: "", 21: "", 22: "Error", 23: "9"}
