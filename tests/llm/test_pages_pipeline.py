@@ -148,3 +148,23 @@ def test_odd_pages_of_a_host_keep_its_template(spark):
     odd = [(20, None), (21, ""), (22, "<h1>Error</h1>"), (23, "<table><tr><td>9</td></tr></table>")]
     got = main_texts(spark, rows + [(i, "http://a.example/x", h) for i, h in odd])
     assert got == {i: f"text {i} more {i}" for i in range(8)} | {20: "", 21: "", 22: "Error", 23: "9"}
+
+
+def test_streams_of_a_host_are_aligned_in_bounded_parts(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "FAN", 4)
+    monkeypatch.setattr(wrappers, "WIDE", 30)
+    tags = "h2 h3 h4 h5 h6 pre dl table section figure".split()
+
+    def page(i):
+        return "<p>Welcome</p>" + "".join(f"<{t}>{t} {i}</{t}>" for k, t in enumerate(tags[:7]) if i >> k & 1) + f"<div>text {i}</div><p>Call us</p>"
+
+    rows = [(i, "http://a.example/x", page(i)) for i in range(100)]
+    frame = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")
+    found = wrappers.streams(wrappers.pinned(wrappers.looks(wrappers.prepared(frame, "page_id", "url", "html"))))
+    made = found.groupBy("part").count().toPandas()
+    assert made["count"].sum() == 100 and made["count"].max() <= 16 and len(made) > 15
+    one = wrappers.wrappers(frame).collect()
+    assert len(one) == 1 and one[0].pages == 100
+    got = main_texts(spark, rows)
+    want = {i: " ".join([*(f"{t} {i}" for k, t in enumerate(tags[:7]) if i >> k & 1), f"text {i}"]) for i in range(100)}
+    assert got == want
