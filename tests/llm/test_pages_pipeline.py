@@ -168,3 +168,18 @@ def test_streams_of_a_host_are_aligned_in_bounded_parts(spark, monkeypatch):
     got = main_texts(spark, rows)
     want = {i: " ".join([*(f"{t} {i}" for k, t in enumerate(tags[:7]) if i >> k & 1), f"text {i}"]) for i in range(100)}
     assert got == want
+
+
+@pytest.mark.parametrize("open_, close", [
+    ('<html class="no-menu"><body><p>', "</p></body></html>"), ('<body class="has-sidebar"><p>', "</p></body>"), ('<main class="search results"><p>', "</p></main>"),
+    ('<body><article class="post share"><p>', "</p></article></body>"), ('<article><h1>T</h1><div class="share text">', "</div></article>"),
+])
+def test_class_words_leave_out_no_whole_page(open_, close):
+    words = " ".join(["text"] * 20)
+    page = f'{open_}{words}<div class="ad">Buy</div>{close}'
+    assert " ".join(t for _, t in wrappers.read(page)[2]).removeprefix("T ").startswith(words)
+
+
+def test_class_words_still_leave_out_comments_and_notices():
+    page = '<main><article class="post share"><p>long enough text of the page</p></article><div class="comments"><article class="comment">Me</article></div></main><p class="ad">Buy</p>'
+    assert [t for _, t in wrappers.read(page)[2]] == ["long enough text of the page"]
