@@ -2,7 +2,8 @@
 
 Vectors are scaled to length 1, so a cosine is a distance. A coarse quantiser deals them out to inverted lists; what is left
 after taking off a list's centre is coded by one byte per subspace, and its coding error is kept. Every vector searches the
-``probes`` lists whose centres are nearest to it. In a list, distances come from one table per query and subspace
+lists whose centres are nearest to it. How many is measured on the table and its lists: held vectors are compared with all
+others, and as many lists are searched as find ``recall`` of their links, of all and on average over the vectors. In a list, distances come from one table per query and subspace
 (asymmetric: the query isn't coded). A pair passes if that distance, less the coding error, may be within the
 threshold, so the codes lose nothing; what passes is compared by exact cosine in double precision.
 
@@ -28,6 +29,9 @@ from docloom.llm.components import components
 from docloom.session import pinned
 
 BLOCK = 1024
+#: Held vectors by which the number of searched lists is measured; rows compared with them at once.
+HELD = 1024
+ROWS = 2048
 MOST_LISTS = 4096
 #: Pairs whose exact cosine is computed at once.
 PAIRS = 1 << 16
@@ -123,6 +127,48 @@ def indexed(entries: DataFrame, model: Quantiser, probes: int) -> DataFrame:
     return entries.mapInArrow(run, f"id bigint, n bigint, vector {kind}, list int, code binary, error double, probes array<int>")
 
 
+def ranks_of_links(entries: DataFrame, held: pa.Table, model: Quantiser, least: float) -> DataFrame:
+    """query, lists, n: how many links of a row of ``held`` (id, vector) are found from that number of searched lists on.
+
+    A link is found if either of its vectors searches the list of the other.
+    """
+    queries, ids = unit(held.column("vector")), held.column("id").to_numpy()
+    far = squares(queries, model.centres)
+    home = far.argmin(1)
+    rank = far.argsort(1, kind="stable").argsort(1, kind="stable")
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
+                x = unit(part.column("vector"))
+                q, y = np.nonzero((queries @ x.T >= least) & (ids[:, None] != part.column("id").to_numpy()[None, :]))
+                if not len(q):
+                    continue
+                hit, at = np.unique(y, return_inverse=True)
+                away = squares(x[hit], model.centres)
+                order = away.argsort(1, kind="stable").argsort(1, kind="stable")
+                lists = 1 + np.minimum(rank[q, away.argmin(1)[at]], order[at, home[q]])
+                found, n = np.unique(np.stack([q, lists]), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (*found, n)], names=["query", "lists", "n"])
+
+    made = entries.select("id", "vector").mapInArrow(run, "query bigint, lists bigint, n bigint")
+    return made.groupBy("query", "lists").agg(F.sum("n").alias("n"))
+
+
+def recall_of(links: np.ndarray, lists: int) -> float:
+    """Of rows (query, lists, n), what that number of lists finds: the smaller of all links' share and the queries' average."""
+    found = np.where(links[:, 1] <= lists, links[:, 2], 0)
+    _, query = np.unique(links[:, 0], return_inverse=True)
+    return float(min(found.sum() / links[:, 2].sum(), (np.bincount(query, found) / np.bincount(query, links[:, 2])).mean()))
+
+
+def searched(links: np.ndarray, recall: float, fewest: int) -> int:
+    """The number of lists, at least ``fewest``, that finds ``recall`` of the links; without links there is nothing to go by."""
+    every = [fewest, *np.unique(links[:, 1][links[:, 1] > fewest]).tolist()] if len(links) else [fewest]
+    return next((int(n) for n in every if not len(links) or recall_of(links, n) >= recall), int(every[-1]))
+
+
 FOUND = "a bigint, b bigint, links bigint"
 
 
@@ -204,11 +250,12 @@ def in_blocks(index: DataFrame) -> DataFrame:
 
 def near_vectors(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = 0.9,
-    lists: int | None = None, subspaces: int = 8, probes: int = 8, sample: int = 20_000,
+    lists: int | None = None, subspaces: int = 8, probes: int = 8, sample: int = 20_000, recall: float = 0.999,
 ) -> DataFrame:
     """One row per row of ``vectors``: key, n_links, component_id, kept.
 
-    ``lists`` defaults to the square root of the number of different vectors, at most MOST_LISTS. Vectors that are null, zero
+    ``lists`` defaults to the square root of the number of different vectors, at most MOST_LISTS. ``probes`` is the fewest lists
+    that a vector searches; it is raised until links of about HELD held vectors are found to ``recall``. Vectors that are null, zero
     or of another width than most, or that hold a null or a number that isn't finite, link with nothing, not even with
     their like; nor do vectors without a key (their component_id is null). Rows that repeat a vector link with each
     other. An empty table gives an empty result. Other columns are ignored.
@@ -229,6 +276,10 @@ def near_vectors(
         drawn = drawn if drawn.head() is not None else entries.select("id", "vector").orderBy("id").limit(1)
         count = lists or min(MOST_LISTS, max(1, int(np.sqrt(n))))
         model = Quantiser.fit(unit(drawn.select("vector").toArrow().column("vector")), count, subspaces)
+        if probes < len(model.centres):
+            held = entries.where(uniform(F.col("id"), 6) < HELD / n).select("id", "vector").orderBy("id").toArrow()
+            ranks = ranks_of_links(entries, held, model, least).toPandas().to_numpy() if held.num_rows else np.empty((0, 3))
+            probes = searched(ranks, recall, probes)
         index = pinned(indexed(entries, model, min(probes, len(model.centres))))
         blocks = in_blocks(index).withColumnRenamed("list", "home").withColumnRenamed("at", "list")
         found = pinned(compare(blocks, model, least))

@@ -179,6 +179,26 @@ def test_vectors_against_brute_force(spark, monkeypatch):
     assert (whole.n_links.to_numpy() == want.sum(1)).all()
 
 
+def test_lists_searched_grow_until_links_are_found(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 8))
+    x = np.concatenate([x, x + rng.normal(scale=0.4, size=x.shape), x + rng.normal(scale=0.4, size=x.shape)])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    want = brute_links(x, 0.9).sum(1)
+    got = vectors.near_vectors(frame, lists=1000, probes=2).toPandas().sort_values("vec_id").n_links.to_numpy()
+    assert (got <= want).all() and got.sum() >= 0.995 * want.sum()
+    # two lists alone, as many as are asked for at least, don't find them
+    few = vectors.near_vectors(frame, lists=1000, probes=2, recall=0.0).toPandas().n_links.sum()
+    assert few < 0.97 * want.sum()
+
+
+def test_number_of_lists_searched():
+    links = np.array([[0, 1, 90], [0, 12, 10], [1, 3, 1], [1, 40, 1]])
+    assert vectors.recall_of(links, 3) == pytest.approx(0.7) and vectors.recall_of(links, 40) == 1
+    assert [vectors.searched(links, r, 8) for r in (0.5, 0.74, 1.0)] == [8, 12, 40]
+    assert vectors.searched(links[:0], 1.0, 8) == 8
+
+
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id BIGINT, embedding ARRAY<FLOAT>, n INT, id STRING")
     assert vectors.near_vectors(frame).count() == 0
