@@ -75,5 +75,16 @@ def test_batches_hold_every_document_once(docs, corpus):
         assert bucket.batch.nunique() == -(-len(bucket) // room)
 
 
+@pytest.mark.parametrize("most", [5000, 3])
+def test_boundaries_are_real_lengths(spark, monkeypatch, most):
+    monkeypatch.setattr(packing, "MOST_LENGTHS", most)
+    lengths = [1025] * 3 + [1027] + [2051] * 2 + [2079] + [5001]
+    frame = spark.createDataFrame(list(enumerate(lengths)), "doc_id BIGINT, n BIGINT")
+    got = packing.pack(frame, length=F.col("n"), buckets=2).toPandas()
+    ends = [*(e for e in set(lengths) if e < 5001)]
+    best = min(sum(min(b for b in (e, 5001) if b >= n) - n for n in lengths) for e in ends)
+    assert set(got.bucket_length) <= set(lengths) and got.padding.sum() == best
+
+
 def test_empty_tables(nothing):
     assert mixing.mix(nothing).count() == 0 and packing.pack(nothing).count() == 0
