@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docloom.llm import exact_dedup, katz, licences, mixing, packing, simhash, substring, toxicity, vectors, wrappers
+from docloom.llm import exact_dedup, katz, language, licences, mixing, packing, simhash, substring, toxicity, trie, vectors, whitening, wrappers
 
 QUERIES = {
     "op1_pareto_mix": mixing.query,
@@ -15,10 +15,14 @@ QUERIES = {
     "op8_length_buckets": packing.query,
     "op9_licence_classifier": licences.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_ftrl_language": language.query,
+    "op12_zfast_trie": trie.query,
+    "op13_exact_whitening": whitening.query,
 }
 
 ORACLES = {
     "op1_pareto_mix": mixing.ORACLE,
     "op7_seed_extend": substring.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op12_zfast_trie": trie.ORACLE,
 }
