@@ -77,7 +77,5 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Characters one assembled body may hold. A document whose pages add up to more is never gathered into
-# one row: it is split from parts of PART_CHARS instead (operators/longdocs.py), with the same result.
-BODY_CHARS = 64_000_000
-PART_CHARS = 32_000_000
+# Consecutive page numbers that make one part of a document: what one row holds of it (operators/longdocs.py).
+PART_PAGES = 128

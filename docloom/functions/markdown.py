@@ -29,6 +29,9 @@ STATES = 3
 
 HEADER = r"^(#{1,5}) "
 
+# Stands for a header in force that is in an earlier part of the document.
+INHERITED = -2
+
 # first line (from 0), number of lines, and per level the line of the header in force (-1: none)
 SECTION = T.StructType(
     [
@@ -66,10 +69,13 @@ def title(line: Column) -> Column:
     return strip(F.regexp_replace(line, r"^#+", ""))
 
 
-def header_sections(classes: np.ndarray) -> list[tuple[int, int, list[int]]]:
-    """``(first line, lines, header line per level)`` of the sections of one document."""
-    fenced = block_states(classes) > 0
-    found, in_force = [], [-1] * LEVELS
+def header_sections(classes: np.ndarray, state: int = 0, outer: int = -1) -> list[tuple[int, int, list[int]]]:
+    """``(first line, lines, header line per level)`` of the sections of one document, or of a part that begins in ``state``.
+
+    ``outer`` stands for the headers in force at the beginning.
+    """
+    fenced = block_states(classes, state) > 0
+    found, in_force = [], [outer] * LEVELS
     starts = np.flatnonzero((classes > 0) & (classes <= LEVELS) & ~fenced).tolist()
     first = 0
     for line in [*starts, len(classes)]:
@@ -82,15 +88,12 @@ def header_sections(classes: np.ndarray) -> list[tuple[int, int, list[int]]]:
     return found
 
 
-@F.arrow_udf(T.ArrayType(SECTION))
-def find_sections(documents: pa.Array) -> pa.Array:
+def section_array(documents) -> pa.Array:
+    """Arrow ``list<section>`` from the sections of each document (None: null), built column by column."""
     offsets, first, lines, headers = [], [], [], []
-    for classes in documents:
-        values = classes.values
-        offsets.append(len(first) if values is not None else None)
-        if values is None:
-            continue
-        for start, count, in_force in header_sections(values.to_numpy(zero_copy_only=False)):
+    for sections in documents:
+        offsets.append(len(first) if sections is not None else None)
+        for start, count, in_force in sections or ():
             first.append(start)
             lines.append(count)
             headers.extend(in_force)
@@ -104,6 +107,12 @@ def find_sections(documents: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
 
 
+@F.arrow_udf(T.ArrayType(SECTION))
+def find_sections(documents: pa.Array) -> pa.Array:
+    values = (classes.values for classes in documents)
+    return section_array(None if v is None else header_sections(v.to_numpy(zero_copy_only=False)) for v in values)
+
+
 def paragraphs(lines: Column) -> Column:
     """Text of an array of stripped lines, paragraphs apart by one blank line."""
     text = F.regexp_replace(F.array_join(lines, "\n"), "\n{3,}", "\n\n")

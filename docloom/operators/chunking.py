@@ -70,6 +70,11 @@ def _flat_pieces() -> Column:
     return F.flatten(per_section)
 
 
+def pieces_of_sections(df: DataFrame, max_chars: int = MAX_CHARS, overlap: int = OVERLAP) -> DataFrame:
+    """Add ``pieces`` of the array ``_sections``; only sections over the limit cross to Python."""
+    return _with_long_pieces(df, max_chars, overlap).withColumn("pieces", _flat_pieces()).drop("_long")
+
+
 def split_documents(
     documents: DataFrame, body: str = "body", max_chars: int = MAX_CHARS, overlap: int = OVERLAP
 ) -> DataFrame:

@@ -1,35 +1,36 @@
-"""Splitting documents that arrive as many rows, however large one of them is.
+"""Documents that arrive as many rows, however large one of them is, along one path.
 
-Page texts of a document are joined by a blank line and split as one text. A document within ``BODY_CHARS``
-is gathered into one row. A larger one never is: it is held as parts of about ``PART_CHARS`` characters and
-split part by part, with exactly the pieces the joined text would give:
+Page texts of a document are joined by a blank line and split as one text. The pages of `PART_PAGES` consecutive numbers
+are a part; most documents are a single one. No row holds more text than a part, and no task more than it can stream:
 
-1. Where a piece starts decides alone where the next one starts. So each part is turned, in parallel, into a
-   small map: for every place where a piece may start at the head of the part, where the first piece behind
-   the part starts and how many pieces lie between.
-2. The maps are combined in a tree, a few hundred at a time, until the start and the piece number of every
-   part are known.
+1. Where a piece starts decides alone where the next one starts. So each part of a document that has several is turned, in
+   parallel, into a small map: for every place where a piece may start at the head of the part, where the first piece
+   behind the part starts and how many pieces lie between.
+2. The maps of a document, some hundred bytes a part, are followed one after the other, which gives the start and the
+   piece number of every part. A document's only part starts at 0 and has no map.
 3. Each part then emits its own pieces. The head of the following text is joined to it, because the last
    piece of a part reaches into it.
+
+All of it is one plan, made without running a job.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.constants import BODY_CHARS, MAX_CHARS, OVERLAP, PART_CHARS
-from docloom.functions.split import _piece_array, PIECES, check_limits, cuts, pieces_of, spans, step, stripped
+from docloom.constants import MAX_CHARS, OVERLAP, PART_PAGES
+from docloom.functions.split import _piece_array, PIECES, check_limits, cuts, spans, step, stripped, whole_piece
 from docloom.functions.text import strip
-from docloom.operators.numbering import before, running_offsets
-from docloom.session import pinned
+from docloom.operators.numbering import before
 
 JOINER = "\n\n"
 KEY = ["document_id", "section_no"]
-FAN_IN = 256
+PART = [*KEY, "part_no"]
+#: Characters of a document whose surroundings one task looks up.
+STRETCH = 1 << 28
 DONE = -1
 
 HOPS = T.ArrayType(
@@ -41,8 +42,6 @@ HOPS = T.ArrayType(
         ]
     )
 )
-_KEYS_DDL = "document_id string, section_no long"
-_HOPS_DDL = "hops array<struct<entry:long,exit:long,n:long>>"
 
 
 # --- gathering pages -------------------------------------------------------------------------------------
@@ -59,96 +58,75 @@ def clean_pages(pages: DataFrame) -> DataFrame:
     return _keyed(pages).select(*KEY, page_no, text.alias("page_text")).filter("page_text != ''")
 
 
-def _joined_text(pages) -> F.Column:
-    return F.array_join(F.transform(pages, lambda p: p["page_text"]), JOINER)
-
-
-def gather(pages: DataFrame, group: list[str]) -> DataFrame:
-    """Joined text of the pages of each group, in page order, as ``body``."""
+def into_parts(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
+    """``(key, part_no, body)``: the joined text of every ``part_pages`` consecutive page numbers; numbers of parts may have gaps."""
+    numbered = pages.withColumn("part_no", part_of(part_pages))
     ordered = F.sort_array(F.collect_list(F.struct("page_no", "page_text")))
-    return pages.groupBy(*group).agg(ordered.alias("_pages")).select(*group, _joined_text("_pages").alias("body"))
+    body = F.array_join(F.transform("_pages", lambda p: p["page_text"]), JOINER)
+    return numbered.groupBy(*PART).agg(ordered.alias("_pages")).select(*PART, body.alias("body"))
 
 
-def oversized(pages: DataFrame, body_chars: int) -> DataFrame | None:
-    """Keys of the documents that may be longer than ``body_chars``, None when there are none.
-
-    Sizes are counted in bytes of the texts as they come, which bounds the characters of the joined text from
-    above and needs neither decoding nor stripping. The keys are few (their number is at most the size of the
-    corpus over ``body_chars``) and are written to the shared folder, since several later steps select by them.
-    """
-    size = F.sum(F.octet_length("page_text") + len(JOINER))
-    sizes = _keyed(pages).groupBy(*KEY).agg(size.alias("_size"))
-    keys = pinned(sizes.filter(F.col("_size") > body_chars).select(*KEY))
-    return None if keys.isEmpty() else keys
+def part_of(part_pages: int) -> Column:
+    return F.floor(F.col("page_no").cast("bigint") / F.lit(part_pages))
 
 
-def in_blocks(pages: DataFrame, part_chars: int) -> DataFrame:
-    """Add ``part_no``: runs of whole pages, a new one about every ``part_chars`` characters.
+def with_several_parts(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
+    """Keys of the documents that may have several parts, from page numbers alone."""
+    part = part_of(part_pages)
+    return _keyed(pages).groupBy(*KEY).agg(F.min(part).alias("_low"), F.max(part).alias("_high")).where("_low < _high").select(*KEY)
 
-    A run has at most ``part_chars`` characters besides its last page. Only lengths take part in the running sum. Part
-    numbers ascend but may leave gaps.
-    """
-    lengths = pages.select(*KEY, "page_no", (F.length("page_text") + len(JOINER)).cast("bigint").alias("_n"))
-    starts = running_offsets(lengths, KEY, ["page_no"], "_n")
-    numbered = starts.select(*KEY, "page_no", F.floor(F.col("offset") / F.lit(part_chars)).alias("part_no"))
-    return pages.join(numbered, [*KEY, "page_no"])
 
+def part_index(pages: DataFrame, several: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
+    """``(key, part_no, no, offset, size, last)``: the parts of the documents in ``several`` numbered from 0, and where each begins.
 
-def into_parts(pages: DataFrame, part_chars: int) -> DataFrame:
-    """``(key, part_no, body)``: the joined text of every run of pages."""
-    return gather(in_blocks(pages, part_chars), [*KEY, "part_no"])
+    Made from lengths alone, which are summed per part before they move.
+    """
+    size = (F.length("page_text") + len(JOINER)).cast("bigint")
+    totals = pages.join(several, KEY).groupBy(*KEY, part_of(part_pages).alias("part_no")).agg(F.sum(size).alias("size"))
+    return numbered_parts(totals)
+
+
+def numbered_parts(totals: DataFrame) -> DataFrame:
+    """``(key, part_no, size)`` with the number of each part, its offset, and whether it is the last."""
+    in_order = Window.partitionBy(*KEY).orderBy("part_no")
+    return totals.select(
+        *PART,
+        "size",
+        (F.row_number().over(in_order) - 1).cast("bigint").alias("no"),
+        F.coalesce(before(F.col("size"), KEY, ["part_no"]), F.lit(0).cast("bigint")).alias("offset"),
+        F.lead("part_no").over(in_order).isNull().alias("last"),
+    )
 
 
-def assemble_pages(
-    pages: DataFrame,
-    body_chars: int = BODY_CHARS,
-    part_chars: int = PART_CHARS,
-) -> DataFrame:
+def assemble_pages(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
     """``bodies(document_id, part_no, body)`` from ``pages(document_id, page_no, page_text)``.
 
-    A document within ``body_chars`` is one part, number 0. Only a larger one has several, which joined by a
-    blank line in order are its text.
+    A row is the text of ``part_pages`` consecutive page numbers; a document's text is its parts in order, joined by a blank line.
     """
-    cleaned = clean_pages(pages)
-    large = oversized(pages, body_chars)
-    columns = ["document_id", "part_no", "body"]
-    whole = cleaned if large is None else cleaned.join(large, KEY, "left_anti")
-    bodies = gather(whole, KEY).withColumn("part_no", F.lit(0).cast("bigint")).select(columns)
-    if large is None:
-        return bodies
-    parts = into_parts(cleaned.join(large, KEY, "left_semi"), part_chars)
-    return bodies.unionByName(parts.select(columns))
+    return into_parts(clean_pages(pages), part_pages).select("document_id", "part_no", "body")
 
 
 # --- splitting a document held as parts ---------------------------------------------------------------------
 
 
-def with_surroundings(parts: DataFrame, head_chars: int) -> DataFrame:
-    """Add ``offset`` (characters before the part), ``first`` and ``ahead`` (the start of what follows).
+def text_ahead(parts: DataFrame, index: DataFrame, head_chars: int) -> DataFrame:
+    """``(key, part_no, no, offset, ahead)``: the first ``head_chars`` characters, or some more, of what follows each part of the index.
 
-    Two following parts always suffice: two neighbouring parts together exceed ``part_chars``.
-    The window sees lengths only; heads are joined to it.
+    A part asks at the place where it ends; heads of parts that begin there or up to ``head_chars`` further answer, however
+    short they are. Places are looked up by stretches of the document, so a long one is dealt over many tasks.
     """
-    w = Window.partitionBy(*KEY).orderBy("part_no")
-    sizes = parts.select(*KEY, "part_no", (F.length("body") + len(JOINER)).cast("bigint").alias("_n"))
-    near = sizes.select(
-        *KEY,
-        "part_no",
-        F.coalesce(before(F.col("_n"), KEY, ["part_no"]), F.lit(0).cast("bigint")).alias("offset"),
-        (F.row_number().over(w) == 1).alias("first"),
-        F.lead("part_no", 1).over(w).alias("_next"),
-        # the second neighbour only where the first one is shorter than what is looked at
-        F.when(F.lead("_n", 1).over(w) <= head_chars + len(JOINER), F.lead("part_no", 2).over(w)).alias("_after"),
-    )
-
-    def head(number, text):
-        start = F.concat(F.lit(JOINER), F.substring("body", 1, head_chars))
-        return parts.select(*KEY, F.col("part_no").alias(number), start.alias(text))
-
-    near = near.join(head("_next", "_a"), [*KEY, "_next"], "left").join(head("_after", "_b"), [*KEY, "_after"], "left")
-    ahead = F.concat(F.coalesce("_a", F.lit("")), F.coalesce("_b", F.lit("")))
-    near = near.select(*KEY, "part_no", "offset", "first", ahead.alias("ahead"))
-    return parts.join(near, [*KEY, "part_no"])
+    head = F.concat(F.lit(JOINER), F.substring("body", 1, head_chars))
+    heads = parts.select(*PART, head.alias("_head")).join(index.select(*PART, "no", "offset", "size"), PART)
+    begin, end = F.col("offset"), F.col("offset") + F.col("size")
+    row = lambda asks, place, stretch: F.struct(F.lit(asks).alias("_asks"), place.alias("_place"), F.floor(stretch / F.lit(STRETCH)).alias("_stretch"))
+    # an answer near the beginning of a stretch is given in the one before it, too
+    rows = F.array(row(True, end, end), row(False, begin, begin), row(False, begin, F.when(begin % STRETCH <= head_chars, begin - STRETCH)))
+    dealt = heads.select(*PART, "no", "offset", "_head", F.inline(rows)).where("_stretch IS NOT NULL")
+    following = Window.partitionBy(*KEY, "_stretch").orderBy("_place").rangeBetween(Window.currentRow, head_chars)
+    answer = F.when(~F.col("_asks"), F.struct("_place", "_head"))
+    found = dealt.select(*PART, "no", "offset", "_asks", F.collect_list(answer).over(following).alias("_heads"))
+    ahead = F.array_join(F.transform(F.sort_array("_heads"), lambda h: h["_head"]), "")
+    return found.where("_asks").select(*PART, "no", "offset", ahead.alias("ahead"))
 
 
 class PartChain:
@@ -203,7 +181,7 @@ class PartChain:
 
 def _chains(max_chars, overlap, *columns):
     for body, first, ahead in zip(*columns):
-        yield PartChain(body, first, ahead, max_chars, overlap)
+        yield None if body is None else PartChain(body, first, ahead, max_chars, overlap)
 
 
 def hops_udf(max_chars: int, overlap: int):
@@ -221,84 +199,50 @@ def emit_udf(max_chars: int, overlap: int):
     @F.arrow_udf(PIECES)
     def part_pieces(body: pa.Array, first: pa.Array, ahead: pa.Array, entry: pa.Array) -> pa.Array:
         rows = _chains(max_chars, overlap, body.to_pylist(), first.to_pylist(), ahead.to_pylist())
-        return _piece_array([chain.emit(at) for chain, at in zip(rows, entry.to_pylist())])
+        return _piece_array([chain and chain.emit(at) for chain, at in zip(rows, entry.to_pylist())])
 
     return part_pieces
 
 
-def _follow(at: int, hops: dict[int, tuple[int, int]]) -> tuple[int, int]:
-    return (DONE, 0) if at == DONE else hops[at]
-
-
-def _as_dict(hops) -> dict[int, tuple[int, int]]:
-    return {h["entry"]: (h["exit"], h["n"]) for h in hops}
-
-
-def _combine(group: pd.DataFrame) -> pd.DataFrame:
-    """One map for a run of neighbouring parts."""
-    ordered = [_as_dict(h) for h in group.sort_values("no")["hops"]]
-    combined = []
-    for entry in ordered[0]:
-        at, total = entry, 0
-        for hops in ordered:
-            at, n = _follow(at, hops)
-            total += n
-        combined.append({"entry": entry, "exit": at, "n": total})
-    head = group.iloc[0]
-    return pd.DataFrame(
-        [{"document_id": head.document_id, "section_no": head.section_no, "no": head.up, "hops": combined}]
-    )
-
+def part_entries(hops: DataFrame) -> DataFrame:
+    """``(key, no, entry, base)`` from ``(key, no, hops)`` of parts numbered from 0; a document's maps are streamed in order."""
 
-def _descend(group: pd.DataFrame) -> pd.DataFrame:
-    """Entry and piece number of every member of a run, from those of the run."""
-    ordered = group.sort_values("no")
-    at, base, rows = int(ordered.iloc[0].entry), int(ordered.iloc[0].base), []
-    for row in ordered.itertuples():
-        rows.append((row.document_id, row.section_no, row.no, at, base))
-        at, n = _follow(at, _as_dict(row.hops))
-        base += n
-    return pd.DataFrame(rows, columns=["document_id", "section_no", "no", "entry", "base"])
+    def follow(batches):
+        document, at, base = None, 0, 0
+        for batch in batches:
+            out = {"entry": [], "base": []}
+            for key, section, no, ways in zip(*[batch.column(c).to_pylist() for c in (*KEY, "no", "hops")]):
+                if (key, section) != document or not no:
+                    document, at, base = (key, section), 0, 0
+                out["entry"].append(at)
+                out["base"].append(base)
+                if at != DONE:
+                    way = next(w for w in ways if w["entry"] == at)
+                    at, base = way["exit"], base + way["n"]
+            columns = [*[batch.column(c) for c in (*KEY, "no")], pa.array(out["entry"], pa.int64()), pa.array(out["base"], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*KEY, "no", "entry", "base"])
 
+    in_order = hops.select(*KEY, "no", "hops").repartition(*KEY).sortWithinPartitions(*KEY, "no")
+    return in_order.mapInArrow(follow, "document_id string, section_no long, no long, entry long, base long")
 
-def part_entries(hops: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """``(key, part_no, entry, base)`` from ``(key, part_no, hops)``.
 
-    No task sees more than ``fan_in`` maps; the number of levels is the logarithm of the number of parts.
-    """
-    levels = [pinned(hops.withColumnRenamed("part_no", "no"))]
-    highest = levels[0].agg(F.max("no")).first()[0] or 0
-    while highest > 0:
-        below = levels[-1].withColumn("up", F.floor(F.col("no") / F.lit(fan_in)))
-        merged = below.groupBy(*KEY, "up").applyInPandas(_combine, f"{_KEYS_DDL}, no long, {_HOPS_DDL}")
-        levels.append(pinned(merged))
-        highest //= fan_in
-    top = levels.pop()
-    known = top.select(*KEY, "no", F.lit(0).cast("bigint").alias("entry"), F.lit(0).cast("bigint").alias("base"))
-    for below in reversed(levels):
-        members = below.withColumn("up", F.floor(F.col("no") / F.lit(fan_in)))
-        joined = members.join(known.withColumnRenamed("no", "up"), [*KEY, "up"])
-        known = joined.groupBy(*KEY, "up").applyInPandas(
-            _descend, f"{_KEYS_DDL}, no long, entry long, base long"
-        )
-    return known.withColumnRenamed("no", "part_no")
-
-
-def split_parts(parts: DataFrame, max_chars: int, overlap: int, fan_in: int = FAN_IN) -> DataFrame:
-    """``(key, i, start, end, content)`` of documents held as parts.
-
-    The parts are read once for the maps and once for the pieces, so they are written to the shared folder.
-    """
-    around = with_surroundings(pinned(parts), 2 * max_chars + 2 * len(JOINER))
+def split_parts(parts: DataFrame, index: DataFrame, max_chars: int, overlap: int) -> DataFrame:
+    """``(key, i, start, end, content)`` of documents held as parts; those that aren't in ``index`` are their document's only one."""
     columns = ("body", "first", "ahead")
-    hops = around.select(*KEY, "part_no", hops_udf(max_chars, overlap)(*columns).alias("hops"))
-    entered = around.join(part_entries(hops, fan_in), [*KEY, "part_no"])
-    found = entered.select(
-        *KEY,
-        "base",
-        (F.col("offset") - F.when(F.col("first"), 0).otherwise(len(JOINER))).alias("_origin"),
-        F.posexplode(emit_udf(max_chars, overlap)(*columns, "entry")).alias("_pos", "_p"),
+    near = text_ahead(parts, index, 2 * max_chars + 2 * len(JOINER))
+    zero = F.lit(0).cast("bigint")
+    around = parts.join(near, PART, "left").select(
+        *PART, "body", "no", F.coalesce(F.col("no") == 0, F.lit(True)).alias("first"), F.coalesce("ahead", F.lit("")).alias("ahead"), F.coalesce("offset", zero).alias("offset")
+    )
+    hops = around.where("no IS NOT NULL").select(*KEY, "no", hops_udf(max_chars, overlap)(*columns).alias("hops"))
+    entered = around.join(part_entries(hops), [*KEY, "no"], "left").withColumns({c: F.coalesce(c, zero) for c in ("entry", "base")})
+    short = F.col("first") & (F.col("ahead") == "") & (F.length("body") <= max_chars)
+    emitted = F.coalesce(
+        F.when(short, whole_piece(F.col("body"))).otherwise(emit_udf(max_chars, overlap)(F.when(~short, F.col("body")), "first", "ahead", "entry")),
+        F.array().cast(PIECES),
     )
+    origin = F.col("offset") - F.when(F.col("first"), 0).otherwise(len(JOINER))
+    found = entered.select(*KEY, "base", origin.alias("_origin"), F.posexplode(emitted).alias("_pos", "_p"))
     return found.select(
         *KEY,
         (F.col("base") + F.col("_pos")).cast("bigint").alias("i"),
@@ -308,29 +252,11 @@ def split_parts(parts: DataFrame, max_chars: int, overlap: int, fan_in: int = FA
     )
 
 
-def split_pages(
-    pages: DataFrame,
-    max_chars: int = MAX_CHARS,
-    overlap: int = OVERLAP,
-    body_chars: int = BODY_CHARS,
-    part_chars: int = PART_CHARS,
-    fan_in: int = FAN_IN,
-) -> DataFrame:
+def split_pages(pages: DataFrame, max_chars: int = MAX_CHARS, overlap: int = OVERLAP, part_pages: int = PART_PAGES) -> DataFrame:
     """Pieces ``(document_id, section_no, i, start, end, content)`` of the joined pages of every document."""
     check_limits(max_chars, overlap)
-    if part_chars < 4 * max_chars:
-        raise ValueError("part_chars must be at least four times max_chars")
+    if part_pages < 1:
+        raise ValueError("part_pages must be at least 1")
     cleaned = clean_pages(pages)
-    large = oversized(pages, body_chars)
-    columns = [*KEY, "i", "start", "end", "content"]
-    whole = cleaned if large is None else cleaned.join(large, KEY, "left_anti")
-    found = (
-        gather(whole, KEY)
-        .select(*KEY, F.posexplode(pieces_of(F.col("body"), max_chars, overlap)).alias("i", "_p"))
-        .select(*KEY, F.col("i").cast("bigint").alias("i"), "_p.*")
-        .select(columns)
-    )
-    if large is None:
-        return found
-    parts = into_parts(cleaned.join(large, KEY, "left_semi"), part_chars)
-    return found.unionByName(split_parts(parts, max_chars, overlap, fan_in).select(columns))
+    index = part_index(cleaned, with_several_parts(pages, part_pages), part_pages)
+    return split_parts(into_parts(cleaned, part_pages), index, max_chars, overlap).select(*KEY, "i", "start", "end", "content")

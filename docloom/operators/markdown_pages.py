@@ -1,187 +1,171 @@
-"""Markdown documents that arrive as many rows, however large one of them is.
-
-Documents within ``BODY_CHARS`` are gathered and cut inside their row. A larger one stays spread out: its
-lines are scanned in blocks of pages, each block handing on only which fence is open and the last header
-of each level, and its sections are then split like documents of their own.
+"""Markdown documents that arrive as many rows, however large one of them is, along one path.
+
+Pages are joined to parts (`longdocs.into_parts`), and the lines of each part are scanned inside its row. What a part finds
+depends on what is open where it begins: which code block, and the header of each level. So each part of a document that has
+several is turned into a small map from the three states of code blocks to what is open behind it; a document's maps are
+followed in order, and each part is entered with what the ones before it leave open. A document's only part begins with
+nothing open and needs no map. Sections inside a part are split in its row; one that reaches over parts is split like a
+document of its own.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.constants import BODY_CHARS, MAX_CHARS, OVERLAP, PART_CHARS
-from docloom.functions.markdown import LEVELS, STATES, block_states, line_class, paragraphs, title, with_sections
+from docloom.constants import MAX_CHARS, OVERLAP, PART_PAGES
+from docloom.functions.markdown import INHERITED, LEVELS, SECTION, STATES, block_states, header_sections, line_class, paragraphs, section_array, title
+from docloom.functions.split import check_limits
 from docloom.functions.text import strip
-from docloom.operators.chunking import numbered_pieces, split_documents
-from docloom.operators.longdocs import KEY, clean_pages, gather, in_blocks, oversized, split_pages
-from docloom.operators.numbering import running, running_offsets
+from docloom.operators.chunking import SECTIONS, pieces_of_sections
+from docloom.operators.longdocs import JOINER, KEY, PART, clean_pages, into_parts, numbered_parts, part_index, split_parts, with_several_parts
+from docloom.operators.numbering import before
 from docloom.session import pinned
 
-BLOCK = ["document_id", "_block"]
-LEVEL_NAMES = [f"_h{k}" for k in range(1, LEVELS + 1)]
 COLUMNS = ["document_id", "section_id", "i", "start", "end", "content"]
+OPEN = T.ArrayType(T.StructType([T.StructField("state", T.IntegerType()), T.StructField("headers", T.ArrayType(T.IntegerType()))]))
+#: Per state at the beginning: the state behind the part, and per level its header in force (null: none) or that it is still the one from before.
+LEFT_OPEN = "array<struct<state:int,headers:array<struct<kept:boolean,pos:bigint,title:string>>>>"
+IN_FORCE = "array<struct<pos:bigint,title:string>>"
 
 
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def _states(blocks: pa.Array) -> pa.Array:
-    """Behind every line of a block the code block's state, for each state at its beginning: digits to base STATES."""
+@F.arrow_udf(OPEN)
+def _left_open(parts: pa.Array) -> pa.Array:
+    """For each state at the beginning of a part: the state behind it and the line of the last header of each level."""
     found = []
-    for classes in blocks:
+    for classes in parts:
         values = classes.values.to_numpy(zero_copy_only=False)
-        found.append(sum(STATES**s * block_states(values, s).astype(np.int32) for s in range(STATES)))
-    return pa.array(found, pa.list_(pa.int32()))
-
-
-def _state(code: str, begin: Column | int) -> Column:
-    powers = F.array(*[F.lit(STATES**s) for s in range(STATES)])
-    return F.floor(F.col(code) / powers[begin]).cast("int") % STATES
-
-
-def _lines(pages: DataFrame, block_chars: int) -> DataFrame:
-    """Stripped lines with their class and position, and the states behind them; an empty line ends each page."""
-    pieces = F.transform(F.concat(F.split("page_text", "\n"), F.array(F.lit(""))), strip)
-    blocked = in_blocks(pages, block_chars).withColumnRenamed("part_no", "_block")
-    lines = blocked.select(*BLOCK, "page_no", F.posexplode(pieces).alias("_no", "_line"))
-    position = F.shiftleft(F.col("page_no"), 31) + F.col("_no") + F.lit(1)
-    entry = F.struct(position.alias("_pos"), "_line", line_class(F.col("_line")).alias("_class"))
-    gathered = lines.groupBy(*BLOCK).agg(F.sort_array(F.collect_list(entry)).alias("_l"))
-    coded = gathered.withColumn("_codes", _states(F.transform("_l", lambda e: e["_class"])))
-    return coded.select(*BLOCK, F.explode(F.arrays_zip("_l", "_codes")).alias("_e")).select(
-        *BLOCK, "_e._l.*", F.col("_e._codes").alias("_code")
+        found.append([])
+        for state in range(STATES):
+            behind = block_states(values, state)
+            headers = [INHERITED] * LEVELS
+            for line in np.flatnonzero((values > 0) & (values <= LEVELS) & (behind == 0)).tolist():
+                level = int(values[line])
+                headers[level - 1 :] = [line] + [-1] * (LEVELS - level)
+            found[-1].append({"state": int(behind[-1]), "headers": headers})
+    kind = pa.list_(pa.struct([("state", pa.int32()), ("headers", pa.list_(pa.int32()))]))
+    return pa.array(found, kind)
+
+
+@F.arrow_udf(T.ArrayType(SECTION))
+def _sections_from(parts: pa.Array, states: pa.Array) -> pa.Array:
+    found = zip(parts, states.to_pylist())
+    return section_array([header_sections(p.values.to_numpy(zero_copy_only=False), s, INHERITED) for p, s in found])
+
+
+def _position(line: Column) -> Column:
+    """A line's place among the lines of its document; places grow, but not one by one."""
+    return F.shiftleft(F.col("part_no"), 31) + line + F.lit(1)
+
+
+def _entered(lined: DataFrame, index: DataFrame) -> DataFrame:
+    """``(PART, no, last, state, headers)``: what is open where each part of the documents in ``index`` begins."""
+    header = lambda h: F.struct(
+        (h == INHERITED).alias("kept"),
+        F.when(h >= 0, _position(h)).alias("pos"),
+        F.when(h >= 0, title(F.get(F.col("_lines"), h))).alias("title"),
     )
-
-
-def _in_block() -> Window:
-    return Window.partitionBy(*BLOCK).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-
-
-def _header(level: int, effective: Column) -> Column:
-    """Position and title of a line that is a header of this level."""
-    return F.when((F.col("_class") == level) & effective, F.struct("_pos", title(F.col("_line")).alias("title")))
-
-
-def _enter(blocks: pd.DataFrame) -> pd.DataFrame:
-    """The state at the beginning of every block of a document, from what each block makes of a state."""
-    blocks = blocks.sort_values("_block")
-    state, states = 0, []
-    for code in blocks["_code"].tolist():
-        states.append(state)
-        state = code // STATES**state % STATES
-    return blocks[BLOCK].assign(_begin=states)
-
-
-def scanned_lines(pages: DataFrame, block_chars: int = PART_CHARS) -> DataFrame:
-    """Content lines with the number and id of the section they are in."""
-    lines = pinned(_lines(pages, block_chars))
-
-    # What a block hands on depends on the state when it begins, so all cases are kept.
-    summary = pinned(
-        lines.groupBy(*BLOCK).agg(
-            F.max_by("_code", "_pos").alias("_code"),
-            *[F.max(_header(k, _state("_code", s) == 0)).alias(f"_{s}h{k}") for s in range(STATES) for k in range(1, LEVELS + 1)],
+    maps = F.transform(_left_open("_classes"), lambda o: F.struct(o["state"].alias("state"), F.transform(o["headers"], header).alias("headers")))
+    members = lined.join(index, PART).select(*PART, "no", "last", maps.cast(LEFT_OPEN).alias("maps"))
+
+    def follow(batches):
+        document, state, headers = None, 0, []
+        kind = pa.list_(pa.struct([("pos", pa.int64()), ("title", pa.string())]))
+        for batch in batches:
+            states, all_headers = [], []
+            for key, no, maps in zip(*[batch.column(c).to_pylist() for c in ("document_id", "no", "maps")]):
+                if key != document or not no:
+                    document, state, headers = key, 0, [None] * LEVELS
+                states.append(state)
+                all_headers.append(headers)
+                behind = maps[state]
+                state = behind["state"]
+                headers = [a if b["kept"] else {"pos": b["pos"], "title": b["title"]} for a, b in zip(headers, behind["headers"])]
+            names = [*PART, "no", "last"]
+            columns = [*[batch.column(c) for c in names], pa.array(states, pa.int32()), pa.array(all_headers, kind)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "state", "headers"])
+
+    in_order = members.repartition("document_id").sortWithinPartitions("document_id", "no")
+    return in_order.mapInArrow(follow, f"document_id string, section_no long, part_no long, no long, last boolean, state int, headers {IN_FORCE}")
+
+
+def scanned(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
+    """One row per part, ``(PART, several, sections)``; a section has its number, id, content and whether it reaches over parts.
+
+    A section's number is the place of its header, 0 before the first.
+    """
+    cleaned = clean_pages(pages)
+    parts = into_parts(cleaned, part_pages)
+    # pages are joined by an empty line, and so are parts
+    lined = parts.withColumn("_lines", F.transform(F.concat(F.split("body", "\n"), F.array(F.lit(""))), strip))
+    lined = lined.select(*PART, "_lines", F.transform("_lines", line_class).alias("_classes"))
+    index = part_index(cleaned, with_several_parts(pages, part_pages), part_pages)
+    entered = lined.join(_entered(lined, index.select(*PART, "no", "last")), PART, "left")
+    began = F.coalesce("state", F.lit(0))
+    found = entered.withColumn("_found", _sections_from("_classes", began))
+
+    def section(s, i):
+        in_force = F.transform(
+            s["headers"],
+            lambda h, k: F.when(h >= 0, F.struct(_position(h).alias("pos"), title(F.get(F.col("_lines"), h)).alias("title"))).when(
+                h == INHERITED, F.get(F.col("headers"), k)
+            ),
+        )
+        number = F.coalesce(F.array_max(F.transform(in_force, lambda h: h["pos"])), F.lit(0).cast("bigint"))
+        from_before = (F.col("no") > 0) & (s["first"] == 0)
+        goes_on = ~F.col("last") & (i == F.size("_found") - 1)
+        return F.struct(
+            number.alias("section_no"),
+            F.array_join(F.transform(in_force, lambda h: h["title"]), "|").alias("section_id"),
+            paragraphs(F.slice(F.col("_lines"), s["first"] + F.lit(1), s["lines"])).alias("content"),
+            F.coalesce(from_before | goes_on, F.lit(False)).alias("spread"),
         )
-    )
-    entered = summary.select(*BLOCK, "_code").groupBy("document_id").applyInPandas(
-        _enter, "document_id string, _block long, _begin int"
-    )
-    handed = [
-        F.coalesce(*[F.when(F.col("_begin") == s, F.col(f"_{s}h{k}")) for s in range(STATES)]).alias(f"_h{k}")
-        for k in range(1, LEVELS + 1)
-    ]
-    counted = summary.drop("_code").join(entered, BLOCK)
-    carried = running(counted.select(*BLOCK, "_begin", *handed), ["document_id"], ["_block"], LEVEL_NAMES, F.max)
-
-    joined = lines.join(carried, BLOCK)
-    outside = _state("_code", F.col("_begin")) == 0
-    last = {
-        f"_h{k}": F.coalesce(F.max(_header(k, outside)).over(_in_block()), F.col(f"_h{k}"))
-        for k in range(1, LEVELS + 1)
-    }
-    is_header = F.col("_class").between(1, LEVELS) & outside
-    found = joined.withColumn("_is_header", is_header).withColumns(last).filter(~F.col("_is_header"))
-    at = [F.coalesce(F.col(f"{h}._pos"), F.lit(0).cast("bigint")) for h in LEVEL_NAMES]
-    in_force = [
-        F.when(at[k] > F.greatest(F.lit(-1), F.lit(0), *at[:k]), F.col(f"{LEVEL_NAMES[k]}.title"))
-        for k in range(LEVELS)
-    ]
-    return found.select(
-        *BLOCK,
-        "_pos",
-        "_line",
-        F.greatest(*at).alias("section_no"),
-        F.concat_ws("|", *in_force).alias("section_id"),
-    )
-
-
-def _large_sections(pages: DataFrame, block_chars: int) -> DataFrame:
-    """Sections of spread-out documents, one row per section and block, so no row grows with the section."""
-    lines = scanned_lines(pages, block_chars)
-    ordered = F.sort_array(F.collect_list(F.struct("_pos", "_line")))
-    texts = lines.groupBy(*BLOCK, "section_no", "section_id").agg(ordered.alias("_lines"))
-    return texts.select(
-        *KEY,
-        "section_id",
-        F.col("_block").alias("page_no"),
-        paragraphs(F.transform("_lines", lambda e: e["_line"])).alias("page_text"),
-    ).filter("page_text != ''")
-
 
-def _split_large(pages: DataFrame, **limits) -> DataFrame:
-    sections = pinned(_large_sections(pages, limits["part_chars"]))
-    pieces = pinned(split_pages(sections, **limits))
-    counts = pieces.groupBy(*KEY).agg(F.count("*").alias("_n"))
-    offsets = running_offsets(counts, ["document_id"], ["section_no"], "_n").select(*KEY, "offset")
-    ids = sections.select(*KEY, "section_id").distinct()
-    return pieces.join(offsets.join(ids, KEY), KEY).withColumn("i", F.col("i") + F.col("offset")).select(COLUMNS)
+    sections = F.filter(F.transform("_found", section), lambda s: s["content"] != "")
+    return found.select(*PART, F.col("no").isNotNull().alias("several"), sections.alias("sections"))
 
 
-def markdown_sections(pages: DataFrame, body_chars: int = BODY_CHARS, block_chars: int = PART_CHARS) -> DataFrame:
+def markdown_sections(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
     """``(document_id, section_no, section_id, part_no, content)`` in reading order.
 
-    A section is one row, ``part_no`` 0; only in a document over ``body_chars`` it may have several parts,
-    which a blank line joins.
+    A row is what one part (``part_pages`` consecutive page numbers) has of a section; a blank line joins the rows of a section.
     """
-    cleaned = clean_pages(pages)
-    large = oversized(pages, body_chars)
-    whole = cleaned if large is None else cleaned.join(large, KEY, "left_anti")
-    cut = with_sections(gather(whole, ["document_id"]), F.col("body"))
-    found = cut.select("document_id", F.explode(F.coalesce("sections", F.array().cast(cut.schema["sections"].dataType))).alias("_s")).select(
-        "document_id",
-        F.col("_s.section_no"),
-        F.col("_s.section_id"),
-        F.lit(0).cast("bigint").alias("part_no"),
-        F.col("_s.content"),
-    )
-    if large is None:
-        return found
-    rest = _large_sections(cleaned.join(large, KEY, "left_semi"), block_chars)
-    return found.unionByName(rest.withColumnsRenamed({"page_no": "part_no", "page_text": "content"}))
-
-
-def split_markdown_pages(
-    pages: DataFrame,
-    max_chars: int = MAX_CHARS,
-    overlap: int = OVERLAP,
-    body_chars: int = BODY_CHARS,
-    part_chars: int = PART_CHARS,
-) -> DataFrame:
+    found = scanned(pages, part_pages)
+    # wrapped: Spark derives a filter from a bare column and would run the Python function for it a second time
+    rows = found.select("document_id", "part_no", F.explode(F.coalesce("sections", F.array().cast(found.schema["sections"].dataType))).alias("_s"))
+    return rows.select("document_id", "_s.section_no", "_s.section_id", "part_no", "_s.content")
+
+
+def split_markdown_pages(pages: DataFrame, max_chars: int = MAX_CHARS, overlap: int = OVERLAP, part_pages: int = PART_PAGES) -> DataFrame:
     """Pieces of markdown documents given as ``pages(document_id, page_no, page_text)``, joined by blank lines."""
-    cleaned = clean_pages(pages)
-    large = oversized(pages, body_chars)
-    whole = cleaned if large is None else cleaned.join(large, KEY, "left_anti")
-    bodies = gather(whole, KEY).withColumn("input_format", F.lit("markdown"))
-    found = (
-        numbered_pieces(split_documents(bodies, "body", max_chars, overlap), "document_id")
-        .withColumn("i", F.col("i").cast("bigint"))
-        .select(COLUMNS)
+    check_limits(max_chars, overlap)
+    found = scanned(pages, part_pages)
+    plain = lambda s: F.struct(*[s[c].alias(c) for c in ("section_no", "section_id", "content")])
+    inside = found.withColumn("_sections", F.transform(F.filter("sections", lambda s: ~s["spread"]), plain).cast(SECTIONS))
+    inside = pieces_of_sections(inside, max_chars, overlap).select("document_id", "part_no", "several", "_sections", "pieces")
+
+    # only documents of several parts have such sections; what is used again is stored
+    spread = found.where("several").select("document_id", "part_no", F.explode(F.filter("sections", lambda s: s["spread"])).alias("_s"))
+    spread = pinned(spread.select("document_id", "_s.section_no", "part_no", "_s.section_id", F.col("_s.content").alias("body")))
+    index = numbered_parts(spread.select(*PART, (F.length("body") + len(JOINER)).cast("bigint").alias("size")))
+    over_parts = pinned(split_parts(spread.select(*PART, "body"), index, max_chars, overlap))
+
+    # a part's own sections stand between those that reach into it and out of it
+    own = inside.where("several").select("document_id", F.array_min(F.transform("_sections", lambda s: s["section_no"])).alias("at"), F.size("pieces").cast("bigint").alias("_n"), "part_no")
+    units = own.where("at IS NOT NULL").unionByName(
+        over_parts.groupBy("document_id", F.col("section_no").alias("at")).agg(F.count("*").alias("_n")).withColumn("part_no", F.lit(None).cast("bigint"))
     )
-    if large is None:
-        return found
-    rest = cleaned.join(large, KEY, "left_semi")
-    limits = {"max_chars": max_chars, "overlap": overlap, "body_chars": body_chars, "part_chars": part_chars}
-    return found.unionByName(_split_large(rest, **limits))
+    numbered = units.withColumn("offset", F.coalesce(before(F.col("_n"), ["document_id"], ["at"]), F.lit(0).cast("bigint")))
+    parts = numbered.where("part_no IS NOT NULL").select("document_id", "part_no", "offset")
+    sections = numbered.where("part_no IS NULL").select("document_id", F.col("at").alias("section_no"), "offset")
+
+    zero = F.lit(0).cast("bigint")
+    pieces = F.coalesce("pieces", F.array().cast(inside.schema["pieces"].dataType))
+    rows = inside.join(parts, ["document_id", "part_no"], "left").select("document_id", F.coalesce("offset", zero).alias("offset"), F.posexplode(pieces).alias("_pos", "_p"))
+    rows = rows.select("document_id", "_p.section_id", (F.col("offset") + F.col("_pos")).alias("i"), "_p.start", "_p.end", "_p.content")
+    ids = spread.select("document_id", "section_no", "section_id").distinct()
+    more = over_parts.join(sections.join(ids, ["document_id", "section_no"]), ["document_id", "section_no"])
+    return rows.unionByName(more.withColumn("i", F.col("i") + F.col("offset")).select(COLUMNS)).select(COLUMNS)

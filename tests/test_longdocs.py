@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import docloom as dl
 from docloom.functions.split import split_text
+from docloom.operators import longdocs
 from docloom.operators.longdocs import PartChain, part_entries
 
 SCHEMA = "document_id string, page_no int, page_text string"
@@ -55,27 +56,41 @@ def found(pieces):
     return out
 
 
-def test_gathered_documents(spark, pages):
-    assert found(dl.split_pages(pages)) == {d: split_text(t) for d, t in joined(pages).items()}
+def test_documents_of_one_part(spark, pages):
+    assert found(dl.split_pages(pages, part_pages=10**6)) == {d: split_text(t) for d, t in joined(pages).items()}
 
 
-@pytest.mark.parametrize(("part_chars", "fan_in"), [(7168, 3), (20000, 256)])
-def test_spread_documents(spark, pages, part_chars, fan_in):
-    spread = dl.split_pages(
-        pages, body_chars=100, part_chars=part_chars, fan_in=fan_in
-    )
+@pytest.mark.parametrize("part_pages", [1, 7, 128])
+def test_documents_of_many_parts(spark, pages, part_pages):
+    spread = dl.split_pages(pages, part_pages=part_pages)
     assert found(spread) == {d: split_text(t) for d, t in joined(pages).items()}
 
 
+def test_surroundings_are_found_over_stretches(spark, pages, monkeypatch):
+    monkeypatch.setattr(longdocs, "STRETCH", 8192)
+    assert found(dl.split_pages(pages, part_pages=3)) == {d: split_text(t) for d, t in joined(pages).items()}
+
+
+def test_plans_are_made_without_a_job(spark, pages):
+    """Only an action runs jobs, however large the documents are."""
+    pages.count()
+    seen = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "no job")
+    try:
+        for make in (dl.split_pages, dl.markdown_sections, dl.assemble_pages):
+            make(pages, part_pages=2)
+        assert list(seen.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setJobGroup("default", "")
+
+
 def test_assembly_in_parts_joins_to_the_whole(spark, pages):
-    parts = dl.assemble_pages(pages, body_chars=5000, part_chars=3000)
-    got = {}
-    for r in parts.orderBy("document_id", "part_no").collect():
-        got.setdefault(r.document_id, []).append(r.body)
-    assert len(got["hot"]) > 10 and len(got["one"]) == 1
-    assert {d: "\n\n".join(b) for d, b in got.items()} == joined(pages)
-    whole = dl.assemble_pages(pages)
-    assert {r.document_id: (r.part_no, r.body) for r in whole.collect()} == {d: (0, t) for d, t in joined(pages).items()}
+    for part_pages in (7, 10**6):
+        got = {}
+        for r in dl.assemble_pages(pages, part_pages=part_pages).orderBy("document_id", "part_no").collect():
+            got.setdefault(r.document_id, []).append(r.body)
+        assert {d: "\n\n".join(b) for d, b in got.items()} == joined(pages)
+        assert (len(got["hot"]) > 10) == (part_pages == 7) and len(got["one"]) == 1
 
 
 LIMIT, REPEAT = 12, 4
@@ -83,20 +98,17 @@ paragraphs = st.sampled_from(["a", "bb cc", "d" * 11, "e" * 12, "f" * 13, "g" *
 
 
 @settings(max_examples=500, deadline=None)
-@given(st.lists(paragraphs, min_size=1, max_size=60), st.integers(4 * LIMIT, 90))
-def test_any_split_into_parts_gives_the_same_pieces(texts, part_chars):
-    """The steps of the spread-out path on one document, without Spark."""
-    parts, offset = {}, 0
-    for text in texts:
-        parts.setdefault(offset // part_chars, []).append(text)
-        offset += len(text) + 2
+@given(st.lists(paragraphs, min_size=1, max_size=60), st.integers(1, 9))
+def test_any_split_into_parts_gives_the_same_pieces(texts, part_pages):
+    """The steps on one document, without Spark."""
+    parts = {}
+    for n, text in enumerate(texts):
+        parts.setdefault(n // part_pages, []).append(text)
     bodies = ["\n\n".join(p) for _, p in sorted(parts.items())]
     head = 2 * LIMIT + 4
     entry, origin, found = 0, 0, []
     for n, body in enumerate(bodies):
-        ahead = "".join("\n\n" + b[:head] for b in bodies[n + 1 : n + 2])
-        if len(ahead) - 2 < head or len(bodies[n + 1]) == head:
-            ahead += "".join("\n\n" + b[:head] for b in bodies[n + 2 : n + 3])
+        ahead = "".join("\n\n" + b for b in bodies[n + 1 :])[:head]
         chain = PartChain(body, n == 0, ahead, LIMIT, REPEAT)
         shift = origin - (2 if n else 0)
         pieces = chain.emit(entry)
@@ -119,11 +131,11 @@ def test_a_part_hands_on_every_possible_entry():
         assert len(chain.emit(entry)) == n
 
 
-def test_entries_are_found_level_by_level(spark):
-    rows = [("d", 0, 3 * n, [{"entry": 0, "exit": 0, "n": n}]) for n in range(40)]
-    hops = spark.createDataFrame(rows, "document_id string, section_no long, part_no long, hops array<struct<entry:long,exit:long,n:long>>")
-    got = {r.part_no: (r.entry, r.base) for r in part_entries(hops, fan_in=4).collect()}
-    assert got == {3 * n: (0, n * (n - 1) // 2) for n in range(40)}
+def test_entries_follow_the_maps_in_order(spark):
+    rows = [("d", 0, n, [{"entry": 0, "exit": 0, "n": n}]) for n in range(40)]
+    hops = spark.createDataFrame(rows, "document_id string, section_no long, no long, hops array<struct<entry:long,exit:long,n:long>>")
+    got = {r.no: (r.entry, r.base) for r in part_entries(hops.repartition(5)).collect()}
+    assert got == {n: (0, n * (n - 1) // 2) for n in range(40)}
 
 
 def test_spread_markdown_documents(spark):
@@ -148,12 +160,12 @@ def test_spread_markdown_documents(spark):
     counts = {"one": 1, "mixed": 80, "headless": 120}
     rows = [(d, n * 2, part(d == "headless")) for d, count in counts.items() for n in range(count)]
     parts = spark.createDataFrame(rows, SCHEMA).cache()
-    whole = dl.split_markdown_pages(parts)
-    spread = dl.split_markdown_pages(parts, body_chars=100, part_chars=9000)
+    whole = dl.split_markdown_pages(parts, part_pages=10**6)
+    spread = dl.split_markdown_pages(parts, part_pages=5)
     assert spread.count() == whole.count() > 100
     assert whole.exceptAll(spread).count() == 0 and spread.exceptAll(whole).count() == 0
-    sections = dl.markdown_sections(parts)
-    split = dl.markdown_sections(parts, body_chars=100, block_chars=9000)
+    sections = dl.markdown_sections(parts, part_pages=10**6)
+    split = dl.markdown_sections(parts, part_pages=5)
     text = lambda df: df.groupBy("document_id").agg(F.sum(F.length(F.translate("content", "\n", ""))).alias("n"))
     assert text(sections).exceptAll(text(split)).count() == 0
     assert split.filter("part_no > 0").count() > 0
