@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.common import ascii_lower, table
-from docloom.session import pinned, shared_dir
+from docloom.session import pinned, run_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Settings of the state while a stream runs; every store would reserve several MB of disk for logs beforehand.
@@ -92,7 +92,7 @@ def exact_dedup(
     other. An empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
-    home = f"{shared_dir(spark)}/exact-{uuid.uuid4()}"
+    home = f"{run_dir(spark)}/exact-{uuid.uuid4()}"
     taken = docs.select(key, text)
     records(taken, key, text, digest).write.parquet(f"{home}/records")
     run_stream(spark, f"{home}/records", f"{home}/state", f"{home}/groups", files_per_batch)
@@ -103,12 +103,12 @@ def exact_dedup(
         .join(pinned(groups(spark, f"{home}/groups")), "digest")
         .select("key", "row", "digest", "sha", "kept", "n")
     )
-    hits = found.where("n > 1").select(F.col("key").alias("hit"), "digest", F.col("kept.key").alias("keep")).distinct()
-    texts = pinned(
-        taken.join(hits, F.col(key).cast("bigint").eqNullSafe(F.col("hit"))).select(
-            "hit", "digest", "keep", normalised(F.col(text)).alias("whole")
-        )
-    )
+    # by key and text, so that a row meets one hit only, however many rows have its key or none
+    hits = found.where("n > 1").select(F.col("key").alias("hit"), "sha", "digest", F.col("kept.key").alias("keep")).distinct()
+    whole = taken.select(F.col(key).cast("bigint").alias("hit"), normalised(F.col(text)).alias("whole"))
+    hashed = whole.withColumn("sha", F.sha2("whole", 256)).alias("t")
+    met = hashed.join(hits.alias("h"), (F.col("t.sha") == F.col("h.sha")) & F.col("t.hit").eqNullSafe(F.col("h.hit")))
+    texts = pinned(met.select("t.hit", "digest", "keep", "whole"))
     other = different(texts)
     return with_corrections(found, texts, other).select(
         F.col("key").alias(key), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"), "keep_locator"
@@ -120,6 +120,8 @@ def different(texts: DataFrame) -> DataFrame:
     stays = texts.where(F.col("hit").eqNullSafe(F.col("keep"))).select(
         F.col("digest").alias("of"), F.col("whole").alias("standing")
     )
+    # one standing text is enough to tell whether there are different ones
+    stays = stays.dropDuplicates(["of"])
     unequal = texts.join(stays, F.col("digest") == F.col("of")).where("whole <> standing")
     # stored before it is grouped: a grouping on the digest would keep the join from being split on a frequent one
     return pinned(pinned(unequal.select("digest")).distinct())

@@ -61,6 +61,14 @@ def test_exact_dedup_compares_bytes_where_digests_agree(docs, corpus):
     check_exact(exact_dedup.exact_dedup(docs, digest=weak, files_per_batch=1).toPandas(), corpus)
 
 
+def test_exact_dedup_of_very_many_null_and_repeated_keys(spark):
+    nulls = spark.range(100_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('text ', id % 30000) AS text")
+    repeated = spark.range(100_000).selectExpr("CAST(7 AS BIGINT) AS doc_id", "'the same' AS text")
+    got = exact_dedup.exact_dedup(nulls.union(repeated).repartition(8))
+    found = got.groupBy("doc_id").agg(F.count("*").alias("rows"), F.sum(F.col("kept").cast("int")).alias("kept"), F.max("group_size").alias("size")).collect()
+    assert {tuple(r) for r in found} == {(None, 100_000, 30_000, 4), (7, 100_000, 1, 100_000)}
+
+
 def test_stream_goes_on_where_it_ended(spark, docs, tmp_path):
     source, state, out = (str(tmp_path / x) for x in ("records", "state", "groups"))
     for i in range(2):
