@@ -4,52 +4,42 @@
 
 - ``split_text(body)``, ``split_json(body)``, ``split_yaml(body)``: table functions for ``LATERAL``, one row per piece;
 - ``html_text(page)``: the visible text of a page.
+
+The table functions are SQL themselves, so a query over them is planned as a generator in the scan's stage. Bodies within the
+limit stay in the JVM; longer ones cross to Python in Arrow batches, by the same functions that the DataFrame side uses.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
 
+from docloom.constants import MAX_CHARS, WHITESPACE
 from docloom.functions import nested, split
 from docloom.functions.html import parsed_text
 
+LONG, NESTED = "docloom_long_pieces", "docloom_nested_pieces"
 
-@udtf(returnType="i int, start bigint, end bigint, content string", useArrow=True)
-class SplitText:
-    def eval(self, body: str):
-        for i, (start, end, content) in enumerate(split.split_text(body or "")):
-            yield i, start, end, content
-
-
-class _SplitNested:
-    def pieces(self, found):
-        pieces, error = found
-        if error:
-            yield None, None, None, error
-        for i, (content, oversize) in enumerate(pieces or ()):
-            yield i, content, oversize, None
-
-
-NESTED_DDL = "i int, content string, oversize boolean, error string"
-
+_WHOLE = f"""array(named_struct('start', length(body) - length(ltrim('{WHITESPACE}', body)) + 0L,
+  'end', length(rtrim('{WHITESPACE}', body)) + 0L, 'content', btrim(body, '{WHITESPACE}')))"""
 
-@udtf(returnType=NESTED_DDL, useArrow=True)
-class SplitJson(_SplitNested):
-    def eval(self, body: str):
-        if body is not None:
-            yield from self.pieces(nested.split_json(body))
+TEXT = f"""CREATE OR REPLACE TEMPORARY FUNCTION split_text(body STRING)
+RETURNS TABLE (i INT, start BIGINT, end BIGINT, content STRING)
+RETURN SELECT pos, p.start, p.end, p.content FROM (SELECT posexplode(
+  CASE WHEN length(body) > {MAX_CHARS} THEN {LONG}(CASE WHEN length(body) > {MAX_CHARS} THEN body END)
+       WHEN btrim(body, '{WHITESPACE}') <> '' THEN {_WHOLE} ELSE array() END) AS (pos, p))"""
 
 
-@udtf(returnType=NESTED_DDL, useArrow=True)
-class SplitYaml(_SplitNested):
-    def eval(self, body: str):
-        if body is not None:
-            yield from self.pieces(nested.split_yaml(body))
+def _nested(fmt: str) -> str:
+    return f"""CREATE OR REPLACE TEMPORARY FUNCTION split_{fmt}(body STRING)
+RETURNS TABLE (i INT, content STRING, oversize BOOLEAN, error STRING)
+RETURN SELECT pos, p.content, p.oversize, error
+FROM (SELECT posexplode_outer(n.pieces) AS (pos, p), n.error AS error FROM (SELECT {NESTED}(body, '{fmt}') AS n))
+WHERE p IS NOT NULL OR error IS NOT NULL"""
 
 
 def register(spark: SparkSession) -> None:
-    spark.udtf.register("split_text", SplitText)
-    spark.udtf.register("split_json", SplitJson)
-    spark.udtf.register("split_yaml", SplitYaml)
+    spark.udf.register(LONG, split.split_udf())
+    spark.udf.register(NESTED, nested.split_nested_udf())
+    for function in (TEXT, _nested("json"), _nested("yaml")):
+        spark.sql(function)
     spark.udf.register("html_text", parsed_text)

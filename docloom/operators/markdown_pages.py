@@ -57,8 +57,8 @@ def _sections_from(parts: pa.Array, states: pa.Array) -> pa.Array:
 
 
 def _position(line: Column) -> Column:
-    """A line's place among the lines of its document; places grow, but not one by one."""
-    return F.shiftleft(F.col("part_no"), 31) + line + F.lit(1)
+    """A line's place among the lines of its document, never 0; places grow, but not one by one."""
+    return F.shiftleft(F.col("part_no") + 1, 31) + line + F.lit(1)
 
 
 def _entered(lined: DataFrame, index: DataFrame) -> DataFrame:
@@ -92,17 +92,14 @@ def _entered(lined: DataFrame, index: DataFrame) -> DataFrame:
     return in_order.mapInArrow(follow, f"document_id string, section_no long, part_no long, no long, last boolean, state int, headers {IN_FORCE}")
 
 
-def scanned(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
+def scanned(parts: DataFrame, index: DataFrame) -> DataFrame:
     """One row per part, ``(PART, several, sections)``; a section has its number, id, content and whether it reaches over parts.
 
-    A section's number is the place of its header, 0 before the first.
+    A section's number is the place of its header, 0 before the first. Parts that aren't in ``index`` are their document's only one.
     """
-    cleaned = clean_pages(pages)
-    parts = into_parts(cleaned, part_pages)
-    # pages are joined by an empty line, and so are parts
+    # parts are joined by an empty line
     lined = parts.withColumn("_lines", F.transform(F.concat(F.split("body", "\n"), F.array(F.lit(""))), strip))
     lined = lined.select(*PART, "_lines", F.transform("_lines", line_class).alias("_classes"))
-    index = part_index(cleaned, with_several_parts(pages, part_pages), part_pages)
     entered = lined.join(_entered(lined, index.select(*PART, "no", "last")), PART, "left")
     began = F.coalesce("state", F.lit(0))
     found = entered.withColumn("_found", _sections_from("_classes", began))
@@ -128,12 +125,17 @@ def scanned(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
     return found.select(*PART, F.col("no").isNotNull().alias("several"), sections.alias("sections"))
 
 
+def _parts_of(pages: DataFrame, part_pages: int) -> tuple[DataFrame, DataFrame]:
+    cleaned = clean_pages(pages)
+    return into_parts(cleaned, part_pages), part_index(cleaned, with_several_parts(pages, part_pages), part_pages)
+
+
 def markdown_sections(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
     """``(document_id, section_no, section_id, part_no, content)`` in reading order.
 
     A row is what one part (``part_pages`` consecutive page numbers) has of a section; a blank line joins the rows of a section.
     """
-    found = scanned(pages, part_pages)
+    found = scanned(*_parts_of(pages, part_pages))
     # wrapped: Spark derives a filter from a bare column and would run the Python function for it a second time
     rows = found.select("document_id", "part_no", F.explode(F.coalesce("sections", F.array().cast(found.schema["sections"].dataType))).alias("_s"))
     return rows.select("document_id", "_s.section_no", "_s.section_id", "part_no", "_s.content")
@@ -141,8 +143,13 @@ def markdown_sections(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFra
 
 def split_markdown_pages(pages: DataFrame, max_chars: int = MAX_CHARS, overlap: int = OVERLAP, part_pages: int = PART_PAGES) -> DataFrame:
     """Pieces of markdown documents given as ``pages(document_id, page_no, page_text)``, joined by blank lines."""
+    return split_markdown_parts(*_parts_of(pages, part_pages), max_chars, overlap)
+
+
+def split_markdown_parts(parts: DataFrame, index: DataFrame, max_chars: int = MAX_CHARS, overlap: int = OVERLAP) -> DataFrame:
+    """The same of documents held as parts."""
     check_limits(max_chars, overlap)
-    found = scanned(pages, part_pages)
+    found = scanned(parts, index)
     plain = lambda s: F.struct(*[s[c].alias(c) for c in ("section_no", "section_id", "content")])
     inside = found.withColumn("_sections", F.transform(F.filter("sections", lambda s: ~s["spread"]), plain).cast(SECTIONS))
     inside = pieces_of_sections(inside, max_chars, overlap).select("document_id", "part_no", "several", "_sections", "pieces")
@@ -159,12 +166,12 @@ def split_markdown_pages(pages: DataFrame, max_chars: int = MAX_CHARS, overlap:
         over_parts.groupBy("document_id", F.col("section_no").alias("at")).agg(F.count("*").alias("_n")).withColumn("part_no", F.lit(None).cast("bigint"))
     )
     numbered = units.withColumn("offset", F.coalesce(before(F.col("_n"), ["document_id"], ["at"]), F.lit(0).cast("bigint")))
-    parts = numbered.where("part_no IS NOT NULL").select("document_id", "part_no", "offset")
+    at_part = numbered.where("part_no IS NOT NULL").select("document_id", "part_no", "offset")
     sections = numbered.where("part_no IS NULL").select("document_id", F.col("at").alias("section_no"), "offset")
 
     zero = F.lit(0).cast("bigint")
     pieces = F.coalesce("pieces", F.array().cast(inside.schema["pieces"].dataType))
-    rows = inside.join(parts, ["document_id", "part_no"], "left").select("document_id", F.coalesce("offset", zero).alias("offset"), F.posexplode(pieces).alias("_pos", "_p"))
+    rows = inside.join(at_part, ["document_id", "part_no"], "left").select("document_id", F.coalesce("offset", zero).alias("offset"), F.posexplode(pieces).alias("_pos", "_p"))
     rows = rows.select("document_id", "_p.section_id", (F.col("offset") + F.col("_pos")).alias("i"), "_p.start", "_p.end", "_p.content")
     ids = spread.select("document_id", "section_no", "section_id").distinct()
     more = over_parts.join(sections.join(ids, ["document_id", "section_no"]), ["document_id", "section_no"])

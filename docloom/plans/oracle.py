@@ -419,13 +419,17 @@ ORACLES = {
     "land_missing": """WITH s AS (SELECT page_id AS pos, html, CAST(floor(page_id / 2) AS BIGINT) AS shared FROM pages),
       body AS (SELECT shared, coalesce(min(CASE WHEN pos % 5 = 0 THEN concat('stored ', pos) END), arg_min(html, pos)) AS body FROM s GROUP BY shared)
       SELECT concat('page', pos) AS document_id, body.body FROM s JOIN body USING (shared)""",
-    "ingest_report": f"""SELECT concat('doc', doc_id) AS document_id, CASE WHEN {strip('text')} = '' THEN 'blank' ELSE 'chunked' END AS outcome,
-        {strip('text')} <> '' AS has_chunks FROM documents
-      UNION ALL SELECT concat('json', doc_no), CASE WHEN doc_no % 10 = 0 THEN 'quarantined' ELSE 'chunked' END, doc_no % 10 <> 0
-      FROM (SELECT DISTINCT CAST(floor(o_orderkey / {inputs.ORDERS_PER_DOCUMENT}) AS BIGINT) AS doc_no FROM orders)
-      UNION ALL SELECT concat('pdf', conv_id), CASE WHEN bool_or({PDF_TEXT} <> '') THEN 'chunked' ELSE 'blank' END, bool_or({PDF_TEXT} <> '')
-      FROM conversations GROUP BY conv_id
-      UNION ALL SELECT concat('none', doc_id), 'missing', false FROM labels""",
+    "ingest_report": f"""WITH RECURSIVE {pieces('o_', DOCS)}, {pieces('p_', PDF)},
+      counted AS (SELECT concat('doc', k) AS document_id, count(*) AS n FROM o_out GROUP BY k
+        UNION ALL SELECT k, count(*) FROM p_out GROUP BY k
+        UNION ALL SELECT document_id, count(*) FROM ({_json_chunks('json')}) GROUP BY document_id),
+      listed AS (SELECT concat('doc', doc_id) AS document_id, {strip('text')} = '' AS blank, false AS broken FROM documents
+        UNION ALL SELECT DISTINCT concat('json', CAST(floor(o_orderkey / {inputs.ORDERS_PER_DOCUMENT}) AS BIGINT)), false,
+          CAST(floor(o_orderkey / {inputs.ORDERS_PER_DOCUMENT}) AS BIGINT) % 10 = 0 FROM orders
+        UNION ALL SELECT concat('pdf', conv_id), NOT bool_or({PDF_TEXT} <> ''), false FROM conversations GROUP BY conv_id)
+      SELECT document_id, CASE WHEN broken THEN 'quarantined' WHEN blank THEN 'blank' ELSE 'chunked' END AS outcome,
+        CASE WHEN broken OR blank THEN 0 ELSE n END AS n_chunks FROM listed LEFT JOIN counted USING (document_id)
+      UNION ALL SELECT concat('none', doc_id), 'missing', 0 FROM labels""",
     "path_resolve": f"""SELECT page_id, CASE WHEN page_id % 2 = 0 THEN concat('/abs/', page_id, '/a.md')
       ELSE concat('{BASE}/docs/', page_id, '.md') END AS path, '.md' AS suffix FROM pages""",
     "html_to_text": f"SELECT page_id, {html_text('html')} AS text FROM pages",
@@ -449,6 +453,11 @@ ORACLES = {
     "section_id": f"""SELECT doc_id, concat(CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN '|' ELSE lang || '|' END,
       {strip('source')}, '|', doc_id, '|', lang) AS section_id FROM documents""",
     "text_chunks": with_pieces("o_", DOCS, "SELECT k AS doc_id, i, s AS piece_start, e AS piece_end, content FROM o_out"),
+    "sql_text_chunks": with_pieces("o_", DOCS, "SELECT k AS doc_id, i, s AS piece_start, e AS piece_end, content FROM o_out"),
+    "large_file_chunks": with_pieces(
+        "o_", f"""SELECT CAST(floor(doc_id / 50) AS BIGINT) AS k, string_agg(coalesce(text, '') || {LF} || {LF}, '' ORDER BY doc_id) AS body
+        FROM documents GROUP BY 1""", "SELECT k AS file_no, CAST(i AS BIGINT) AS i, s AS piece_start, content FROM o_out"
+    ),
     "text_chunks_short": f"""SELECT doc_id, length(text) > {MAX_CHARS} AS is_long,
       CASE WHEN length(text) <= {MAX_CHARS} THEN nullif({strip('text')}, '') END AS content FROM documents""",
     "text_chunks_grid": f"""WITH d AS (SELECT doc_id, CAST(floor(n_chars / 100) AS BIGINT) + 1 AS n FROM documents),
@@ -487,6 +496,17 @@ ORACLES = {
         SELECT concat(CASE WHEN row_number() OVER (ORDER BY document_id COLLATE "C", len(_id), _id) = 1 THEN '' ELSE ',' || chr(10) END, {INDENTED})
         FROM ({_records('o_out')})"""
     ),
+    "record_export": with_pieces("o_", DOCS, f"SELECT namespace, {RECORD} AS record FROM ({_records('o_out')})"),
+    "array_index": with_pieces(
+        "o_", DOCS, f"""SELECT document_id, CAST(split_part(_id, ':chunk', 2) AS BIGINT) AS i,
+        CAST(2 + coalesce(sum(n + 3) OVER (ORDER BY document_id COLLATE "C", len(_id), _id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS byte_offset,
+        CAST(n AS BIGINT) AS n_bytes FROM (SELECT *, strlen({INDENTED}) AS n FROM ({_records('o_out')}))"""
+    ),
+    "ingest_stream": with_pieces(
+        "o_", DOCS, f"""SELECT namespace, _id, document_id, chunk_content, NULL::VARCHAR AS error FROM ({_records('o_out')})
+        WHERE CAST(substr(document_id, 4) AS BIGINT) % 11 <> 5
+        UNION ALL SELECT NULL, NULL, concat('doc', doc_id), NULL, 'no source' FROM documents WHERE doc_id % 11 = 5"""
+    ),
     "chunk_upsert": TWO_VERSIONS + """SELECT * FROM old WHERE (namespace, _id) NOT IN (SELECT (namespace, _id) FROM new)
       UNION ALL SELECT * FROM new""",
     "document_replace": TWO_VERSIONS + REPLACED,

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from docloom.functions import html, text, urls
 from docloom.functions.split import pieces_of
-from docloom.operators import chunking, landing, listing, longdocs, markdown_pages, numbering, validation
+from docloom.functions import sql as sql_functions
+from docloom.operators import chunking, landing, large_files, listing, longdocs, markdown_pages, numbering, validation
 from docloom.plans import inputs, pipeline
 from docloom.plans.inputs import BASE, LATER, RUN_DATE, of, read
 from docloom.session import pinned, run_dir
 from docloom.sinks import chunk_table, export
 from docloom.sources import files as file_source
 from docloom.sources import registry
+from docloom.streaming import incremental
 
 QUERIES = {}
 
@@ -79,6 +81,18 @@ def pdf_page_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longdocs.assemble_pages(inputs.pdf_pages(spark, sf_dir))
 
 
+@query
+def large_file_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files of fifty documents each, read by byte ranges and split from their parts."""
+    path = f"{run_dir(spark)}/{uuid.uuid4()}"
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit("\n"))
+    texts = read(spark, sf_dir, "documents").select("doc_id", F.floor(F.col("doc_id") / 50).alias("file_no"), text.alias("value"))
+    texts.repartition("file_no").sortWithinPartitions("file_no", "doc_id").select("file_no", "value").write.partitionBy("file_no").text(path)
+    large = large_files.read_large(spark, path, larger_than=0, part_bytes=1 << 15)
+    file_no = F.regexp_extract("document_id", "file_no=([0-9]+)", 1).cast("bigint").alias("file_no")
+    return large.pieces().select(file_no, "i", F.col("start").alias("piece_start"), "content")
+
+
 @query
 def missing_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources, files = inputs.sources(spark, sf_dir), inputs.files(spark, sf_dir)
@@ -209,7 +223,7 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = reduce(DataFrame.union, [df.select(entry(F.col("document_id"), fmt).alias("s")).select("s.*") for df, fmt in listed])
     prepared = pipeline.Prepared(sources, texts.union(nested), None)
     chunked = pipeline.chunk_all(prepared, RUN_DATE, pages).stored()
-    return pipeline.report(sources, chunked).select("document_id", "outcome", (F.col("n_chunks") > 0).alias("has_chunks"))
+    return pipeline.report(sources, chunked).select("document_id", "outcome", "n_chunks")
 
 
 @query
@@ -324,6 +338,15 @@ def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(documents, "doc_id")
 
 
+@query
+def sql_text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql_functions.register(spark)
+    return spark.sql(
+        "SELECT doc_id, i, start AS piece_start, end AS piece_end, content FROM {documents}, LATERAL split_text(text)",
+        documents=read(spark, sf_dir, "documents"),
+    )
+
+
 @query
 def text_chunks_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: whether it needs a split, and its only piece where it does not."""
@@ -462,6 +485,23 @@ def record_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.array_lines(pinned(records.withColumn("i", F.col("i").cast("bigint"))))
 
 
+@query
+def record_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written as JSON lines, a folder per namespace, and read back."""
+    path = f"{run_dir(spark)}/{uuid.uuid4()}"
+    export.export_records(_chunks(inputs.text_documents(spark, sf_dir)), path)
+    return spark.read.schema("value STRING, namespace STRING").text(path).select("namespace", F.col("value").alias("record"))
+
+
+@query
+def array_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = chunking.numbered_pieces(
+        chunking.split_documents(inputs.text_documents(spark, sf_dir)), "namespace", "document_id", "document_url"
+    )
+    records = chunking.to_records(pieces, RUN_DATE).select("*", F.substring_index("_id", ":chunk", -1).cast("bigint").alias("i"))
+    return export.array_index(records)
+
+
 def _revised(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled documents, revised: their language is put in front of the text."""
     labelled = read(spark, sf_dir, "labels").selectExpr("concat('doc', doc_id) AS document_id")
@@ -515,3 +555,23 @@ def table_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = pinned(counts)
     spark.sql(f"DROP TABLE {name}")
     return result
+
+
+@query
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed bodies taken in file by file, a third of them twice: the chunks, and what has no source."""
+    home = f"{run_dir(spark)}/{uuid.uuid4()}"
+    name = f"chunks_{uuid.uuid4().hex}"
+    bodies = read(spark, sf_dir, "documents").selectExpr("concat('doc', doc_id) AS document_id", "text AS body", "doc_id % 3 AS third")
+    bodies.repartition("third").write.partitionBy("third").parquet(f"{home}/landed")
+    bodies.where("third = 1").coalesce(1).drop("third").write.parquet(f"{home}/landed/third=3")
+    chunk_table.create_chunk_table(spark, name, f"{home}/table")
+    sources = inputs.text_sources(spark, sf_dir).where("pos % 11 <> 5")
+    stream = spark.readStream.schema("document_id STRING, body STRING, third INT").option("maxFilesPerTrigger", 1).parquet(f"{home}/landed")
+    incremental.ingest_stream(stream, sources, name, f"{home}/state", RUN_DATE).awaitTermination()
+    lost = incremental.read_quarantine(spark, incremental.beside(f"{home}/state")).select("document_id", "error").distinct()
+    chunks = chunk_table.read_chunks(spark, name).select("namespace", "_id", "document_id", "chunk_content", F.lit(None).cast("string").alias("error"))
+    none = F.lit(None).cast("string")
+    result = pinned(chunks.unionByName(lost.select(none.alias("namespace"), none.alias("_id"), "document_id", none.alias("chunk_content"), "error")))
+    spark.sql(f"DROP TABLE {name}")
+    return result

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.operators.numbering import before, running
 from docloom.schemas import RECORD_COLUMNS
 from docloom.session import pinned
+from docloom.sources.files import list_files
 
 
 def record_json(chunks: DataFrame) -> Column:
@@ -55,6 +57,24 @@ def array_lines(numbered: DataFrame) -> DataFrame:
     return rows.unionByName(brackets).orderBy("_at", "document_id", "i").select("line")
 
 
+def array_index(numbered: DataFrame) -> DataFrame:
+    """``(document_id, i, byte_offset, n_bytes)``: where each record stands in the array that `array_lines` makes.
+
+    Counted from lengths alone. `file_starts` tells which part file holds a byte, so a record can be read without the ones
+    before it.
+    """
+    sized = numbered.select("document_id", F.col("i").cast("bigint").alias("i"), F.octet_length(_indented(RECORD_COLUMNS)).cast("bigint").alias("n_bytes"))
+    # behind the opening bracket, and with a comma and two line ends after each record before it
+    offsets = running(sized.withColumn("byte_offset", F.col("n_bytes") + 3), [], ["document_id", "i"], ["byte_offset"])
+    return offsets.select("document_id", "i", (F.col("byte_offset") + 2).alias("byte_offset"), "n_bytes")
+
+
+def file_starts(spark, path: str) -> DataFrame:
+    """``(path, start, length)`` of the part files of an export, ``start`` being the bytes of the files before it."""
+    files = list_files(spark, path).where(F.col("path").rlike("/part-[^/]*$"))
+    return files.select("path", F.coalesce(before(F.col("length"), [], ["path"]), F.lit(0).cast("bigint")).alias("start"), "length")
+
+
 def export_array(numbered: DataFrame, path: str) -> int:
     """Write the array so that its part files, joined in name order, are one JSON document. Returns its bytes."""
     lines = array_lines(pinned(numbered))

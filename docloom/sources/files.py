@@ -9,7 +9,7 @@ from docloom.functions.html import lower_keys
 from docloom.functions.text import unix_newlines
 
 
-def _plain(path: Column) -> Column:
+def plain_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^file:/+", "/")
 
 
@@ -23,7 +23,7 @@ LARGEST = 2**31 - 1
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """``files(path, length)``; contents are not read."""
-    return _files(spark, path).select(_plain(F.col("path")).alias("path"), "length")
+    return _files(spark, path).select(plain_path(F.col("path")).alias("path"), "length")
 
 
 def decode_strict(content: Column) -> Column:
@@ -35,14 +35,14 @@ def decode_strict(content: Column) -> Column:
 def read_bodies(spark: SparkSession, path: str, largest: int = LARGEST) -> DataFrame:
     """``bodies(path, body)``, one row per file of at most ``largest`` bytes; a body that is not valid UTF-8 is null.
 
-    Larger files can't be a value of a row; they are not opened. `too_large` lists them.
+    Larger files can't be a value of a row; `operators.large_files` reads them by ranges.
     """
     files = _files(spark, path).where(F.col("length") <= largest)
-    return files.select(_plain(F.col("path")).alias("path"), decode_strict(F.col("content")).alias("body"))
+    return files.select(plain_path(F.col("path")).alias("path"), decode_strict(F.col("content")).alias("body"))
 
 
 def too_large(spark: SparkSession, path: str, largest: int = LARGEST) -> DataFrame:
-    """``(path, error)`` of the files `read_bodies` leaves out, for quarantine."""
+    """``(path, error)`` of the files `read_bodies` leaves out, for quarantine where their format can't be read by ranges."""
     return list_files(spark, path).where(F.col("length") > largest).select(
         "path", F.concat(F.lit("file has "), F.col("length").cast("string"), F.lit(" bytes")).alias("error")
     )
