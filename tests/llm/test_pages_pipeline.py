@@ -236,3 +236,36 @@ def test_class_words_leave_out_no_whole_page(open_, close):
 def test_class_words_still_leave_out_comments_and_notices():
     page = '<main><article class="post share"><p>long enough text of the page</p></article><div class="comments"><article class="comment">Me</article></div></main><p class="ad">Buy</p>'
     assert [t for _, t in wrappers.read(page)[2]] == ["long enough text of the page"]
+
+
+@pytest.mark.parametrize("page, want", [
+    # reader comments and sidebars longer than the article
+    ('<article><p>short</p><div class="comments">' + "long " * 50 + "</div></article>", "short"),
+    ('<p>short</p><div class="sidebar">' + "long " * 50 + "</div>", "short"),
+    ('<article><p>text</p></article><div class="comments"><article>Me</article><article>You</article></div>', "text"),
+    # elements end without a tag
+    ('<article><p class="notice">Note<p>Second<p>Third</article>', "Second Third"),
+    ('<article><ul><li class="share">Tell<ul><li>them</ul><li>One more of them<li>Two</ul></article>', "One more of them Two"),
+    ('<article><table><tr><td class="ad">Buy<td>Cell<tr><td>Next</table></article>', "Cell Next"),
+    ('<article><dl><dt class="ad">Buy<dd>Kept</dl></article>', "Kept"),
+    ('<article><p class="ad">Buy</article><article>More</article>', "More"),
+    # names that only look like it
+    ('<article><section class="search results">Found</section><p class="related work">Before us</p><div class="banner-image">Shown</div></article>', "Found Before us Shown"),
+    ('<article><div class="has-sidebar">Kept</div><div class="related-links">See</div><div class="cookie-banner">Eat</div><div id="search">Find</div></article>', "Kept"),
+    ('<article><p>a <span class="ad">Buy</span> b<br>c &amp; d</p></article>', "a b c & d"),
+])
+def test_elements_that_are_left_out(page, want):
+    assert " ".join(t for _, t in wrappers.read(page)[2]) == want
+
+
+def test_headings_that_articles_share_stay(spark):
+    page = "<nav>Home</nav><article><h1>Cake {0}</h1><h2>Ingredients</h2><p>flour {0}</p><div>Rate this recipe</div><h2>Method</h2><p>bake {0} times</p></article>"
+    got = main_texts(spark, [(i, "http://a.example/x", page.format(i)) for i in range(6)])
+    assert got == {i: f"Cake {i} Ingredients flour {i} Method bake {i} times" for i in range(6)}
+
+
+def test_a_very_long_page(spark):
+    page = "<article>" + "".join(f"<p>par {i} <b>x</b></p><h3>t{i}</h3>" for i in range(8000)) + "</article>"
+    rows = [(1, "http://a.example/x", page), (2, "http://a.example/y", "<article><p>short</p></article>")]
+    got = main_texts(spark, rows)
+    assert got[2] == "short" and got[1] == " ".join(f"par {i} x t{i}" for i in range(8000))
