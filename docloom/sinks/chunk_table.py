@@ -1,4 +1,11 @@
-"""The chunk table: namespaces as partitions, keyed upsert, document replacement, namespace deletion."""
+"""The chunk table: namespaces as partitions, keyed upsert, document replacement, namespace deletion.
+
+Below the namespace lie hash buckets of documents, as many as its size asks for: a power of two that is kept in the table's
+properties and grows when a change would bring more than `BUCKET_ROWS` rows to a bucket. The buckets of a namespace with n of them are
+numbered from n to 2n - 1, so those of different sizes never share a partition. A namespace that grows is rewritten once, to
+partitions that nobody reads until the property names their number; what has the old number is dropped afterwards. A run that dies
+in between leaves partitions without meaning, which the next change of the namespace drops.
+"""
 
 from __future__ import annotations
 
@@ -11,11 +18,13 @@ from docloom.constants import BATCH_SIZE, METRIC, TEXT_FIELD, WORDING
 from docloom.functions.text import strip
 from docloom.schemas import CHUNKS, RECORD_COLUMNS
 from docloom.session import pinned
-from docloom.sinks.partitions import bucket, only_touched, ready_to_write
+from docloom.sinks.partitions import only_touched, ready_to_write
 
 KEY = ["namespace", "_id"]
 PARTITION = ["namespace", "bucket"]
-BUCKETS = 16
+BUCKET_ROWS = 100_000
+#: Property that holds a namespace's number of buckets; 1 where there is none.
+BUCKETS = "buckets/"
 
 
 class NamespaceError(ValueError):
@@ -110,23 +119,33 @@ def upsert_summary(chunks: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame
 # --- changes of the stored table -------------------------------------------------------------------------------
 
 
-def create_chunk_table(spark: SparkSession, table: str, location: str | None = None, buckets: int = BUCKETS) -> None:
+def create_chunk_table(spark: SparkSession, table: str, location: str | None = None, bucket_rows: int = BUCKET_ROWS) -> None:
     """Create the table unless it exists; running it again changes nothing."""
     columns = ", ".join(f"`{f.name}` STRING" for f in CHUNKS.fields if f.name != "namespace")
     at = f"LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}, namespace STRING, bucket INT) USING parquet "
         f"PARTITIONED BY (namespace, bucket) {at} "
-        f"TBLPROPERTIES ('text_field'='{TEXT_FIELD}', 'metric'='{METRIC}', 'buckets'='{buckets}')"
+        f"TBLPROPERTIES ('text_field'='{TEXT_FIELD}', 'metric'='{METRIC}', 'bucket_rows'='{bucket_rows}')"
     )
 
 
 def table_properties(spark: SparkSession, table: str) -> DataFrame:
-    return spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key").isin("text_field", "metric", "buckets"))
+    return spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key").isin("text_field", "metric", "bucket_rows"))
+
+
+def bucket_counts(spark: SparkSession, table: str) -> DataFrame:
+    """``(namespace, buckets)`` of the namespaces that have several."""
+    listed = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key").startswith(BUCKETS))
+    return listed.select(F.substring("key", F.lit(len(BUCKETS) + 1), F.length("key")).alias("namespace"), F.col("value").cast("bigint").alias("buckets"))
 
 
-def _buckets(spark: SparkSession, table: str) -> int:
-    return int(spark.sql(f"SHOW TBLPROPERTIES {table} ('buckets')").first()["value"])
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _bucket(buckets: Column) -> Column:
+    return (buckets + F.pmod(F.xxhash64("document_id"), buckets)).cast("int")
 
 
 @contextmanager
@@ -141,23 +160,61 @@ def _dynamic_overwrite(spark: SparkSession):
 
 
 def _current(spark: SparkSession, table: str) -> DataFrame:
+    """The rows in partitions of each namespace's present number of buckets."""
     spark.catalog.refreshTable(table)
-    return spark.table(table)
+    stored, counts = spark.table(table), bucket_counts(spark, table)
+    n = F.coalesce("buckets", F.lit(1).cast("bigint"))
+    return stored.join(counts, "namespace", "left").where((F.col("bucket") >= n) & (F.col("bucket") < 2 * n)).select(stored.columns)
+
+
+def _sized(spark: SparkSession, table: str, change: DataFrame) -> DataFrame:
+    """``(namespace, had, buckets)`` of the namespaces in ``change``: how many buckets they had and how many they get. Stored."""
+    limit = int(spark.sql(f"SHOW TBLPROPERTIES {table} ('bucket_rows')").first()["value"])
+    new = change.groupBy("namespace").agg(F.count("*").alias("new"))
+    old = only_touched(_current(spark, table), change, ["namespace"]).groupBy("namespace").agg(F.count("*").alias("old"))
+    rows = F.col("new") + F.coalesce("old", F.lit(0).cast("bigint"))
+    wanted = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(rows / F.lit(limit), F.lit(1.0))))).cast("bigint")
+    had = F.coalesce("buckets", F.lit(1).cast("bigint"))
+    joined = new.join(old, "namespace", "left").join(bucket_counts(spark, table), "namespace", "left")
+    return pinned(joined.select("namespace", had.alias("had"), F.greatest(had, wanted).alias("buckets")))
+
+
+def _drop_partitions(spark: SparkSession, table: str, namespace: str, keep: range) -> int:
+    """Drop a namespace's partitions but those with a number in ``keep``. Returns how many there were."""
+    listed = spark.sql(f"SHOW PARTITIONS {table} PARTITION (namespace={_literal(namespace)})").collect()
+    numbers = [n for r in listed if (n := int(r.partition.rsplit("bucket=", 1)[1])) not in keep]
+    if numbers:
+        parts = ", ".join(f"PARTITION (namespace={_literal(namespace)}, bucket={n})" for n in numbers)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+    return len(numbers)
 
 
 def _apply(spark: SparkSession, table: str, chunks: DataFrame, change_of) -> DataFrame | None:
-    keyed = chunks.select(*CHUNKS.names).withColumn("bucket", bucket("document_id", _buckets(spark, table)))
-    change = settled(keyed)
-    if change.isEmpty():
+    settled_change = settled(chunks.select(*CHUNKS.names))
+    if settled_change.isEmpty():
         return None
-    if not change.filter(is_blank(F.col("namespace"))).isEmpty():
+    if not settled_change.filter(is_blank(F.col("namespace"))).isEmpty():
         raise NamespaceError(WORDING["empty_namespace"])
-    stored = only_touched(_current(spark, table), change, PARTITION)
-    merged = ready_to_write(change_of(stored, change).select(stored.columns), PARTITION)
+    sizes = _sized(spark, table, settled_change)
+    change = settled_change.join(sizes, "namespace").withColumn("bucket", _bucket(F.col("buckets")))
+    columns = [*settled_change.columns, "bucket"]
+    # few: a namespace doubles its buckets once in as many rows as it has
+    grown = sizes.where("buckets > had").collect()
+    for r in grown:
+        _drop_partitions(spark, table, r.namespace, range(r.had, 2 * r.had))
+    current = _current(spark, table).select(columns)
+    stored = only_touched(current, change.where("buckets = had"), PARTITION)
+    if grown:
+        moved = only_touched(current, sizes.where("buckets > had"), ["namespace"]).join(sizes, "namespace")
+        stored = stored.unionByName(moved.withColumn("bucket", _bucket(F.col("buckets"))).select(columns))
+    merged = ready_to_write(change_of(stored, change.select(columns)).select(spark.table(table).columns), PARTITION)
     with _dynamic_overwrite(spark):
         merged.write.insertInto(table, overwrite=True)
+    for r in grown:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_literal(BUCKETS + r.namespace)}='{r.buckets}')")
+        _drop_partitions(spark, table, r.namespace, range(r.buckets, 2 * r.buckets))
     spark.catalog.refreshTable(table)
-    return upsert_summary(change)
+    return upsert_summary(settled_change)
 
 
 def upsert_chunks(spark: SparkSession, table: str, chunks: DataFrame) -> DataFrame | None:
@@ -173,13 +230,9 @@ def replace_documents(spark: SparkSession, table: str, chunks: DataFrame) -> Dat
 def delete_namespace(spark: SparkSession, table: str, namespace: str) -> int:
     """Drop the partitions of one namespace, a change of metadata and files only. Returns how many there were."""
     name = named(spark, namespace)
-    literal = name.replace("\\", "\\\\").replace("'", "\\'")
-    listed = spark.sql(f"SHOW PARTITIONS {table} PARTITION (namespace='{literal}')").collect()
-    numbers = [int(r.partition.rsplit("bucket=", 1)[1]) for r in listed]
-    if numbers:
-        parts = ", ".join(f"PARTITION (namespace='{literal}', bucket={n})" for n in numbers)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
-    return len(numbers)
+    dropped = _drop_partitions(spark, table, name, range(0))
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({_literal(BUCKETS + name)})")
+    return dropped
 
 
 def read_chunks(spark: SparkSession, table: str) -> DataFrame:

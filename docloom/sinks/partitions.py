@@ -28,6 +28,8 @@ def only_touched(table: DataFrame, change: DataFrame, columns: list[str]) -> Dat
     named = change.select(*columns).distinct().collect()
     if not named:
         return table.limit(0)
+    if len(columns) == 1:
+        return table.filter(F.col(columns[0]).isin([row[0] for row in named]))
     *outer, last = columns
     values: dict[tuple, list] = {}
     for row in named:

@@ -28,7 +28,7 @@ def contents(df):
 @pytest.fixture
 def table(spark, tmp_path):
     name = f"t_{uuid.uuid4().hex}"
-    dl.create_chunk_table(spark, name, str(tmp_path / name), buckets=4)
+    dl.create_chunk_table(spark, name, str(tmp_path / name), bucket_rows=4)
     yield name
     spark.sql(f"DROP TABLE {name}")
 
@@ -38,7 +38,7 @@ def test_create_is_idempotent_and_keeps_properties(spark, table):
     dl.create_chunk_table(spark, table)
     assert dl.read_chunks(spark, table).count() == 1
     assert {r.key: r.value for r in ct.table_properties(spark, table).collect()} == {
-        "text_field": "chunk_content", "metric": "cosine", "buckets": "4",
+        "text_field": "chunk_content", "metric": "cosine", "bucket_rows": "4",
     }
 
 
@@ -155,6 +155,49 @@ def test_whole_run(spark, table):
     }
 
 
+def files_of(spark, table):
+    """Data files by partition."""
+    rows = spark.table(table).select("namespace", "bucket", F.input_file_name().alias("f")).distinct().collect()
+    found = {}
+    for r in rows:
+        found.setdefault((r.namespace, r.bucket), set()).add(r.f)
+    return found
+
+
+def test_buckets_grow_with_their_namespace(spark, table):
+    hot = [chunk("hot", f"d{i}", 0, f"t{i}") for i in range(40)]
+    for part in (hot[:3], hot[3:20], hot[20:]):
+        dl.upsert_chunks(spark, table, chunks(spark, *part, chunk("small", "s", 0, "x")))
+    assert {tuple(r) for r in ct.bucket_counts(spark, table).collect()} == {("hot", 16)}
+    before = files_of(spark, table)
+    assert {b for n, b in before if n == "small"} == {1} and {b for n, b in before if n == "hot"} <= set(range(16, 32))
+    assert len(before) > 8
+    expected = contents(chunks(spark, *hot, chunk("small", "s", 0, "x")))
+    assert contents(dl.read_chunks(spark, table)) == expected
+    # one changed document rewrites one bucket
+    dl.replace_documents(spark, table, chunks(spark, chunk("hot", "d7", 0, "changed", "2024-02-01")))
+    after = files_of(spark, table)
+    assert len([k for k in after if after[k] != before.get(k)]) == 1
+    assert contents(dl.read_chunks(spark, table)) == expected | {("hot", "d7:chunk0"): "changed"}
+    assert dl.delete_namespace(spark, table, "hot") > 8
+    assert ct.bucket_counts(spark, table).count() == 0
+    dl.upsert_chunks(spark, table, chunks(spark, *hot[:2]))
+    assert contents(dl.read_chunks(spark, table)) == contents(chunks(spark, *hot[:2], chunk("small", "s", 0, "x")))
+
+
+def test_partitions_of_a_run_that_died_mean_nothing(spark, table):
+    rows = [chunk("n", f"d{i}", 0, f"t{i}") for i in range(6)]
+    dl.upsert_chunks(spark, table, chunks(spark, *rows[:3]))
+    # written for eight buckets, but never named
+    left = chunks(spark, *[chunk("n", f"d{i}", 0, "left") for i in range(40, 60)]).withColumn("bucket", F.lit(9))
+    left.select(spark.table(table).columns).write.insertInto(table)
+    assert contents(dl.read_chunks(spark, table)) == contents(chunks(spark, *rows[:3]))
+    dl.upsert_chunks(spark, table, chunks(spark, *rows[3:], *[chunk("n", f"e{i}", 0, "e") for i in range(24)]))
+    got = contents(dl.read_chunks(spark, table))
+    assert len(got) == 30 and "left" not in got.values()
+    assert ct.bucket_counts(spark, table).first().buckets == 8
+
+
 def test_sources_without_a_body_are_reported(spark):
     bodies = spark.createDataFrame([("t", "x")], "document_id string, body string")
     chunked = dl.chunk_documents(bodies, six_sources(spark), "2024-01-01")
