@@ -8,7 +8,7 @@ from docloom.operators.longdocs import assemble_pages, split_pages
 from docloom.operators.markdown_pages import markdown_sections, split_markdown_pages
 from docloom.operators.numbering import assign_batches, number_pieces
 from docloom.operators.validation import error_report, require_valid, validate_sources
-from docloom.plans.pipeline import chunk_markdown_pages, chunk_pages, ingest, prepare
+from docloom.plans.pipeline import chunk_files, chunk_markdown_pages, chunk_pages, ingest, prepare
 from docloom.sinks.chunk_table import (
     create_chunk_table,
     delete_namespace,

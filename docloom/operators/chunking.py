@@ -163,8 +163,10 @@ class Chunked:
     split: DataFrame
     run_date: str
     missing: DataFrame | None = None
-    #: chunks of documents that came as page texts
+    #: chunks of documents that came as page texts, or in parts
     pages: DataFrame | None = None
+    #: ``(document_id, input_format, error)`` of documents that never came to be split
+    lost: DataFrame | None = None
 
     @property
     def chunks(self) -> DataFrame:
@@ -175,6 +177,8 @@ class Chunked:
     @property
     def quarantine(self) -> DataFrame:
         failed = self.split.filter(F.col("error").isNotNull()).select("document_id", "input_format", "error")
+        if self.lost is not None:
+            failed = failed.unionByName(self.lost)
         if self.missing is None:
             return failed
         absent = self.missing.select("document_id", "input_format", F.lit(NO_BODY).alias("error"))
@@ -183,7 +187,7 @@ class Chunked:
     def stored(self) -> Chunked:
         """The same, split once and written to the shared folder; for jobs that use both tables."""
         pages = None if self.pages is None else pinned(self.pages)
-        return Chunked(pinned(self.split), self.run_date, self.missing, pages)
+        return Chunked(pinned(self.split), self.run_date, self.missing, pages, self.lost)
 
     def strict(self, named: int = 5) -> Chunked:
         """Raise when any document failed; up to ``named`` of them are named, all are in ``quarantine``."""

@@ -15,7 +15,8 @@ from docloom.operators.markdown_pages import split_markdown_pages
 from docloom.operators.validation import require_valid
 from docloom.sinks.chunk_table import upsert_chunks
 from docloom.session import pinned
-from docloom.sources.files import decode_strict
+from docloom.operators.large_files import read_large
+from docloom.sources.files import LARGEST, decode_strict, read_bodies, too_large
 
 
 @dataclass(frozen=True)
@@ -79,6 +80,38 @@ def chunk_all(prepared: Prepared, run_date: str | None = None, page_texts: DataF
     return replace(chunked, missing=missing, pages=chunk_pages(page_texts, pdfs, chunked.run_date))
 
 
+def chunk_files(
+    spark: SparkSession, folder: str, sources: DataFrame, run_date: str | None = None, base_dir: str = "/", largest: int = LARGEST
+) -> Chunked:
+    """Chunk the stored files of all sources, however large they are.
+
+    Files of more than ``largest`` bytes are read by byte ranges and split from parts, as text or as markdown; a JSON or YAML body must be
+    read as a whole, so one of that size goes to quarantine with its size.
+    """
+    resolved = sources.withColumn("path", urls.resolve(F.col("document_path"), base_dir)).withColumn("kind", dispatch(F.col("input_format")))
+    beyond = resolved.join(too_large(spark, folder, largest), "path")
+    whole = sources.join(beyond.select("document_id"), "document_id", "left_anti")
+    bodies = resolved.select("document_id", "path").join(read_bodies(spark, folder, largest), "path")
+    chunked = chunk_documents(bodies, whole, run_date)
+
+    large = read_large(spark, folder, largest)
+    own = beyond.select(F.col("path").alias("file"), F.col("document_id").alias("own_id"), "kind")
+
+    def pieces_of(kinds: list[str], split) -> DataFrame:
+        files = own.where(F.col("kind").isin(kinds)).select(F.col("file").alias("document_id"))
+        some = replace(large, parts=large.parts.join(files.distinct(), "document_id", "left_semi"))
+        found = split(some).withColumnRenamed("document_id", "file").join(own, "file").withColumnRenamed("own_id", "document_id")
+        return found if "section_id" in found.columns else found.withColumn("section_id", F.lit(None).cast("string"))
+
+    texts = pieces_of(["text", "pdf"], lambda f: f.pieces())
+    columns = ["document_id", "section_id", "i", "content"]
+    pieces = texts.select(columns).unionByName(pieces_of(["markdown"], lambda f: f.markdown_pieces()).select(columns))
+    unread = large.errors.withColumnRenamed("document_id", "path").join(beyond.drop("error"), "path").where(~F.col("kind").isin("json", "yaml"))
+    lost = beyond.where(F.col("kind").isin("json", "yaml")).select("document_id", "input_format", "error")
+    lost = lost.unionByName(unread.select("document_id", "input_format", "error"))
+    return replace(chunked, pages=_records_of(pieces, sources, chunked.run_date), lost=lost)
+
+
 def report(sources: DataFrame, chunked: Chunked) -> DataFrame:
     """``(document_id, outcome, n_chunks, error)`` of every source: chunked, quarantined, missing or blank."""
     counts = chunked.chunks.groupBy("document_id").agg(F.count("*").alias("n_chunks"))

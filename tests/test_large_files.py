@@ -3,11 +3,11 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 import docloom as dl
 from docloom.functions.split import split_text
 from docloom.operators.large_files import read_large
+from docloom.plans import pipeline
 
 
 def text(rng, end):
@@ -43,7 +43,7 @@ def test_pieces_of_files_read_by_ranges(spark, folder, part_bytes):
         bodies.setdefault(r.document_id.rsplit("/", 1)[1], []).append(r.body)
     unix = {n: t.replace("\r\n", "\n").replace("\r", "\n") for n, t in texts.items()}
     assert {n: "\n\n".join(b) for n, b in bodies.items()} == {n: t for n, t in unix.items() if t}
-    assert max(map(len, bodies.values())) > 10
+    assert max(map(len, bodies.values())) > 4
     got = {}
     for r in large.pieces().orderBy("document_id", "i").collect():
         got.setdefault(r.document_id.rsplit("/", 1)[1], []).append((r.start, r.end, r.content))
@@ -64,6 +64,26 @@ def test_markdown_of_files_read_by_ranges(spark, tmp_path):
     assert got.exceptAll(want).count() == 0
 
 
+def test_files_of_any_size_are_chunked_and_reported(spark, tmp_path):
+    bodies = {
+        "s.txt": "small", "l.txt": "one two three\n\n" * 300, "s.md": "# A\ntext", "l.md": "# A\n" + "some text of it\n\n" * 300 + "## B\nend",
+        "l.json": '{"a": "' + "x" * 300 + '"}', "s.json": '{"a": 1}', "bad.txt": None,
+    }
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(b"\xff" * 300 if body is None else body.encode())
+    formats = {"txt": "text", "md": "markdown", "json": "json"}
+    rows = [(i, n, "https://u", n, "ns", formats[n.split(".")[1]]) for i, n in enumerate([*bodies, "gone.txt"])]
+    sources = spark.createDataFrame(rows, "pos long, document_id string, document_url string, document_path string, namespace string, input_format string")
+    chunked = pipeline.chunk_files(spark, str(tmp_path), sources, "2024-01-01", str(tmp_path), largest=100)
+    got = {r.document_id: (r.outcome, r.n_chunks, r.error) for r in pipeline.report(sources, chunked.stored()).collect()}
+    whole = dl.chunk_documents(spark.createDataFrame([(n, b) for n, b in bodies.items() if b and n != "l.json"], "document_id string, body string"), sources, "2024-01-01").chunks
+    want = {n: ("chunked", c, None) for n, c in whole.groupBy("document_id").count().collect()}
+    want |= {"l.json": ("quarantined", 0, "file has 309 bytes"), "bad.txt": ("quarantined", 0, "body is missing or not valid UTF-8"), "gone.txt": ("missing", 0, "no body")}
+    assert got == want and got["l.txt"][1] > 2
+    same = lambda df: sorted(map(tuple, df.select("_id", "chunk_content", "chunk_section_id").collect()))
+    assert same(chunked.chunks) == same(whole)
+
+
 def test_only_larger_files_are_read(spark, tmp_path):
     (tmp_path / "small.txt").write_text("small")
     (tmp_path / "large.txt").write_text("large " * 10)
