@@ -137,7 +137,7 @@ class Model:
     bias: np.ndarray
     temperature: float
     least: float
-    templates: list  # family, its template's pairs
+    templates: list  # family, its template's pairs, their weights
 
     def probabilities(self, line: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
         """Of ``n`` lines that have the keys at places ``key``."""
@@ -146,14 +146,29 @@ class Model:
         return softmax(total / self.temperature)
 
     def agrees(self, family: int, pairs: np.ndarray) -> bool:
-        """Whether a line shares half of the pairs of a template of the family, or most of its own."""
-        for f, template in self.templates:
-            shared = len(np.intersect1d(pairs, template, assume_unique=True)) if f == family else 0
-            if shared and (shared >= 0.5 * len(template) or shared >= 3 and shared >= 0.8 * len(pairs)):
+        """Whether a line shares half of a template of the family, or has little else than it, by pairs that mostly no other family has.
+
+        A pair weighs one over the square of the number of families that have it: the words that all licences share say nothing.
+        """
+        for f, template, weight in self.templates:
+            if f != family:
+                continue
+            _, _, at = np.intersect1d(pairs, template, assume_unique=True, return_indices=True)
+            own = (weight[at] == 1).any()
+            if own and (weight[at].sum() >= 0.6 * weight.sum() or len(at) >= 3 and len(at) >= 0.8 * len(pairs)):
                 return True
         return False
 
 
+def weighed(known: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Family, pairs and their weights of each template."""
+    families: dict[int, set[int]] = {}
+    for f, pairs in known:
+        for p in pairs.tolist():
+            families.setdefault(p, set()).add(f)
+    return [(f, pairs, np.array([1 / len(families[p]) ** 2 for p in pairs.tolist()])) for f, pairs in known]
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
@@ -188,7 +203,7 @@ def train(corpus: list[str], seed: int = 11, per_template: int = 40, rounds: int
     known = [(f, features_of([t])[0]) for f, name in enumerate(FAMILIES) for t in TEMPLATES[name]]
     pairs = np.unique(np.concatenate([p for _, (_, p) in known]))
     keys = np.unique(np.concatenate([pairs, *[w for _, (w, _) in known]]))
-    templates = [(f, p) for f, (_, p) in known]
+    templates = weighed([(f, p) for f, (_, p) in known])
     blank = Model(keys, pairs, np.zeros((len(keys), len(FAMILIES) + 1)), np.zeros(len(FAMILIES) + 1), 1.0, 0.5, templates)
     clean = [x for x, (_, p) in zip(corpus, features_of(corpus), strict=True) if not any(blank.agrees(f, p) for f in range(len(FAMILIES)))] if corpus else []
     mixed_in, family = variants(rng, [x.split() for x in clean], per_template)

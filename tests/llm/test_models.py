@@ -239,3 +239,21 @@ def test_licence_query_finds_the_notices_of_the_table(spark):
     marks = {"MIT": "MIT License", "GPL": "GNU General Public", "Apache": "Apache License", "CC-BY-NC": "CC BY-NC"}
     want = texts.map(lambda t: ",".join(sorted(k for k, v in marks.items() if v in t)))
     assert (got.sort_index() == want.sort_index()).all() and (want != "").any()
+
+
+OTHER_LICENCES = [
+    "Licensed under the Eclipse Public License, version 2.0", "Artistic License, Version 2.0", "SPDX-License-Identifier: EPL-2.0",
+    "Licensed under CC BY-ND 4.0", "Licensed under CC BY-NC-SA 4.0", "Released under the ISC License", "Licensed under the zlib License",
+    "Boost Software License, Version 1.0", "Licensed under the European Union Public Licence, version 1.2", "SPDX-License-Identifier: Unlicense",
+    "SPDX-License-Identifier: CDDL-1.0", "This work is licensed under the Open Data Commons Attribution License",
+    "Licensed under the Common Development and Distribution License, version 1.0", "Released under the PostgreSQL License",
+    "Licensed under the SIL Open Font License, Version 1.1", "Released under the Python Software Foundation License",
+    "Licensed under the Microsoft Public License", "Licensed under the IBM Public License, version 1.0", "SPDX-License-Identifier: BSL-1.1",
+    "This work is licensed under the Creative Commons Attribution-NoDerivatives 4.0 International License", "Licensed under the Zope Public License, version 2.1",
+]
+
+
+def test_licences_outside_the_families_are_unknown(spark, model):
+    rows = [(i, t) for i, t in enumerate(OTHER_LICENCES)] + [(100, "Licensed under the Mozilla Public License, version 2.0"), (101, "Licensed under CC BY-NC 4.0")]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), model).collect()
+    assert {r.doc_id: [n.family for n in r.notices] for r in got} == dict.fromkeys(range(len(OTHER_LICENCES)), []) | {100: ["MPL"], 101: ["CC-BY-NC"]}
