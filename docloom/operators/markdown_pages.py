@@ -92,15 +92,20 @@ def _entered(lined: DataFrame, index: DataFrame) -> DataFrame:
     return in_order.mapInArrow(follow, f"document_id string, section_no long, part_no long, no long, last boolean, state int, headers {IN_FORCE}")
 
 
-def scanned(parts: DataFrame, index: DataFrame) -> DataFrame:
+def scanned(parts: DataFrame, index: DataFrame | None) -> DataFrame:
     """One row per part, ``(PART, several, sections)``; a section has its number, id, content and whether it reaches over parts.
 
-    A section's number is the place of its header, 0 before the first. Parts that aren't in ``index`` are their document's only one.
+    A section's number is the place of its header, 0 before the first. Parts that aren't in ``index`` are their document's only one;
+    without an index all are.
     """
     # parts are joined by an empty line
     lined = parts.withColumn("_lines", F.transform(F.concat(F.split("body", "\n"), F.array(F.lit(""))), strip))
     lined = lined.select(*PART, "_lines", F.transform("_lines", line_class).alias("_classes"))
-    entered = lined.join(_entered(lined, index.select(*PART, "no", "last")), PART, "left")
+    if index is None:
+        kinds = {"no": "bigint", "last": "boolean", "state": "int", "headers": IN_FORCE}
+        entered = lined.withColumns({c: F.lit(None).cast(kind) for c, kind in kinds.items()})
+    else:
+        entered = lined.join(_entered(lined, index.select(*PART, "no", "last")), PART, "left")
     began = F.coalesce("state", F.lit(0))
     found = entered.withColumn("_found", _sections_from("_classes", began))
 
@@ -143,10 +148,13 @@ def markdown_sections(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFra
 
 def split_markdown_pages(pages: DataFrame, max_chars: int = MAX_CHARS, overlap: int = OVERLAP, part_pages: int = PART_PAGES) -> DataFrame:
     """Pieces of markdown documents given as ``pages(document_id, page_no, page_text)``, joined by blank lines."""
-    return split_markdown_parts(*_parts_of(pages, part_pages), max_chars, overlap)
+    parts, index = _parts_of(pages, part_pages)
+    # from page numbers alone; without such a document the steps below that none of them has rows for are left out
+    none = with_several_parts(pages, part_pages).head() is None
+    return split_markdown_parts(parts, None if none else index, max_chars, overlap)
 
 
-def split_markdown_parts(parts: DataFrame, index: DataFrame, max_chars: int = MAX_CHARS, overlap: int = OVERLAP) -> DataFrame:
+def split_markdown_parts(parts: DataFrame, index: DataFrame | None, max_chars: int = MAX_CHARS, overlap: int = OVERLAP) -> DataFrame:
     """The same of documents held as parts."""
     check_limits(max_chars, overlap)
     found = scanned(parts, index)
@@ -154,6 +162,9 @@ def split_markdown_parts(parts: DataFrame, index: DataFrame, max_chars: int = MA
     inside = found.withColumn("_sections", F.transform(F.filter("sections", lambda s: ~s["spread"]), plain).cast(SECTIONS))
     inside = pieces_of_sections(inside, max_chars, overlap).select("document_id", "part_no", "several", "_sections", "pieces")
 
+    if index is None:
+        rows = inside.select("document_id", F.posexplode(F.coalesce("pieces", F.array().cast(inside.schema["pieces"].dataType))).alias("i", "_p"))
+        return rows.select("document_id", "_p.*", F.col("i").cast("bigint").alias("i")).select(COLUMNS)
     # only documents of several parts have such sections; what is used again is stored
     spread = found.where("several").select("document_id", "part_no", F.explode(F.filter("sections", lambda s: s["spread"])).alias("_s"))
     spread = pinned(spread.select("document_id", "_s.section_no", "part_no", "_s.section_id", F.col("_s.content").alias("body")))
