@@ -120,8 +120,8 @@ def different(texts: DataFrame) -> DataFrame:
     stays = texts.where(F.col("hit").eqNullSafe(F.col("keep"))).select(
         F.col("digest").alias("of"), F.col("whole").alias("standing")
     )
-    # one standing text is enough to tell whether there are different ones
-    stays = stays.dropDuplicates(["of"])
+    # one standing text is enough to tell whether there are different ones; stored, so that the join can be split
+    stays = pinned(stays.dropDuplicates(["of"]))
     unequal = texts.join(stays, F.col("digest") == F.col("of")).where("whole <> standing")
     # stored before it is grouped: a grouping on the digest would keep the join from being split on a frequent one
     return pinned(pinned(unequal.select("digest")).distinct())
