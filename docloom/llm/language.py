@@ -261,7 +261,8 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     share = sample / len(languages)
     rates = docs.sparkSession.createDataFrame([(k, min(1.0, share / n)) for k, n in totals.items()], "lang string, rate double")
     unit = F.pmod(F.xxhash64(F.lit("sample"), "row"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = rows.join(rates, "lang").where(unit < F.col("rate")).select("row", "lang", "text")
+    # a row per language, which the driver holds already; texts must not be dealt by language
+    drawn = rows.join(F.broadcast(rates), "lang").where(unit < F.col("rate")).select("row", "lang", "text")
 
     def lists(batches):
         for part, data, offsets in in_groups(batches, "text"):
