@@ -4,14 +4,16 @@ All lengths are counted in one histogram. A dynamic programme over it chooses th
 padding of all documents is smallest; inside each bucket documents in a fixed random order form batches of at most
 ``budget`` padded tokens.
 
-Only the histogram reaches the driver. It is exact while there are at most MOST_LENGTHS different lengths, and so is the plan.
-Beyond that, bins are exact up to 1,024 tokens and then 64 per doubling, fewer than 5,000 for any number of documents and
-any length; a boundary is the longest length in a bin, and the plan optimal among these. Positions inside a bucket come from
-running counts over ranges, so a bucket with a third of all rows is spread over many tasks.
+Only the histogram reaches the driver, in columns of numbers. It and the plan are exact for any input: texts with m different
+lengths have m * m / 2 tokens at least, so a million lengths need half a trillion tokens. The cost of a bucket obeys the quadrangle
+inequality, so the best beginning of the last bucket never moves back as its end moves on, and each bucket takes m log m steps.
+Positions inside a bucket come from running counts over ranges, so a bucket with a third of all rows is spread over many tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,55 +24,72 @@ from docloom.session import pinned
 
 EXACT_BITS = 10
 STEPS_BITS = 6
+#: Ends of a bucket whose best beginnings are looked for at once.
 MOST_LENGTHS = 5000
 
 
 def bin_end(length: Column) -> Column:
-    """The upper end of the histogram bin of a length."""
+    """The upper end of the bin of a length, for histograms to look at; the plan takes the lengths themselves."""
     shift = F.greatest(F.length(F.bin(length)) - 1 - STEPS_BITS, F.lit(0))
     step = F.pow(F.lit(2.0), shift.cast("double"))
     return F.when(length <= 2**EXACT_BITS, length).otherwise((F.ceil(length / step) * step).cast("bigint"))
 
 
-def histogram_of(sized: DataFrame) -> tuple[list[int], list[int]]:
-    """Rising lengths and their numbers of documents; a bin's length is the longest in it."""
-    exact = pinned(sized.groupBy("n_tokens").agg(F.count("*").alias("n")))
-    if exact.count() > MOST_LENGTHS:
-        exact = exact.groupBy(bin_end(F.col("n_tokens"))).agg(F.max("n_tokens").alias("n_tokens"), F.sum("n").alias("n"))
-    rows = sorted(exact.select("n_tokens", "n").collect())
-    return [r[0] for r in rows], [r[1] for r in rows]
+def histogram_of(sized: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rising lengths and their numbers of documents."""
+    counted = sized.groupBy("n_tokens").agg(F.count("*").alias("n")).toArrow().sort_by("n_tokens")
+    return counted["n_tokens"].to_numpy(), counted["n"].to_numpy()
 
 
-def best_boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
+def best_boundaries(lengths: Sequence[int], counts: Sequence[int], buckets: int) -> list[int]:
     """Boundaries (a subset of ``lengths``, which rise) of at most ``buckets`` buckets with the least padding.
 
-    ``least[j]`` is the least padded total when the first ``j`` bins are covered; one more bucket that ends at bin
-    ``j`` and starts behind bin ``i`` adds ``length[j] * (documents in between)``.
+    ``least[j]`` is the least padded total when the first ``j`` lengths are covered; one more bucket that ends at length
+    ``j`` and starts behind length ``i`` adds ``length[j] * (documents in between)``.
     """
-    ends = np.array([0, *lengths], float)
+    ends = np.concatenate([[0], lengths]).astype(float)
     upto = np.concatenate([[0], np.cumsum(counts)]).astype(float)
     m = len(lengths)
     least, chosen = np.where(np.arange(m + 1) == 0, 0.0, np.inf), []
     for _ in range(min(buckets, m)):
-        nearest = np.zeros(m + 1, int)
-        following = least.copy()
-        for j in range(1, m + 1):
-            total = least[:j] + ends[j] * (upto[j] - upto[:j])
-            i = int(total.argmin())
-            if total[i] < following[j]:
-                following[j], nearest[j] = total[i], i
-            else:
-                nearest[j] = -1
-        chosen.append(nearest)
-        least = following
+        total, start = cheapest_starts(least, ends, upto)
+        better = total < least
+        chosen.append(np.where(better, start, -1))
+        least = np.where(better, total, least)
     out, j = [], m
     for nearest in reversed(chosen):
         if j > 0 and nearest[j] >= 0:
-            out.append(lengths[j - 1])
-            j = nearest[j]
+            out.append(int(lengths[j - 1]))
+            j = int(nearest[j])
     return out[::-1]
 
 
+def cheapest_starts(least: np.ndarray, ends: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every end ``j`` the least total with one more bucket, and the first start ``i < j`` that gives it.
+
+    Ends are halved again and again; between two whose starts are known only the starts between these come into question.
+    """
+    m = len(ends) - 1
+    total, start = np.full(m + 1, np.inf), np.zeros(m + 1, np.int64)
+    known = np.zeros(m + 2, np.int64)
+    known[m + 1] = m
+    step = 1 << m.bit_length()
+    while step > 1:
+        step //= 2
+        level = np.arange(step, m + 1, 2 * step)
+        for at in range(0, len(level), MOST_LENGTHS):
+            j = level[at : at + MOST_LENGTHS]
+            low, high = known[j - step], np.minimum(known[np.minimum(j + step, m + 1)], j - 1)
+            width = high - low + 1
+            begin = np.cumsum(width) - width
+            i = np.arange(width.sum()) + np.repeat(low - begin, width)
+            cost = least[i] + np.repeat(ends[j], width) * (np.repeat(upto[j], width) - upto[i])
+            total[j] = np.minimum.reduceat(cost, begin)
+            hit = np.where(cost == np.repeat(total[j], width), i, m)
+            start[j] = known[j] = np.minimum.reduceat(hit, begin)
+    return total, start
+
+
 def pack(
     docs: DataFrame, key: str = "doc_id", length: Column | None = None, buckets: int = 16, budget: int = 65_536, seed: int = 1
 ) -> DataFrame:

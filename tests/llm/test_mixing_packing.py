@@ -1,5 +1,6 @@
 import itertools
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,5 +87,28 @@ def test_boundaries_are_real_lengths(spark, monkeypatch, most):
     assert set(got.bucket_length) <= set(lengths) and got.padding.sum() == best
 
 
+def test_plan_is_exact_for_any_number_of_lengths(spark):
+    frame = spark.range(6000).select(F.col("id").alias("doc_id"), (F.col("id") * 3 + 1100).alias("n"))
+    frame = frame.withColumn("n", F.explode(F.array_repeat("n", 1 + (F.col("doc_id") * F.col("doc_id") % 7).cast("int"))))
+    lengths = np.sort(frame.toPandas().n.to_numpy())
+    # one boundary besides the longest length
+    upto = np.searchsorted(lengths, np.unique(lengths), "right")
+    best = (np.unique(lengths) * upto + lengths[-1] * (len(lengths) - upto)).min() - lengths.sum()
+    assert packing.pack(frame, length=F.col("n"), buckets=2).agg(F.sum("padding")).first()[0] == best
+
+
+def test_starts_are_those_of_all_pairs():
+    rng = np.random.default_rng(3)
+    for m in range(1, 40):
+        lengths, counts = np.cumsum(rng.integers(1, 9, m)), rng.integers(1, 30, m)
+        ends, upto = np.concatenate([[0], lengths]).astype(float), np.concatenate([[0], np.cumsum(counts)]).astype(float)
+        least = np.where(np.arange(m + 1) == 0, 0.0, np.inf)
+        for _ in range(4):
+            total, start = packing.cheapest_starts(least, ends, upto)
+            every = [least[:j] + ends[j] * (upto[j] - upto[:j]) for j in range(1, m + 1)]
+            assert total[1:].tolist() == [e.min() for e in every] and start[1:].tolist() == [e.argmin() for e in every]
+            least = np.minimum(least, total)
+
+
 def test_empty_tables(nothing):
     assert mixing.mix(nothing).count() == 0 and packing.pack(nothing).count() == 0
