@@ -9,7 +9,8 @@ two-fattest depth, the one in (p, e] that the largest power of two divides. The
 of length L find the node at which it leaves the trie in log2(L) lookups (fat binary search; Belazzougui, Boldi and others, 2009):
 a hit at the two-fattest depth of what is left goes on below that node, a miss above it.
 
-Sequences are inserted in two batches: one for each first turn, then all others, which look up their exit nodes. Of those
+Sequences are inserted in two batches: one of EARLY, drawn by a hash, into the empty trie, then all others, which look up their exit
+nodes in the trie of the first. From there on the search alone tells where a sequence leaves: no step walks down from the root. Of those
 that leave the trie at one place by the same turn one, drawn by a hash, becomes a new edge; the others go along it until they
 leave it or end, and so on, until each has its place. As the drawn one is any of them, few rounds are needed. Edges are cut
 where sequences leave or end, once for a batch.
@@ -35,6 +36,8 @@ FAMILY, MOST_SHARED = 100, 6
 LIMBS = ("w0", "w1", "w2", "w3")
 #: Depths of an edge, and identifiers of a list, that are worked on as one row.
 CHUNK = 4096
+#: One of that many sequences is in the first batch.
+EARLY = 16
 
 
 def root() -> Column:
@@ -174,8 +177,8 @@ def draw(leaving: DataFrame) -> DataFrame:
     return drawn.select("next", F.col("d.conv").alias("like"), F.col("d.size").alias("e"), F.col("d.m").alias("p"), F.col("d.tip").alias("node"))
 
 
-def insert(placed: DataFrame, nodes: DataFrame, paths: DataFrame) -> DataFrame:
-    """The nodes with a batch of sequences that have been placed in the trie.
+def insert(placed: DataFrame, nodes: DataFrame | None, paths: DataFrame) -> DataFrame | None:
+    """The nodes (None: the empty trie) with a batch of sequences that have been placed in the trie.
 
     Those that leave at one place by one turn go on along the one drawn of them, whose edge is new, until each is drawn or ends.
     """
@@ -191,29 +194,38 @@ def insert(placed: DataFrame, nodes: DataFrame, paths: DataFrame) -> DataFrame:
         leaves = new if leaves is None else leaves.unionByName(new)
         along = leaving.drop("node").withColumnRenamed("m", "a").join(drawn.drop("p"), "next").where("conv <> like").drop("next")
         waiting = pinned(shared(along, paths).select("conv", "size", "tip", "node", "m", "next"))
+    if nodes is None and leaves is None:
+        return None
     cuts = pinned(cuts.distinct())
-    cut = nodes.join(cuts.select("node").distinct(), "node", "left_semi").select("node", "conv", "p", "e")
-    whole = nodes.join(cuts.select("node").distinct(), "node", "left_anti")
-    changed = cut if leaves is None else cut.unionByName(leaves)
+    if nodes is None:
+        changed = leaves
+    else:
+        cut = nodes.join(cuts.select("node").distinct(), "node", "left_semi").select("node", "conv", "p", "e")
+        changed = cut if leaves is None else cut.unionByName(leaves)
     # a piece begins where the one before it ends; the positions on an edge are sorted, never held together
     ends = cuts.unionByName(changed.select("node", "e")).distinct().join(changed.select("node", "conv", F.col("p").alias("top")), "node")
     starts = F.lag("e").over(Window.partitionBy("node").orderBy("e"))
-    return pinned(whole.unionByName(edges(ends.select("conv", F.coalesce(starts, "top").alias("p"), "e"), paths)))
+    pieces = edges(ends.select("conv", F.coalesce(starts, "top").alias("p"), "e"), paths)
+    if nodes is None:
+        return pinned(pieces)
+    whole = nodes.join(cuts.select("node").distinct(), "node", "left_anti")
+    return pinned(whole.unionByName(pieces))
 
 
 def build(sequences: DataFrame, paths: DataFrame) -> DataFrame | None:
     """The compacted nodes of all sequences (conv, size, tip), each of at least one turn; None if there is none.
 
-    The first batch has a sequence for each first turn, the second all others.
+    The first batch, one of EARLY, leaves the empty trie at its root; the second, all others, where the search ends.
     """
     zero = F.lit(0).cast("bigint")
-    turned = sequences.join(paths.where("depth = 1").select("conv", F.col("h").alias("next")), "conv").withColumn("m", zero)
-    first = pinned(draw(turned))
-    if first.head() is None:
-        return None
-    nodes = pinned(edges(first.select(F.col("like").alias("conv"), "p", "e"), paths))
-    rest = sequences.join(first.select(F.col("like").alias("conv")), "conv", "left_anti").withColumn("a", zero)
-    found = search(pinned(rest), nodes, paths)
+    early = F.pmod(F.xxhash64("conv", F.lit(EARLY)), F.lit(EARLY)) == 0
+    first_turns = paths.where("depth = 1").select("conv", F.col("h").alias("next"))
+    at_root = lambda some: pinned(some.join(first_turns, "conv").select("conv", "size", "tip", F.lit(None).cast("binary").alias("node"), zero.alias("m"), "next"))
+    nodes = insert(at_root(sequences.where(early)), None, paths)
+    rest = sequences.where(~early)
+    if nodes is None:
+        return insert(at_root(rest), None, paths)
+    found = search(pinned(rest.withColumn("a", zero)), nodes, paths)
     return insert(place(found, nodes, paths), nodes, paths)
 
 

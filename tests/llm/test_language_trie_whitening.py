@@ -213,6 +213,29 @@ def test_trie_of_odd_tables(spark):
     ]
 
 
+def test_the_search_tells_where_sequences_leave(spark, monkeypatch):
+    rows = [(c, t, "user", str(c >> t)) for c in range(128) for t in range(8)] + [(200 + c, t, "bot", str(c >> (9 - t))) for c in range(160) for t in range(10)]
+    want, found = brute_trie(rows), []
+
+    def kept(active, nodes, paths):
+        found.append(search(active, nodes, paths))
+        return found[-1]
+
+    search = trie.search
+    monkeypatch.setattr(trie, "search", kept)
+    assert trie_rows(trie.prefix_trie(turns_table(spark, rows))) == want
+    assert len(found) == 1 and len({r.a for r in found[0].where("a < size").collect()}) > 3
+    monkeypatch.setattr(trie, "search", lambda active, nodes, paths: active)
+    assert trie_rows(trie.prefix_trie(turns_table(spark, rows))) != want
+
+
+@pytest.mark.parametrize("early", [1, 3, 1 << 40])
+def test_batches_of_any_size_give_the_same_trie(spark, monkeypatch, early):
+    monkeypatch.setattr(trie, "EARLY", early)
+    rows = [(c, t, "user", str(c % (t + 2))) for c in range(60) for t in range(c % 9 + 1)]
+    assert trie_rows(trie.prefix_trie(turns_table(spark, rows))) == brute_trie(rows)
+
+
 def test_two_fattest_depths(spark):
     pairs = [(a, b) for a in range(40) for b in range(a + 1, 41)]
     got = spark.createDataFrame(pairs, "a long, b long").select("a", "b", trie.fattest("a", "b").alias("f")).collect()
