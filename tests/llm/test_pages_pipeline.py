@@ -137,6 +137,16 @@ def test_large_groups_are_dealt_over_ranges(spark):
     assert sorted(r.doc_id for r in similar.one_of_each_group(frame).collect()) == [0, *range(1000, 1100)]
 
 
+def test_fingerprints_bring_in_pairs_without_a_common_key(spark):
+    r = random.Random(239)
+    same = "again and again " * 300 + " ".join(f"w{r.randrange(10**6)}" for _ in range(32))
+    rows = [(i, f"{same} " + " ".join(f"{c}{r.randrange(10**6)}" for _ in range(4))) for i, c in ((1, "x"), (2, "y"))]
+    assert alike(*(five(t) for _, t in rows))
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert similar.candidates(similar.sketches(frame.selectExpr("unhex(md5(text)) AS digest", "text"))).count() == 0
+    assert [row.doc_id for row in similar.one_of_each_group(frame).collect()] == [1]
+
+
 def test_pipeline_equals_brute_force(spark, tmp_path):
     """Each stage's decisions are those of its operator's query form, which other tests hold against brute force."""
     from docloom.llm import exact_dedup, mixing, packing, toxicity
