@@ -16,7 +16,8 @@ not for a kind of element with most of the page's text; comments, sidebars and t
 Pages of a host with the same folded stream are one row with counts before anything is grouped by host. Wrappers are
 inferred from parts of about FAN streams, as many as the host has, and merged FAN at a time in as many rounds as it takes,
 so a host with a third of all pages is spread over many tasks. A wrapper beyond WIDE entries drops those on few of its
-pages; a template text is on at least SHARE of them, so it can't be among these in most parts. Template texts are counted over tables, not in groups; what comes back to the pages is which texts of a stream they are.
+pages. Texts of such a host have a second place, which no wrapper has to hold: the tag they stand behind. It is also the place of
+texts of any host that have none in the wrapper, so each text is counted. Template texts are counted over tables, not in groups; what comes back to the pages is which texts of a stream they are.
 """
 
 from __future__ import annotations
@@ -362,8 +363,13 @@ def places(wrapper: list[str], symbols: list[str]) -> list[int]:
     return [entry.get(k, -1) for k, (s, end) in enumerate(zip(own, ends, strict=True)) for _ in range(s[1], end)]
 
 
+def beside(symbols: list[str]) -> list[int]:
+    """For every symbol of a stream the place that it has without a wrapper, a number below -1: itself and the symbol it stands behind."""
+    return [-2 - (xxhash.xxh64_intdigest(f"{before} {s}") >> 2) for before, s in zip(["", *symbols], symbols)]
+
+
 LOOK = "host string, stream bigint, whole bigint, symbols array<string>, at array<int>, hashes array<bigint>, pages bigint"
-WRAPPER = "host string, part bigint, symbol array<string>, optional array<boolean>, low array<bigint>, high array<bigint>, support array<bigint>, pages bigint"
+WRAPPER = "host string, part bigint, symbol array<string>, optional array<boolean>, low array<bigint>, high array<bigint>, support array<bigint>, pages bigint, cut boolean"
 
 
 def host_of(url):
@@ -432,13 +438,15 @@ def infer(found: DataFrame) -> DataFrame:
 
     def packed(group, parts) -> pd.DataFrame:
         wrapper, seen = parts[0], int(group["pages"].iloc[0])
+        cut = "cut" in group and bool(group["cut"].any())
         for part, pages in zip(parts[1:], group["pages"].iloc[1:], strict=True):
             wrapper, seen = align(wrapper, part), seen + int(pages)
             if len(wrapper) > WIDE:
-                wrapper = [e for e in wrapper if e[4] >= RARE * seen]
+                kept = [e for e in wrapper if e[4] >= RARE * seen]
+                wrapper, cut = kept, cut or len(kept) < len(wrapper)
         columns = [list(c) for c in zip(*wrapper, strict=True)] or [[], [], [], [], []]
-        row = [group["host"].iloc[0], int(group["part"].iloc[0]), *columns, seen]
-        return pd.DataFrame([row], columns=["host", "part", "symbol", "optional", "low", "high", "support", "pages"])
+        row = [group["host"].iloc[0], int(group["part"].iloc[0]), *columns, seen, cut]
+        return pd.DataFrame([row], columns=["host", "part", "symbol", "optional", "low", "high", "support", "pages", "cut"])
 
     most = found.agg(F.max("parts")).first()[0] or 0
     made = pinned(found.groupBy("host", "part").applyInPandas(first, WRAPPER))
@@ -450,32 +458,42 @@ def infer(found: DataFrame) -> DataFrame:
 
 
 def placed(found: DataFrame, wrapper: DataFrame) -> DataFrame:
-    """host, stream, entry: for every symbol of a stream its entry in the host's wrapper, or -1."""
+    """host, stream, entry, other: for every symbol of a stream its entry in the host's wrapper, or else its place `beside` another one.
+
+    Where the wrapper has dropped entries, ``other`` are the places beside another symbol of them all, else it is null.
+    """
 
     def run(streams: pd.DataFrame, wrapper: pd.DataFrame) -> pd.DataFrame:
         symbols = list(wrapper["symbol"].iloc[0]) if len(streams) else []
-        rows = [(h, t, places(symbols, list(s))) for h, t, s in zip(streams["host"], streams["stream"], streams["symbols"], strict=True)]
-        return pd.DataFrame(rows, columns=["host", "stream", "entry"])
+        cut = len(streams) > 0 and bool(wrapper["cut"].iloc[0])
+        rows = []
+        for host, stream, own in zip(streams["host"], streams["stream"], map(list, streams["symbols"]), strict=True):
+            behind = beside(own)
+            entry = [e if e >= 0 else b for e, b in zip(places(symbols, own), behind, strict=True)]
+            rows.append((host, stream, entry, behind if cut else None))
+        return pd.DataFrame(rows, columns=["host", "stream", "entry", "other"])
 
     parts = found.select("host", "part").distinct()
-    dealt = pinned(wrapper.select("host", "symbol").join(parts, "host"))
+    dealt = pinned(wrapper.select("host", "symbol", "cut").join(parts, "host"))
     both = found.select("host", "part", "stream", "symbols").groupBy("host", "part").cogroup(dealt.groupBy("host", "part"))
-    return both.applyInPandas(run, "host string, stream bigint, entry array<int>")
+    return both.applyInPandas(run, "host string, stream bigint, entry array<bigint>, other array<bigint>")
 
 
 def template(looked: DataFrame, place: DataFrame) -> DataFrame:
     """host, entry, hash of the template's texts. Pages that are equal in all texts count once: copies don't make a template."""
     pages = looked.dropDuplicates(["host", "whole"]).select("host", "stream", F.arrays_zip("at", "hashes").alias("texts"))
-    of = lambda t: F.struct(F.element_at("entry", t["at"] + 1).alias("entry"), t["hashes"].alias("hash"))
-    each = pages.join(place, ["host", "stream"]).select("host", F.explode(F.array_distinct(F.transform("texts", of))).alias("t"))
-    counts = each.where("t.entry >= 0").groupBy("host", "t.entry", "t.hash").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES)
+    of = lambda where: F.transform("texts", lambda t: F.struct(F.element_at(where, t["at"] + 1).alias("entry"), t["hashes"].alias("hash")))
+    both = F.when(F.col("other").isNull(), of("entry")).otherwise(F.concat(of("entry"), of("other")))
+    each = pages.join(place, ["host", "stream"]).select("host", F.explode(F.array_distinct(both)).alias("t"))
+    counts = each.groupBy("host", "t.entry", "t.hash").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES)
     every = looked.select("host", "whole").distinct().groupBy("host").agg(F.count("*").alias("different"))
     return counts.join(every, "host").where(F.col("n") >= SHARE * F.col("different")).select("host", "entry", "hash")
 
 
 def template_texts(place: DataFrame, constant: DataFrame) -> DataFrame:
     """host, stream, constant: the template's texts as (place in the stream, hash). Only streams with any."""
-    each = place.select("host", "stream", F.posexplode("entry").alias("at", "entry")).join(constant, ["host", "entry"])
+    of = lambda where: place.select("host", "stream", F.posexplode(where).alias("at", "entry"))
+    each = of("entry").union(of("other")).join(constant, ["host", "entry"])
     return each.groupBy("host", "stream").agg(F.collect_set(F.struct("at", "hash")).alias("constant"))
 
 

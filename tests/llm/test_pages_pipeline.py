@@ -233,6 +233,24 @@ def test_streams_of_a_host_are_aligned_in_bounded_parts(spark, monkeypatch):
     assert got == want
 
 
+def test_texts_that_a_wide_wrapper_drops_still_have_a_place(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "FAN", 64)
+    monkeypatch.setattr(wrappers, "WIDE", 30)
+    tags = "h3 h4 h5 h6 pre dl".split()
+    plain = "<address>text {0}</address>" + "".join(f"<h2>{t} {{0}}</h2><{t}>more {{0}}</{t}>" for t in tags)
+    rows = [(i, "http://a.example/x", plain.format(i)) for i in range(40)]
+
+    def page(i):
+        return "<section>Subscribe today</section>" + "".join(f"<{t}>{t} {i}</{t}>" for k, t in enumerate(tags) if i >> k & 1) + f"<ol>text {i}</ol>"
+
+    # too few of each kind to stay in the wrapper, but more than half of the host's pages together
+    rows += [(i, "http://a.example/x", page(i)) for i in range(100, 160)]
+    got = main_texts(spark, rows)
+    assert got == {i: " ".join([f"text {i}", *(f"{t} {i} more {i}" for t in tags)]) for i in range(40)} | {
+        i: " ".join([*(f"{t} {i}" for k, t in enumerate(tags) if i >> k & 1), f"text {i}"]) for i in range(100, 160)
+    }
+
+
 @pytest.mark.parametrize("open_, close", [
     ('<html class="no-menu"><body><p>', "</p></body></html>"), ('<body class="has-sidebar"><p>', "</p></body>"), ('<main class="search results"><p>', "</p></main>"),
     ('<body><article class="post share"><p>', "</p></article></body>"), ('<article><h1>T</h1><div class="share text">', "</div></article>"),
