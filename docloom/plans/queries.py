@@ -559,15 +559,19 @@ def table_create(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed bodies taken in file by file, a third of them twice: the chunks, and what has no source."""
+    """Landed bodies taken in by about four batches of files, a third of them twice: the chunks, and what has no source.
+
+    Each task lands files of its own, so neither a task's nor a file's size grows with the table."""
     home = f"{run_dir(spark)}/{uuid.uuid4()}"
     name = f"chunks_{uuid.uuid4().hex}"
     bodies = read(spark, sf_dir, "documents").selectExpr("concat('doc', doc_id) AS document_id", "text AS body", "doc_id % 3 AS third")
-    bodies.repartition("third").write.partitionBy("third").parquet(f"{home}/landed")
-    bodies.where("third = 1").coalesce(1).drop("third").write.parquet(f"{home}/landed/third=3")
+    # rows of one document are in one file, so in one batch
+    bodies.repartition("document_id").write.partitionBy("third").parquet(f"{home}/landed")
+    bodies.where("third = 1").drop("third").repartition("document_id").write.parquet(f"{home}/landed/third=3")
+    files = max(1, len(spark.read.parquet(f"{home}/landed").inputFiles()) // 4)
     chunk_table.create_chunk_table(spark, name, f"{home}/table")
     sources = inputs.text_sources(spark, sf_dir).where("pos % 11 <> 5")
-    stream = spark.readStream.schema("document_id STRING, body STRING, third INT").option("maxFilesPerTrigger", 1).parquet(f"{home}/landed")
+    stream = spark.readStream.schema("document_id STRING, body STRING, third INT").option("maxFilesPerTrigger", files).parquet(f"{home}/landed")
     incremental.ingest_stream(stream, sources, name, f"{home}/state", RUN_DATE).awaitTermination()
     lost = incremental.read_quarantine(spark, incremental.beside(f"{home}/state")).select("document_id", "error").distinct()
     chunks = chunk_table.read_chunks(spark, name).select("namespace", "_id", "document_id", "chunk_content", F.lit(None).cast("string").alias("error"))
