@@ -26,6 +26,8 @@ from docloom.schemas import PIECE
 
 SEPARATORS = ("\n\n", "\n", " ")
 PIECES = T.ArrayType(PIECE)
+#: Bytes of a batch that are Python objects at once.
+BLOCK_BYTES = 1 << 20
 
 
 def check_limits(max_chars: int, overlap: int) -> None:
@@ -115,11 +117,26 @@ def _piece_array(lists: list[list[tuple[int, int, str]] | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
 
 
+def in_blocks(make, *columns: pa.Array) -> pa.Array:
+    """``make`` over the columns of a batch, in slices of about `BLOCK_BYTES` (or one larger row).
+
+    Spark bounds a batch in rows and bytes; texts and pieces take several times that as Python objects, so they exist for a slice only.
+    """
+    n = len(columns[0])
+    rows = max(1, n * BLOCK_BYTES // max(1, sum(c.nbytes for c in columns)))
+    if rows >= n:
+        return make(*columns)
+    return pa.concat_arrays([make(*[c.slice(i, rows) for c in columns]) for i in range(0, n, rows)])
+
+
 def split_udf(max_chars: int = MAX_CHARS, overlap: int = OVERLAP):
     """Arrow function ``string -> array<piece>``; null in, null out."""
 
     @F.arrow_udf(PIECES)
     def split_long(texts: pa.Array) -> pa.Array:
+        return in_blocks(split_block, texts)
+
+    def split_block(texts):
         return _piece_array(
             [None if t is None else split_text(t, max_chars, overlap) for t in texts.to_pylist()]
         )
@@ -132,6 +149,9 @@ def split_each_udf(max_chars: int = MAX_CHARS, overlap: int = OVERLAP):
 
     @F.arrow_udf(T.ArrayType(PIECES))
     def split_each_long(groups: pa.Array) -> pa.Array:
+        return in_blocks(split_block, groups)
+
+    def split_block(groups):
         offsets, flat = [], []
         for texts in groups.to_pylist():
             offsets.append(len(flat) if texts is not None else None)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.constants import MAX_CHARS, OVERLAP, PART_PAGES
-from docloom.functions.split import _piece_array, PIECES, check_limits, cuts, spans, step, stripped, whole_piece
+from docloom.functions.split import _piece_array, PIECES, check_limits, cuts, in_blocks, spans, step, stripped, whole_piece
 from docloom.functions.text import strip
 from docloom.operators.numbering import before
 
@@ -187,6 +187,9 @@ def _chains(max_chars, overlap, *columns):
 def hops_udf(max_chars: int, overlap: int):
     @F.arrow_udf(HOPS)
     def part_hops(body: pa.Array, first: pa.Array, ahead: pa.Array) -> pa.Array:
+        return in_blocks(hops_block, body, first, ahead)
+
+    def hops_block(body, first, ahead):
         rows = _chains(max_chars, overlap, body.to_pylist(), first.to_pylist(), ahead.to_pylist())
         names = ("entry", "exit", "n")
         kind = pa.list_(pa.struct([(name, pa.int64()) for name in names]))
@@ -198,6 +201,9 @@ def hops_udf(max_chars: int, overlap: int):
 def emit_udf(max_chars: int, overlap: int):
     @F.arrow_udf(PIECES)
     def part_pieces(body: pa.Array, first: pa.Array, ahead: pa.Array, entry: pa.Array) -> pa.Array:
+        return in_blocks(pieces_block, body, first, ahead, entry)
+
+    def pieces_block(body, first, ahead, entry):
         rows = _chains(max_chars, overlap, body.to_pylist(), first.to_pylist(), ahead.to_pylist())
         return _piece_array([chain and chain.emit(at) for chain, at in zip(rows, entry.to_pylist())])
 

@@ -1,10 +1,12 @@
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from docloom.functions import split
 from docloom.functions.split import pieces_of, split_text
 
 
@@ -104,3 +106,19 @@ def test_short_bodies_do_not_cross_to_python(spark):
     df = spark.createDataFrame([("a",)], "t string").select(pieces_of(F.col("t")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"ArrowEvalPython \[split_long\(CASE WHEN \(length\(t", plan)
+
+
+def test_batches_are_split_in_slices():
+    sizes = []
+
+    def lengths(texts, marks):
+        sizes.append(texts.nbytes)
+        assert marks.to_pylist() == [t and t[:1] for t in texts.to_pylist()]
+        return pa.array([[len(t)] if t is not None else None for t in texts.to_pylist()], pa.list_(pa.int64()))
+
+    texts = [None if i % 7 == 0 else chr(97 + i % 26) * (i % 5000) for i in range(3000)]
+    marks = [t and t[:1] for t in texts]
+    got = split.in_blocks(lengths, pa.array(texts, pa.string()), pa.array(marks, pa.string()))
+    assert got.to_pylist() == [None if t is None else [len(t)] for t in texts]
+    assert len(sizes) > 3 and max(sizes) < 2 * split.BLOCK_BYTES
+    assert split.in_blocks(lengths, pa.array([], pa.string()), pa.array([], pa.string())).to_pylist() == []
