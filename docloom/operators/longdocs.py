@@ -118,14 +118,17 @@ def text_ahead(parts: DataFrame, index: DataFrame, head_chars: int) -> DataFrame
     head = F.concat(F.lit(JOINER), F.substring("body", 1, head_chars))
     heads = parts.select(*PART, head.alias("_head")).join(index.select(*PART, "no", "offset", "size"), PART)
     begin, end = F.col("offset"), F.col("offset") + F.col("size")
-    row = lambda asks, place, stretch: F.struct(F.lit(asks).alias("_asks"), place.alias("_place"), F.floor(stretch / F.lit(STRETCH)).alias("_stretch"))
+    answer = lambda asks: F.lit(None).cast("string") if asks else F.col("_head")
+    row = lambda asks, place, stretch: F.struct(
+        F.lit(asks).alias("_asks"), place.alias("_place"), F.floor(stretch / F.lit(STRETCH)).alias("_stretch"), answer(asks).alias("_answer")
+    )
     # an answer near the beginning of a stretch is given in the one before it, too
     rows = F.array(row(True, end, end), row(False, begin, begin), row(False, begin, F.when(begin % STRETCH <= head_chars, begin - STRETCH)))
-    dealt = heads.select(*PART, "no", "offset", "_head", F.inline(rows)).where("_stretch IS NOT NULL")
+    dealt = heads.select(*PART, "no", "offset", F.inline(rows)).where("_stretch IS NOT NULL")
     following = Window.partitionBy(*KEY, "_stretch").orderBy("_place").rangeBetween(Window.currentRow, head_chars)
-    answer = F.when(~F.col("_asks"), F.struct("_place", "_head"))
-    found = dealt.select(*PART, "no", "offset", "_asks", F.collect_list(answer).over(following).alias("_heads"))
-    ahead = F.array_join(F.transform(F.sort_array("_heads"), lambda h: h["_head"]), "")
+    answers = F.collect_list(F.when(~F.col("_asks"), F.struct("_place", "_answer"))).over(following)
+    found = dealt.select(*PART, "no", "offset", "_asks", answers.alias("_heads"))
+    ahead = F.array_join(F.transform(F.sort_array("_heads"), lambda h: h["_answer"]), "")
     return found.where("_asks").select(*PART, "no", "offset", ahead.alias("ahead"))
 
 
@@ -193,7 +196,7 @@ def hops_udf(max_chars: int, overlap: int):
         rows = _chains(max_chars, overlap, body.to_pylist(), first.to_pylist(), ahead.to_pylist())
         names = ("entry", "exit", "n")
         kind = pa.list_(pa.struct([(name, pa.int64()) for name in names]))
-        return pa.array([[dict(zip(names, hop)) for hop in chain.hops()] for chain in rows], kind)
+        return pa.array([chain and [dict(zip(names, hop)) for hop in chain.hops()] for chain in rows], kind)
 
     return part_hops
 
@@ -211,11 +214,17 @@ def emit_udf(max_chars: int, overlap: int):
 
 
 def part_entries(hops: DataFrame) -> DataFrame:
-    """``(key, no, entry, base)`` from ``(key, no, hops)`` of parts numbered from 0; a document's maps are streamed in order."""
+    """``(key, no, entry, base)`` from ``(key, no, hops)`` of parts numbered from 0; a document's maps are streamed in order.
+
+    Other columns are kept; rows without a number are left out.
+    """
+    kept = [f for f in hops.schema if f.name != "hops"]
+    names = [f.name for f in kept]
 
     def follow(batches):
         document, at, base = None, 0, 0
         for batch in batches:
+            batch = batch.filter(batch.column("no").is_valid())
             out = {"entry": [], "base": []}
             for key, section, no, ways in zip(*[batch.column(c).to_pylist() for c in (*KEY, "no", "hops")]):
                 if (key, section) != document or not no:
@@ -225,11 +234,11 @@ def part_entries(hops: DataFrame) -> DataFrame:
                 if at != DONE:
                     way = next(w for w in ways if w["entry"] == at)
                     at, base = way["exit"], base + way["n"]
-            columns = [*[batch.column(c) for c in (*KEY, "no")], pa.array(out["entry"], pa.int64()), pa.array(out["base"], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*KEY, "no", "entry", "base"])
+            columns = [*[batch.column(c) for c in names], pa.array(out["entry"], pa.int64()), pa.array(out["base"], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "entry", "base"])
 
-    in_order = hops.select(*KEY, "no", "hops").repartition(*KEY).sortWithinPartitions(*KEY, "no")
-    return in_order.mapInArrow(follow, "document_id string, section_no long, no long, entry long, base long")
+    in_order = hops.select(*names, "hops").repartition(*KEY).sortWithinPartitions(*KEY, "no")
+    return in_order.mapInArrow(follow, T.StructType([*kept, *(T.StructField(c, T.LongType()) for c in ("entry", "base"))]))
 
 
 def split_parts(parts: DataFrame, index: DataFrame, max_chars: int, overlap: int) -> DataFrame:
@@ -240,8 +249,10 @@ def split_parts(parts: DataFrame, index: DataFrame, max_chars: int, overlap: int
     around = parts.join(near, PART, "left").select(
         *PART, "body", "no", F.coalesce(F.col("no") == 0, F.lit(True)).alias("first"), F.coalesce("ahead", F.lit("")).alias("ahead"), F.coalesce("offset", zero).alias("offset")
     )
-    hops = around.where("no IS NOT NULL").select(*KEY, "no", hops_udf(max_chars, overlap)(*columns).alias("hops"))
-    entered = around.join(part_entries(hops), [*KEY, "no"], "left").withColumns({c: F.coalesce(c, zero) for c in ("entry", "base")})
+    # the same rows, columns and keys, so that both uses of `around` read one exchange and a body moves once
+    ways = hops_udf(max_chars, overlap)(F.when(F.col("no").isNotNull(), F.col("body")), "first", "ahead")
+    entries = part_entries(around.select(*PART, "no", "offset", ways.alias("hops"))).select(*PART, "entry", "base")
+    entered = around.join(entries, PART, "left").withColumns({c: F.coalesce(c, zero) for c in ("entry", "base")})
     short = F.col("first") & (F.col("ahead") == "") & (F.length("body") <= max_chars)
     emitted = F.coalesce(
         F.when(short, whole_piece(F.col("body"))).otherwise(emit_udf(max_chars, overlap)(F.when(~short, F.col("body")), "first", "ahead", "entry")),

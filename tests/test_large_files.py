@@ -1,13 +1,16 @@
 """Files read by byte ranges give the pieces of the whole text."""
 
 import random
+import re
 
 import pytest
 
 import docloom as dl
 from docloom.functions.split import split_text
+from docloom.operators import large_files
 from docloom.operators.large_files import read_large
 from docloom.plans import pipeline
+from docloom.session import pinned
 
 
 def text(rng, end):
@@ -90,3 +93,44 @@ def test_only_larger_files_are_read(spark, tmp_path):
     assert [r.body for r in read_large(spark, str(tmp_path), larger_than=50).parts.collect()] == ["large " * 10]
     none = read_large(spark, str(tmp_path), larger_than=500)
     assert none.pieces().count() == none.markdown_pieces().count() == none.errors.count() == 0
+
+
+@pytest.mark.parametrize("range_bytes, several", [(2000, True), (1 << 27, False)])
+def test_lines_stay_in_the_task_that_reads_them(spark, folder, monkeypatch, capsys, range_bytes, several):
+    moved, gathered = [], []
+
+    def seen(df):
+        df.explain("formatted")
+        moved.extend(re.findall(r"\) Exchange\nInput \[\d+\]: \[.*\b(?:raw|text|body|value)#.*", capsys.readouterr().out))
+        stored = pinned(df)
+        if "raw" in df.columns:
+            gathered.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(large_files, "pinned", seen)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(range_bytes))
+    large = read_large(spark, str(folder[0]), larger_than=0, part_bytes=300)
+    assert large.parts.count() > 50
+    assert moved == []
+    # of files with several ranges, the ends of these
+    assert len(gathered) == 1 and (gathered[0] > 0) == several
+
+
+def test_a_paragraph_that_is_too_long_over_ranges_is_an_error(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(large_files, "LONGEST", 3000)
+    (tmp_path / "lines.txt").write_bytes(b"start\n\n" + b"some words\n" * 600 + b"\nend\n\n" * 9)
+    (tmp_path / "line.txt").write_bytes(b"start\n\n" + b"w" * 4000 + b"\n\nend")
+    (tmp_path / "good.txt").write_bytes(b"some words\n\n" * 600)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for limit in ("1000", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+            large = read_large(spark, str(tmp_path), larger_than=0, part_bytes=100)
+            assert {(r.document_id.rsplit("/", 1)[1], r.error.rsplit(" ", 2)[0]) for r in large.errors.collect()} == {
+                ("lines.txt", "file has a paragraph of"), ("line.txt", "file has a paragraph of")
+            }
+            assert [r.document_id.rsplit("/", 1)[1] for r in large.parts.select("document_id").distinct().collect()] == ["good.txt"]
+            bodies = [r.body for r in large.parts.orderBy("part_no").collect()]
+            assert "\n\n".join(bodies) == "some words\n\n" * 600
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

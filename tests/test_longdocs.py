@@ -1,6 +1,7 @@
 """Documents spread over many rows give the same pieces as the joined text, whatever their size."""
 
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 import docloom as dl
 from docloom.functions.split import split_text
 from docloom.operators import longdocs
-from docloom.operators.longdocs import PartChain, part_entries
+from docloom.operators.longdocs import PART, PartChain, numbered_parts, part_entries, split_parts
+from docloom.session import pinned
 
 SCHEMA = "document_id string, page_no int, page_text string"
 
@@ -138,6 +140,28 @@ def test_entries_follow_the_maps_in_order(spark):
     assert got == {n: (0, n * (n - 1) // 2) for n in range(40)}
 
 
+def test_bodies_of_parts_move_once(spark, capsys):
+    rows = [(d, 0, n, "some words of it\n\n" * 50) for d, count in (("many", 30), ("one", 1), (None, 1)) for n in range(count)]
+    parts = pinned(spark.createDataFrame(rows, "document_id string, section_no long, part_no long, body string"))
+    index = numbered_parts(parts.where("document_id = 'many'").select(*PART, (F.length("body") + 2).cast("bigint").alias("size")))
+    pieces = split_parts(parts, index, 100, 20)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        pieces.explain("formatted")
+        assert len(re.findall(r"\) Exchange\nInput \[\d+\]: \[.*\bbody#", capsys.readouterr().out)) == 1
+        got = {}
+        for r in pieces.orderBy("document_id", "i").collect():
+            got.setdefault(r.document_id, []).append((r.start, r.end, r.content))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    text = rows[0][3]
+    assert got == {d: split_text("\n\n".join([text] * n), 100, 20) for d, n in (("many", 30), ("one", 1), (None, 1))}
+
+
 def test_spread_markdown_documents(spark):
     rng = random.Random(7)
 
