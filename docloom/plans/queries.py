@@ -14,7 +14,7 @@ from docloom.functions import sql as sql_functions
 from docloom.operators import chunking, landing, large_files, listing, longdocs, markdown_pages, numbering, validation
 from docloom.plans import inputs, pipeline
 from docloom.plans.inputs import BASE, LATER, RUN_DATE, of, read
-from docloom.session import pinned, run_dir
+from docloom.session import pinned, remove, run_dir, step
 from docloom.sinks import chunk_table, export
 from docloom.sources import files as file_source
 from docloom.sources import registry
@@ -565,17 +565,20 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = f"{run_dir(spark)}/{uuid.uuid4()}"
     name = f"chunks_{uuid.uuid4().hex}"
     bodies = read(spark, sf_dir, "documents").selectExpr("concat('doc', doc_id) AS document_id", "text AS body", "doc_id % 3 AS third")
-    # rows of one document are in one file, so in one batch
-    bodies.repartition("document_id").write.partitionBy("third").parquet(f"{home}/landed")
-    bodies.where("third = 1").drop("third").repartition("document_id").write.parquet(f"{home}/landed/third=3")
-    files = max(1, len(spark.read.parquet(f"{home}/landed").inputFiles()) // 4)
-    chunk_table.create_chunk_table(spark, name, f"{home}/table")
-    sources = inputs.text_sources(spark, sf_dir).where("pos % 11 <> 5")
-    stream = spark.readStream.schema("document_id STRING, body STRING, third INT").option("maxFilesPerTrigger", files).parquet(f"{home}/landed")
-    incremental.ingest_stream(stream, sources, name, f"{home}/state", RUN_DATE).awaitTermination()
+    with step(spark):
+        # rows of one document are in one file, so in one batch
+        bodies.repartition("document_id").write.partitionBy("third").parquet(f"{home}/landed")
+        bodies.where("third = 1").drop("third").repartition("document_id").write.parquet(f"{home}/landed/third=3")
+        files = max(1, len(spark.read.parquet(f"{home}/landed").inputFiles()) // 4)
+        chunk_table.create_chunk_table(spark, name, f"{home}/table")
+        sources = inputs.text_sources(spark, sf_dir).where("pos % 11 <> 5")
+        stream = spark.readStream.schema("document_id STRING, body STRING, third INT").option("maxFilesPerTrigger", files).parquet(f"{home}/landed")
+        incremental.ingest_stream(stream, sources, name, f"{home}/state", RUN_DATE).awaitTermination()
+    remove(spark, f"{home}/landed")
     lost = incremental.read_quarantine(spark, incremental.beside(f"{home}/state")).select("document_id", "error").distinct()
     chunks = chunk_table.read_chunks(spark, name).select("namespace", "_id", "document_id", "chunk_content", F.lit(None).cast("string").alias("error"))
     none = F.lit(None).cast("string")
     result = pinned(chunks.unionByName(lost.select(none.alias("namespace"), none.alias("_id"), "document_id", none.alias("chunk_content"), "error")))
     spark.sql(f"DROP TABLE {name}")
+    remove(spark, home)
     return result

@@ -6,11 +6,16 @@ import re
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 ARCHIVE = "docloom_package.zip"
+#: Drops the shuffle files of a query when it ends, not when the driver happens to collect garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_step: ContextVar[str | None] = ContextVar("step", default=None)
 
 
 def local_session(app: str = "docloom", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -53,10 +58,35 @@ def run_dir(spark: SparkSession) -> str:
 
 def release(spark: SparkSession) -> None:
     """Remove this application's intermediate tables; frames that still read them can't be used any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    remove(spark, run_dir(spark))
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def step(spark: SparkSession):
+    """A step of a longer run: its intermediate tables are removed when it ends, and its shuffle files with each of its queries.
+
+    So the disk holds what one step needs, however many there are. Frames made inside can't be used afterwards, unless they are
+    stored elsewhere.
+    """
+    folder, before = f"{run_dir(spark)}/step-{uuid.uuid4()}", spark.conf.get(DROP_SHUFFLES, None)
+    outer = _step.set(folder)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        _step.reset(outer)
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+        remove(spark, folder)
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
@@ -64,7 +94,7 @@ def pinned(df: DataFrame) -> DataFrame:
     columns they need, and carry a measured size, by which Spark decides whether a join may broadcast them.
     """
     spark = df.sparkSession
-    path = f"{run_dir(spark)}/{uuid.uuid4()}"
+    path = f"{_step.get() or run_dir(spark)}/{uuid.uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

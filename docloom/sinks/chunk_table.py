@@ -18,9 +18,10 @@ from docloom.constants import BATCH_SIZE, METRIC, TEXT_FIELD, WORDING
 from docloom.functions.text import strip
 from docloom.schemas import CHUNKS, RECORD_COLUMNS
 from docloom.session import pinned
-from docloom.sinks.partitions import only_touched, ready_to_write
+from docloom.sinks.partitions import only_touched
 
 KEY = ["namespace", "_id"]
+DOCUMENT = ["namespace", "document_id"]
 PARTITION = ["namespace", "bucket"]
 BUCKET_ROWS = 100_000
 #: Property that holds a namespace's number of buckets; 1 where there is none.
@@ -69,8 +70,8 @@ def _put(old: DataFrame, change: DataFrame) -> DataFrame:
 
 
 def _replace(old: DataFrame, change: DataFrame) -> DataFrame:
-    documents = change.select("namespace", "document_id").distinct()
-    kept = old.join(documents, ["namespace", "document_id"], "left_anti")
+    documents = change.select(*DOCUMENT).distinct()
+    kept = old.join(documents, DOCUMENT, "left_anti")
     return kept.select(old.columns).unionByName(change)
 
 
@@ -189,7 +190,9 @@ def _drop_partitions(spark: SparkSession, table: str, namespace: str, keep: rang
     return len(numbers)
 
 
-def _apply(spark: SparkSession, table: str, chunks: DataFrame, change_of) -> DataFrame | None:
+def _apply(spark: SparkSession, table: str, chunks: DataFrame, key: list[str]) -> DataFrame | None:
+    """Put ``chunks`` in place of the rows with the same ``key``. The table's rows move only to be dealt to their buckets, and, where
+    many of them are replaced, to meet the keys that are."""
     settled_change = settled(chunks.select(*CHUNKS.names))
     if settled_change.isEmpty():
         return None
@@ -207,9 +210,11 @@ def _apply(spark: SparkSession, table: str, chunks: DataFrame, change_of) -> Dat
     if grown:
         moved = only_touched(current, sizes.where("buckets > had"), ["namespace"]).join(sizes, "namespace")
         stored = stored.unionByName(moved.withColumn("bucket", _bucket(F.col("buckets"))).select(columns))
-    merged = ready_to_write(change_of(stored, change.select(columns)).select(spark.table(table).columns), PARTITION)
+    gone = pinned(stored.select(*key).join(change.select(*key), key, "left_semi").distinct())
+    merged = stored.join(gone, key, "left_anti").select(columns).unionByName(change.select(columns))
     with _dynamic_overwrite(spark):
-        merged.write.insertInto(table, overwrite=True)
+        # what is overwritten stays until all of the new files are there
+        merged.select(spark.table(table).columns).hint("rebalance", *PARTITION).write.insertInto(table, overwrite=True)
     for r in grown:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_literal(BUCKETS + r.namespace)}='{r.buckets}')")
         _drop_partitions(spark, table, r.namespace, range(r.buckets, 2 * r.buckets))
@@ -219,12 +224,12 @@ def _apply(spark: SparkSession, table: str, chunks: DataFrame, change_of) -> Dat
 
 def upsert_chunks(spark: SparkSession, table: str, chunks: DataFrame) -> DataFrame | None:
     """Upsert by ``(namespace, _id)``; an empty payload changes nothing and gives None."""
-    return _apply(spark, table, chunks, _put)
+    return _apply(spark, table, chunks, KEY)
 
 
 def replace_documents(spark: SparkSession, table: str, chunks: DataFrame) -> DataFrame | None:
     """Upsert, and drop the chunks the given documents had before and have no more."""
-    return _apply(spark, table, chunks, _replace)
+    return _apply(spark, table, chunks, DOCUMENT)
 
 
 def delete_namespace(spark: SparkSession, table: str, namespace: str) -> int:

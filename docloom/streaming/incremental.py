@@ -1,7 +1,7 @@
 """Incremental ingest of landed bodies.
 
 Chunks are upserted by key, so a batch that is repeated after a failure gives the same table and no state
-has to be kept between batches.
+has to be kept between batches. A batch's intermediate tables and shuffle files go when it ends.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docloom.operators.chunking import chunk_documents
+from docloom.session import step
 from docloom.sinks.chunk_table import replace_documents, upsert_chunks
 
 
@@ -32,13 +33,14 @@ def ingest_stream(
     home = quarantine or beside(checkpoint)
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
-        chunked = chunk_documents(batch, sources, run_date, report_missing=False).stored()
-        stray = batch.join(sources.select("document_id"), "document_id", "left_anti")
-        lost = chunked.quarantine.unionByName(
-            stray.select("document_id", F.lit(None).cast("string").alias("input_format"), F.lit("no source").alias("error"))
-        )
-        lost.write.mode("overwrite").parquet(f"{home}/batch={batch_id}")
-        write(batch.sparkSession, table, chunked.chunks)
+        with step(batch.sparkSession):
+            chunked = chunk_documents(batch, sources, run_date, report_missing=False).stored()
+            stray = batch.join(sources.select("document_id"), "document_id", "left_anti")
+            lost = chunked.quarantine.unionByName(
+                stray.select("document_id", F.lit(None).cast("string").alias("input_format"), F.lit("no source").alias("error"))
+            )
+            lost.write.mode("overwrite").parquet(f"{home}/batch={batch_id}")
+            write(batch.sparkSession, table, chunked.chunks)
 
     stream = bodies.writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).start()

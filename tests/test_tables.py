@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import docloom as dl
+from docloom import session
 from docloom.operators.chunking import numbered_pieces, to_records
+from docloom.plans.queries import QUERIES
 from docloom.sinks import chunk_table as ct
 from docloom.sinks.bodies import overwrite_bodies, stored_bodies
+from docloom.streaming import incremental
 
 CHUNK = "namespace string, _id string, document_id string, document_url string, document_date string, chunk_content string, chunk_section_id string"
 
@@ -226,6 +229,55 @@ def test_stream_takes_in_new_bodies_and_can_repeat(spark, table, tmp_path):
     assert contents(dl.read_chunks(spark, table)) == expected
 
 
+def folders(spark):
+    return {str(p) for p in Path(session.run_dir(spark).removeprefix("file:")).glob("*")}
+
+
+def test_batches_of_a_stream_leave_no_intermediate_tables(spark, table, tmp_path):
+    schema = "document_id string, body string"
+    for i in range(3):
+        spark.createDataFrame([("t", f"text {i}"), (f"d{i}", "x")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    sources = six_sources(spark)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    session.pinned(spark.range(1))
+    before, kept = folders(spark), spark.conf.get(session.DROP_SHUFFLES, None)
+    dl.ingest_stream(stream, sources, table, str(tmp_path / "state"), "2024-01-01").awaitTermination()
+    assert folders(spark) == before and spark.conf.get(session.DROP_SHUFFLES, None) == kept
+    assert contents(dl.read_chunks(spark, table)) == {("ns", "t:chunk0"): "text 2"}
+    lost = incremental.read_quarantine(spark, incremental.beside(str(tmp_path / "state")))
+    assert {(r.document_id, r.batch) for r in lost.collect()} == {("d0", 0), ("d1", 1), ("d2", 2)}
+
+
+def test_a_step_that_fails_leaves_no_intermediate_tables(spark):
+    session.pinned(spark.range(1))
+    before = folders(spark)
+    with pytest.raises(ZeroDivisionError), session.step(spark):
+        assert session.pinned(spark.range(3)).count() == 3
+        assert folders(spark) != before
+        1 / 0
+    assert folders(spark) == before
+
+
+def test_an_upsert_stores_no_copy_of_the_table(spark, table):
+    dl.upsert_chunks(spark, table, chunks(spark, *[chunk("n", f"d{i}", 0, uuid.uuid4().hex * 500) for i in range(3)]))
+    before = folders(spark)
+    dl.upsert_chunks(spark, table, chunks(spark, chunk("n", "d0", 0, "new"), chunk("n", "e", 0, "e")))
+    added = sum(f.stat().st_size for p in folders(spark) - before for f in Path(p).glob("*.parquet"))
+    assert added < 20_000
+    got = contents(dl.read_chunks(spark, table))
+    assert len(got) == 4 and got["n", "d0:chunk0"] == "new" and len(got["n", "d1:chunk0"]) == 16_000
+
+
+def test_the_ingest_stream_query_keeps_its_result_only(spark, tmp_path):
+    docs = [(i, f"s{i % 2}", f"text {i}") for i in range(40)]
+    spark.createDataFrame(docs, "doc_id bigint, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    session.pinned(spark.range(1))
+    before = folders(spark)
+    got = {(r.document_id, r.chunk_content, r.error) for r in QUERIES["ingest_stream"](spark, str(tmp_path)).collect()}
+    assert got == {(f"doc{i}", None if i % 11 == 5 else t, "no source" if i % 11 == 5 else None) for i, _, t in docs}
+    assert len(folders(spark) - before) == 1
+
+
 def test_records_have_the_fixed_shape(spark):
     docs = spark.createDataFrame([("d", "u", "n", "text", "a\n\nb")], "document_id string, document_url string, namespace string, input_format string, body string")
     pieces = numbered_pieces(dl.split_documents(docs), "namespace", "document_id", "document_url")
