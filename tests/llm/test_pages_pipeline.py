@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from docloom import session
 from docloom.llm import queries, similar, wrappers
 from tests.llm.conftest import words
 
@@ -147,6 +148,44 @@ def test_fingerprints_bring_in_pairs_without_a_common_key(spark):
     assert [row.doc_id for row in similar.one_of_each_group(frame).collect()] == [1]
 
 
+def crowd(n):
+    """Pairs of texts with a similarity of 0.81 inside, all of which have one of 0.79 to the others and keys in common with them."""
+    base = [f"w{i}" for i in range(89)]
+    return [(i + n * side, " ".join([*base, f"own{i}", *[f"{side}-{i}-{j}" for j in range(10)]])) for i in range(n) for side in (0, 1)]
+
+
+def test_all_texts_of_a_key_are_compared(spark):
+    rows = crowd(60)
+    sets = {i: five(t) for i, t in rows}
+    assert {(i, j) for i in sets for j in sets if i < j and alike(sets[i], sets[j])} == {(i, i + 60) for i in range(60)}
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
+    assert sorted(r.doc_id for r in similar.one_of_each_group(frame).collect()) == list(range(60))
+
+
+def test_unconnected_texts_are_compared_in_blocks(spark):
+    texts = spark.createDataFrame(crowd(20), "doc_id BIGINT, text STRING").selectExpr("unhex(md5(text)) AS digest", "text")
+    sketched = session.pinned(similar.sketches(texts))
+    members = session.pinned(similar.keyed(sketched).where("b IS NULL").select("band", "value", "a", "n_a"))
+    alone = spark.createDataFrame([], "node BINARY, root BINARY")
+    found = [sorted((bytes(r.a), bytes(r.b)) for r in similar.unconnected(members, alone, sketched, block).collect()) for block in (1000, 3)]
+    sets = {bytes(r.digest): five(r.text) for r in texts.collect()}
+    pairs = {(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])}
+    assert found[0] == found[1] and len(pairs) == 20 and pairs <= set(found[0]) and len(set(found[0])) == len(found[0])
+    one = texts.selectExpr("digest AS node", "unhex('00') AS root")
+    assert similar.unconnected(members, one, sketched).count() == 0
+
+
+def test_signatures_never_rule_out_similar_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (1, 7, 300, 5000):
+        a, b = rng.integers(0, 1 << 63, (2, n), np.uint64)
+        b[: n * 9 // 10] = a[: n * 9 // 10]
+        bits = [np.frombuffer(similar.signature(np.unique(x)), np.uint8) for x in (a, b)]
+        assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(a, b)) and len(bits[0]) == similar.BITS // 8
+
+
 def test_pipeline_equals_brute_force(spark, tmp_path):
     """Each stage's decisions are those of its operator's query form, which other tests hold against brute force."""
     from docloom.llm import exact_dedup, mixing, packing, toxicity
