@@ -572,7 +572,9 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         files = max(1, len(spark.read.parquet(f"{home}/landed").inputFiles()) // 4)
         chunk_table.create_chunk_table(spark, name, f"{home}/table")
         sources = inputs.text_sources(spark, sf_dir).where("pos % 11 <> 5")
-        stream = spark.readStream.schema("document_id STRING, body STRING, third INT").option("maxFilesPerTrigger", files).parquet(f"{home}/landed")
+        # landed files go once they are taken in
+        landed = spark.readStream.schema("document_id STRING, body STRING, third INT").option("cleanSource", "delete")
+        stream = landed.option("maxFilesPerTrigger", files).parquet(f"{home}/landed")
         incremental.ingest_stream(stream, sources, name, f"{home}/state", RUN_DATE).awaitTermination()
     remove(spark, f"{home}/landed")
     lost = incremental.read_quarantine(spark, incremental.beside(f"{home}/state")).select("document_id", "error").distinct()

@@ -11,19 +11,21 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.constants import BATCH_SIZE, METRIC, TEXT_FIELD, WORDING
 from docloom.functions.text import strip
 from docloom.schemas import CHUNKS, RECORD_COLUMNS
 from docloom.session import pinned
-from docloom.sinks.partitions import only_touched
+from docloom.sinks.partitions import one_of, only_touched
 
 KEY = ["namespace", "_id"]
 DOCUMENT = ["namespace", "document_id"]
 PARTITION = ["namespace", "bucket"]
 BUCKET_ROWS = 100_000
+#: Partitions that are rewritten at once: what a change needs on disk beside the table is bounded by their rows.
+AT_ONCE = 8
 #: Property that holds a namespace's number of buckets; 1 where there is none.
 BUCKETS = "buckets/"
 
@@ -210,11 +212,17 @@ def _apply(spark: SparkSession, table: str, chunks: DataFrame, key: list[str]) -
     if grown:
         moved = only_touched(current, sizes.where("buckets > had"), ["namespace"]).join(sizes, "namespace")
         stored = stored.unionByName(moved.withColumn("bucket", _bucket(F.col("buckets"))).select(columns))
-    gone = pinned(stored.select(*key).join(change.select(*key), key, "left_semi").distinct())
-    merged = stored.join(gone, key, "left_anti").select(columns).unionByName(change.select(columns))
+    # a namespace that grows is rewritten whole, also what no row of the change falls in
+    named = {*change.select(*PARTITION).distinct().collect(), *(Row(namespace=r.namespace, bucket=n) for r in grown for n in range(r.buckets, 2 * r.buckets))}
+    named = sorted(named)
     with _dynamic_overwrite(spark):
-        # what is overwritten stays until all of the new files are there
-        merged.select(spark.table(table).columns).hint("rebalance", *PARTITION).write.insertInto(table, overwrite=True)
+        for i in range(0, len(named), AT_ONCE):
+            some = one_of(named[i : i + AT_ONCE], PARTITION)
+            old, new = stored.where(some), change.select(columns).where(some)
+            gone = pinned(old.select(*key).join(new.select(*key), key, "left_semi").distinct())
+            merged = old.join(gone, key, "left_anti").select(columns).unionByName(new)
+            # what is overwritten stays until all of the new files are there
+            merged.select(spark.table(table).columns).hint("rebalance", *PARTITION).write.insertInto(table, overwrite=True)
     for r in grown:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_literal(BUCKETS + r.namespace)}='{r.buckets}')")
         _drop_partitions(spark, table, r.namespace, range(r.buckets, 2 * r.buckets))

@@ -26,10 +26,13 @@ def only_touched(table: DataFrame, change: DataFrame, columns: list[str]) -> Dat
     The names are as many as the partitions to be rewritten, which the catalog and the driver list in any case.
     """
     named = change.select(*columns).distinct().collect()
-    if not named:
-        return table.limit(0)
+    return table.filter(one_of(named, columns)) if named else table.limit(0)
+
+
+def one_of(named: list, columns: list[str]) -> Column:
+    """Whether ``columns`` have the values of one of the rows ``named``, of which there is one at least."""
     if len(columns) == 1:
-        return table.filter(F.col(columns[0]).isin([row[0] for row in named]))
+        return F.col(columns[0]).isin([row[0] for row in named])
     *outer, last = columns
     values: dict[tuple, list] = {}
     for row in named:
@@ -47,7 +50,7 @@ def only_touched(table: DataFrame, change: DataFrame, columns: list[str]) -> Dat
             same += [reduce(Column.__and__, [F.col(c) == v for c, v in zip(outer, key)], inner) for key in keys]
     while len(same) > 1:  # a balanced tree: a chain of hundreds of terms would be too deep to plan
         same = [same[i] | same[i + 1] if i + 1 < len(same) else same[i] for i in range(0, len(same), 2)]
-    return table.filter(same[0])
+    return same[0]
 
 
 def ready_to_write(df: DataFrame, columns: list[str]) -> DataFrame:

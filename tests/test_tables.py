@@ -268,6 +268,16 @@ def test_an_upsert_stores_no_copy_of_the_table(spark, table):
     assert len(got) == 4 and got["n", "d0:chunk0"] == "new" and len(got["n", "d1:chunk0"]) == 16_499
 
 
+def test_partitions_are_rewritten_some_at_once(spark, table):
+    dl.upsert_chunks(spark, table, chunks(spark, *[chunk("n", f"d{i}", 0, f"x{i}") for i in range(64)], chunk("m", "a", 0, "m")))
+    assert ct.bucket_counts(spark, table).first().buckets == 16 > ct.AT_ONCE
+    dl.upsert_chunks(spark, table, chunks(spark, *[chunk("n", f"d{i}", 0, f"y{i}") for i in range(0, 64, 2)]))
+    dl.upsert_chunks(spark, table, chunks(spark, chunk("n", "new", 0, "new")))  # touches one bucket of the 32 there are now
+    assert ct.bucket_counts(spark, table).first().buckets == 32
+    expected = {("n", f"d{i}:chunk0"): f"{'x' if i % 2 else 'y'}{i}" for i in range(64)}
+    assert contents(dl.read_chunks(spark, table)) == expected | {("n", "new:chunk0"): "new", ("m", "a:chunk0"): "m"}
+
+
 def test_the_ingest_stream_query_keeps_its_result_only(spark, tmp_path):
     docs = [(i, f"s{i % 2}", f"text {i}") for i in range(40)]
     spark.createDataFrame(docs, "doc_id bigint, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
